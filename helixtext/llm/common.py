@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -103,7 +104,7 @@ class WordScores:
             self.ids, self.values, self.listed = WordIds(), np.empty((0, self.width), np.float32), 0
         at = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         if len(self.ids) > self.listed:
-            new = list(self.ids)[self.listed :] if self.listed == 0 else _tail(self.ids, self.listed)
+            new = newest(self.ids, len(self.ids) - self.listed)
             got = self.score(new).astype(np.float32).reshape(len(new), self.width)
             if len(self.ids) > len(self.values):
                 room = np.empty((max(len(self.ids), 2 * len(self.values), 1024), self.width), np.float32)
@@ -114,15 +115,9 @@ class WordScores:
         return self.values[at]
 
 
-def _tail(d: dict, start: int) -> list:
-    """The keys from the ``start``-th on; reversed() reaches them without a walk over all."""
-    n = len(d) - start
-    keys = []
-    for k in reversed(d):
-        keys.append(k)
-        if len(keys) == n:
-            break
-    return keys[::-1]
+def newest(d: dict, n: int) -> list:
+    """The last n keys, in order; reversed() reaches them without a walk over all."""
+    return list(itertools.islice(reversed(d), n))[::-1]
 
 
 def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, packing, toxicity
+from . import common, langid, packing, pii, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,6 +15,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = langid.train(spark, docs.where(~common.held_out(F.col("doc_id"))))
+    return langid.predict(docs.select("doc_id", "text"), network).select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels").where(~common.held_out(F.col("doc_id")))
@@ -28,7 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op8_toxicity, op10_packing)}
+    return {f.__name__: f for f in (op2_pii, op3_language, op8_toxicity, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
