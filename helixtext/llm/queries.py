@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, langid, packing, pii, toxicity
+from . import common, extract, langid, media, neardup, packing, pii, sharding, topk, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    queries = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return topk.top_k(vectors, queries, 5)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -25,6 +31,18 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), network).select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store(common.table(spark, sf_dir, "documents").select("doc_id", "text"), with_media=False).drop("access_units")
+
+
+def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(common.table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels").where(~common.held_out(F.col("doc_id")))
@@ -32,14 +50,36 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_pii, op3_language, op8_toxicity, op10_packing)}
+    return {f.__name__: f for f in (op1_top_k, op2_pii, op3_language, op4_sharding, op6_transport_stream, op7_setsketch, op8_toxicity, op9_main_text, op10_packing)}
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_top_k": OP1_SQL}
