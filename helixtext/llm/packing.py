@@ -1,6 +1,7 @@
 """Packing documents into fixed-length sequences: first-fit decreasing on a tournament tree.
 
-Tokens: the byte-level BPE of the ``tokenizers`` library. A document is cut into
+Tokens: the byte-level BPE that the ``tokenizers`` library reads from a file.
+The vocabulary is taken from there; a faster encoder of the same ids runs it. A document is cut into
 runs of ``length`` ids and a rest; each run fills a sequence, the rests are
 packed by first-fit decreasing inside randomised groups of documents. The group
 is chosen by a hash, so groups are alike in size and need nothing of each other.
@@ -13,6 +14,7 @@ rows; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -22,57 +24,142 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 #: Documents in a randomised group, on average.
 GROUP = 1024
 LENGTH = 1024
 END_ID = 0
 #: Distinct chunks whose ids a worker keeps.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 700_000
+
+# Fixed value: the tokenizer's pre-token pattern.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, grp long"
 
 
+#: What makes a text's blanks irregular: two together, or next to other white space.
+IRREGULAR = ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+#: And white space outside ASCII.
+WIDE = tuple("\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(map(chr, range(0x2000, 0x200B)))
+
+
+class _First(str):
+    """A chunk without a blank before it."""
+
+    __slots__ = ()
+
+    def __hash__(self) -> int:
+        return ~str.__hash__(self)
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, _First) and str.__eq__(self, other)
+
+
 def chunks_of(text: str) -> list[str]:
-    """The text cut before single blanks between visible characters.
+    """The text cut before single blanks between visible characters; the blanks themselves are left out.
 
     The tokenizer's pre-tokens never cross such a place, so the ids of a text are
     those of its chunks in order.
     """
     parts = text.split(" ")
-    if len(parts) == 1:
+    if not (any(w in text for w in IRREGULAR) or text[:1].isspace() or text[-1:].isspace() or not text.isascii() and any(w in text for w in WIDE)):
+        parts[0] = _First(parts[0])
         return parts
     out = [parts[0]]
     for p in parts[1:]:
         last = out[-1]
         if p and last and not p[0].isspace() and not last[-1].isspace():
-            out.append(" " + p)
+            out.append(p)
         else:
             out[-1] = last + " " + p
+    out[0] = _First(out[0])
     return out
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Tokens:
-    """Token ids of texts, by the public tokenizer; equal chunks are encoded once."""
+    """Token ids of texts; equal chunks are encoded once.
+
+    New chunks are encoded as one text, and its ids dealt back to them by their
+    bytes: every id stands for a fixed number of them.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        known = Tokenizer.from_file(path)
+        letters = {c: b for b, c in byte_letters().items()}
+        vocabulary = known.get_vocab(with_added_tokens=False)
+        ranks = {bytes(letters[c] for c in piece): i for piece, i in vocabulary.items() if all(c in letters for c in piece) and piece not in known.get_added_tokens_decoder().values()}
+        special = {str(t) for t in known.get_added_tokens_decoder().values()}
+        ranks = {k: i for k, i in ranks.items() if known.id_to_token(i) not in special}
+        self.encoding = tiktoken.Encoding("vocabulary", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+        self.width = np.zeros(max(ranks.values()) + 1, np.int64)
+        for k, i in ranks.items():
+            self.width[i] = len(k)
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.listed = common.WordIds(), 0
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(0, "<u4"), 0
+
+    def _learn(self, new: list[str]) -> None:
+        raw = [c.encode("utf-8", "replace") if type(c) is _First else b" " + c.encode("utf-8", "replace") for c in new]
+        counts, pools = [], []
+        # a chunk without a blank before it can't follow another, so each of them is a text of its own
+        run: list[bytes] = []
+
+        def flush() -> None:
+            if run:
+                ids = np.array(self.encoding.encode_ordinary(b"".join(run).decode("utf-8")), "<u4")
+                ends = np.cumsum([len(r) for r in run])
+                at = np.searchsorted(np.cumsum(self.width[ids]), ends, side="left") + 1
+                counts.append(np.diff(at, prepend=0))
+                pools.append(ids)
+                run.clear()
+
+        for c, r in zip(new, raw, strict=True):
+            if type(c) is _First or c[:1].isspace() or c[-1:].isspace() or not c:
+                flush()
+                ids = np.array(self.encoding.encode_ordinary(r.decode("utf-8")), "<u4")
+                counts.append(np.array([len(ids)]))
+                pools.append(ids)
+            else:
+                run.append(r)
+        flush()
+        counts, pool = np.concatenate(counts), np.concatenate(pools)
+        self.first = np.concatenate([self.first, self.used + np.cumsum(counts) - counts])
+        self.count = np.concatenate([self.count, counts])
+        if self.used + len(pool) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.empty(max(len(pool), self.used), "<u4")])
+        self.pool[self.used : self.used + len(pool)] = pool
+        self.used += len(pool)
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        if len(self.known) > KEPT_CHUNKS:
-            self.known = {}
+        if len(self.ids) > KEPT_CHUNKS:
+            self.clear()
         cut = [chunks_of(t) for t in texts]
-        known = self.known
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[c] = np.array(e.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), "<u4") for chunks in cut]
+        sizes = np.array([len(c) for c in cut])
+        at = np.fromiter(map(self.ids.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        if len(self.ids) > self.listed:
+            self._learn(common.newest(self.ids, len(self.ids) - self.listed))
+            self.listed = len(self.ids)
+        n = self.count[at]
+        ends = np.cumsum(n)
+        flat = self.pool[np.repeat(self.first[at] - ends + n, n) + np.arange(int(ends[-1]))] if len(at) else self.pool[:0]
+        stops = np.concatenate([[0], ends])[np.cumsum(sizes)]
+        return np.split(flat, stops[:-1])
 
 
 @functools.lru_cache(maxsize=2)
@@ -123,8 +210,8 @@ def tokenize(docs: DataFrame, path: str, groups: int, length: int = LENGTH) -> D
         tokens = tokens_of(path)
         end = np.array([END_ID], "<u4")
         for pdf in batches:
-            for k in range(0, len(pdf), 256):
-                part = pdf.iloc[k : k + 256]
+            for a, b in common.slices(pdf["text"].tolist(), 1_000_000):
+                part = pdf.iloc[a:b]
                 rows = []
                 for doc_id, grp, ids in zip(part["doc_id"], part["grp"], tokens.of(part["text"].tolist()), strict=True):
                     ids = np.concatenate([ids, end])
