@@ -215,9 +215,10 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def predict(docs: DataFrame, network: Network) -> DataFrame:
-    """The columns of docs but text, with lang_pred and score."""
-    kept = [c for c in docs.columns if c != "text"]
+def predict(docs: DataFrame, network: Network, keep_text: bool = False) -> DataFrame:
+    """The columns of docs (text if wanted) but any lang_pred and score, with those two anew."""
+    docs = docs.drop("lang_pred", "score")
+    kept = [c for c in docs.columns if keep_text or c != "text"]
     if not network.languages:
         return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     broadcast = docs.sparkSession.sparkContext.broadcast(network)
@@ -242,5 +243,5 @@ def predict(docs: DataFrame, network: Network) -> DataFrame:
                 out["score"] = np.clip(np.round(pooled[np.arange(len(cut)), best], 6), 0, 1)
                 yield out
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
     return docs.mapInPandas(run, f"{schema}, lang_pred string, score double")

@@ -327,6 +327,19 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def without_copies(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK) -> DataFrame:
+    """One document of each class, the one with the smallest id; of rows that repeat an id and its text one stays."""
+    scratch = common.Scratch(docs.sparkSession)
+    found = scratch.table(classes(docs.select("doc_id", "text"), size, link).select("doc_id", "kept"))
+    gone = found.where("not kept").select("doc_id").distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    left = docs.join(gone, "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return left.select(*docs.columns)
+    twice = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
+
+
 def _texts_of(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, text of the representatives wanted."""
     return texts.where("text is not null and doc_id is not null").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")).withColumnRenamed("doc_id", "rep")
