@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,10 +224,10 @@ def predict(docs: DataFrame, network: Network, keep_text: bool = False) -> DataF
     broadcast = docs.sparkSession.sparkContext.broadcast(network)
     key, languages = network.key, network.languages
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scores(key, broadcast)
-        for pdf in batches:
-            texts = ["" if t is None else t for t in pdf["text"]]
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in common.slices(texts):
                 cut = [t.split() if has_letter(t) else [] for t in texts[a:b]]
                 counts = np.array([len(w) for w in cut])
@@ -238,10 +238,9 @@ def predict(docs: DataFrame, network: Network, keep_text: bool = False) -> DataF
                     sums = np.add.reduceat(values.astype(np.float64), (np.cumsum(counts) - counts)[has], axis=0)
                     pooled[has] = sums[:, :-1] / sums[:, -1:]
                 best = pooled.argmax(1)
-                out = pdf.iloc[a:b][kept].copy()
-                out["lang_pred"] = [languages[k] if n else UNKNOWN for k, n in zip(best, counts, strict=True)]
-                out["score"] = np.clip(np.round(pooled[np.arange(len(cut)), best], 6), 0, 1)
-                yield out
+                names = pa.array([languages[k] if n else UNKNOWN for k, n in zip(best, counts, strict=True)], pa.string())
+                sure = pa.array(np.clip(np.round(pooled[np.arange(len(cut)), best], 6), 0, 1))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in kept), names, sure], [*kept, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    return docs.mapInPandas(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -217,20 +217,21 @@ def store(docs: DataFrame, with_media: bool = True) -> DataFrame:
     """Of each document: the stream (media), its read-back digests and features, stamps and random-access points."""
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "access_units"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for a in range(0, len(pdf), 512):
-                part = pdf.iloc[a : a + 512]
+    names += ["media"] * with_media
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 512):
+                part = batch.slice(a, 512)
                 rows = []
-                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                    raw = bytes(text)
+                for doc_id, raw in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
                     media = mux(padded(raw))
                     back = demux(media)
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
                     row = [doc_id, len(raw), len(back.payload), hashlib.sha256(back.payload).hexdigest(), zlib.crc32(back.payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature(back), back.access_units]
                     rows.append(row + [media] if with_media else row)
-                yield pd.DataFrame(rows, columns=names + ["media"] * with_media).astype({"doc_id": "Int64"})
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False)], names)
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, access_units array<int>"
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return docs.select("doc_id", text.alias("text")).mapInPandas(run, schema + ", media binary" * with_media)
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text")).mapInArrow(run, schema + ", media binary" * with_media)

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,11 +185,11 @@ def intersections(hashes: np.ndarray, sizes: np.ndarray, columns: int = 4096) ->
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, set_key (of the set, null without one), registers (binary)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for a, b in common.slices(["" if t is None else t for t in pdf["text"]], 1_000_000):
-                part = pdf.iloc[a:b]
-                hashes, sizes = shingle_sets(part["text"].tolist(), size)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in common.slices(texts, 1_000_000):
+                hashes, sizes = shingle_sets(texts[a:b], size)
                 regs = registers(hashes, sizes)
                 with np.errstate(over="ignore"):
                     ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -197,10 +198,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     twice = np.concatenate([[0], np.cumsum(mixed(hashes), dtype=np.uint64)]).astype(np.uint64)
                     other = twice[ends[1:]] - twice[ends[:-1]]
                 keys = [f"{x:016x}{y:016x}{n:x}" if n else None for x, y, n in zip(total.tolist(), other.tolist(), sizes.tolist(), strict=True)]
-                out = pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n_shingles": sizes, "set_key": keys, "registers": [r.tobytes() for r in regs]})
-                yield out
+                arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sizes), pa.array(keys, pa.string()), pa.array([r.tobytes() for r in regs], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "set_key", "registers"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, n_shingles long, set_key string, registers binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key string, registers binary")
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: common.Scratch) -> DataFrame:

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,25 +207,24 @@ def pack_group(pieces: pd.DataFrame, length: int = LENGTH) -> pd.DataFrame:
 def tokenize(docs: DataFrame, path: str, groups: int, length: int = LENGTH) -> DataFrame:
     """One row for each piece of each document, with the group it is packed in."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(path)
         end = np.array([END_ID], "<u4")
-        for pdf in batches:
-            for a, b in common.slices(pdf["text"].tolist(), 1_000_000):
-                part = pdf.iloc[a:b]
+        for batch in batches:
+            texts, keys, groups_of = (batch.column(c).to_pylist() for c in ("text", "doc_id", "grp"))
+            for a, b in common.slices(texts, 1_000_000):
                 rows = []
-                for doc_id, grp, ids in zip(part["doc_id"], part["grp"], tokens.of(part["text"].tolist()), strict=True):
+                for doc_id, grp, ids in zip(keys[a:b], groups_of[a:b], tokens.of(texts[a:b]), strict=True):
                     ids = np.concatenate([ids, end])
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
                         rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), grp))
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp"])
-                yield out.astype({"doc_id": "Int64"})
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     grp = F.pmod(F.xxhash64(F.lit(10), F.col("doc_id"), F.crc32(text.cast("binary"))), F.lit(groups))
-    return docs.select("doc_id", text.alias("text"), grp.alias("grp")).mapInPandas(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), grp.alias("grp")).mapInArrow(run, PIECES)
 
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, group: int = GROUP) -> DataFrame:

@@ -20,6 +20,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -312,19 +313,21 @@ def redact_text(text: str) -> str:
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, counts of the plain spans by kind, base_sha256, spans, and n_added of the method's own."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for text in pdf["text"]:
+            for text in batch.column("text").to_pylist():
                 base, every = all_spans(text)
                 kinds = [k for k, _, _ in base]
                 rows.append((*map(kinds.count, KINDS), hashlib.sha256(joined(base).encode()).hexdigest(), joined(every), len(every) - len(base)))
-            out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            yield out
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
+            kinds = [pa.string() if n in ("base_sha256", "spans") else pa.int64() for n in names]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns, kinds)], ["doc_id", *names])
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
 def redact(docs: DataFrame) -> DataFrame:

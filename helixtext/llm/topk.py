@@ -10,7 +10,8 @@ The few best of each pair of blocks then meet by query.
 Defined cases: vectors that are null, empty or hold a null or non-finite
 component take no part; shorter vectors count as if zeros followed; equal scores
 go to the smaller id; rows with the same id are candidates one by one, but no
-row with the query's own id is; a query without candidates has no rows; other
+row with the query's own id is; a query without candidates has no rows;
+numbers beyond 64 bits count as the largest of those; other
 columns are not read.
 """
 
@@ -30,6 +31,7 @@ QUERY_BLOCK = 1024
 #: Depth of the first walk; each next one doubles what has been walked.
 FIRST_DEPTH = 8
 SCALE = 256
+LARGEST = (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -103,7 +105,7 @@ def search_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.Dat
         ids = vectors["vec_id"].to_numpy(np.int64)
         orders = np.stack([np.argsort(-m[:, d], kind="stable") for d in range(width)])
         for own, weights in zip(queries["query_id"].tolist(), q, strict=True):
-            rows += [(own, i, s) for s, i in threshold_search(m, ids, orders, weights, own, k)[0]]
+            rows += [(own, i, max(-LARGEST, min(LARGEST, s))) for s, i in threshold_search(m, ids, orders, weights, own, k)[0]]
     return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
 
