@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, extract, langid, media, neardup, packing, pii, sharding, topk, toxicity
+from . import common, extract, langid, media, neardup, packing, pieces, pii, sharding, topk, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -35,6 +35,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.load(tokenizer_path("piece_bpe_32k.model"))
+    found = pieces.encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), F.col("whole").alias("decodes"))
+
+
 def op6_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store(common.table(spark, sf_dir, "documents").select("doc_id", "text"), with_media=False).drop("access_units")
 
@@ -60,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_top_k, op2_pii, op3_language, op4_sharding, op6_transport_stream, op7_setsketch, op8_toxicity, op9_main_text, op10_packing)}
+    return {f.__name__: f for f in (op1_top_k, op2_pii, op3_language, op4_sharding, op5_pieces, op6_transport_stream, op7_setsketch, op8_toxicity, op9_main_text, op10_packing)}
 
 
 OP1_SQL = """
