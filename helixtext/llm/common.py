@@ -94,7 +94,7 @@ class WordIds(dict):
 class WordScores:
     """Scores of distinct words, at most about ``most`` kept; ``score`` maps a list of words to a 2-d array."""
 
-    def __init__(self, score, width: int, most: int = 400_000):
+    def __init__(self, score, width: int, most: int = 250_000):
         self.score, self.width, self.most = score, width, most
         self.ids, self.values, self.listed = WordIds(), np.empty((0, width), np.float32), 0
 
@@ -115,6 +115,17 @@ class WordScores:
         return self.values[at]
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make):
+    """What a worker process keeps from task to task: one thing at a time, so that operators run one after another don't add up."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def newest(d: dict, n: int) -> list:
     """The last n keys, in order; reversed() reaches them without a walk over all."""
     return list(itertools.islice(reversed(d), n))[::-1]

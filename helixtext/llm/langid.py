@@ -14,7 +14,6 @@ other than doc_id, text and lang are not read.
 
 from __future__ import annotations
 
-import functools
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -167,8 +166,8 @@ def word_sums(words: list[str], w: dict[str, np.ndarray]) -> np.ndarray:
             parts.append(raw[k : k + WINDOW])
             of.append(i)
     of = np.array(of, np.int64)
-    for a in range(0, len(parts), 50_000):
-        x, lengths = windows(parts[a : a + 50_000])
+    for a in range(0, len(parts), 20_000):
+        x, lengths = windows(parts[a : a + 20_000])
         order = np.argsort(-lengths, kind="stable")
         for b in range(0, len(order), 2048):
             at = order[b : b + 2048]
@@ -205,10 +204,9 @@ def train(spark: SparkSession, docs: DataFrame, most: int = MOST_OF_LANGUAGE, st
     return Network(languages, fit([p for p, _, _ in parts], y, weight, len(languages), steps))
 
 
-@functools.lru_cache(maxsize=1)
 def _scores(key: str, broadcast) -> common.WordScores:
     w = broadcast.value.weights
-    return common.WordScores(lambda words: word_sums(words, w), len(w["c"]) + 1)
+    return common.kept(f"language {key}", lambda: common.WordScores(lambda words: word_sums(words, w), len(w["c"]) + 1))
 
 
 def has_letter(text: str) -> bool:

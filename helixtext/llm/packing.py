@@ -13,7 +13,6 @@ rows; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import math
 import zlib
@@ -163,10 +162,9 @@ class Tokens:
         return np.split(flat, stops[:-1])
 
 
-@functools.lru_cache(maxsize=2)
 def tokens_of(path: str) -> Tokens:
     """One for each worker process, which runs many tasks."""
-    return Tokens(path)
+    return common.kept(f"tokens {path}", lambda: Tokens(path))
 
 
 class FirstFit:
