@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, text, variants
+from helixtext.functions.shared import shared_path
 from helixtext.operators import associate, canon, documents, normalize, report, spans
-from helixtext.sources import knowledge, pubtator
+from helixtext.sources import bioc, knowledge, pubtator
+from helixtext.streaming import ingest
 
 from . import fixtures
 
@@ -815,8 +817,8 @@ with recursive {HITS}, nodes as (select distinct doc_id, ident, p pos from v),
  edges as (select r.doc_id, a, ident b from r join rl using (doc_id, rs) where ident <> a union select nodes.doc_id, a, ident from nodes join pl using (doc_id, pos) where ident <> a),
  sym as (select doc_id, a, b from edges union select doc_id, b, a from edges),
  reach as (select doc_id, ident, ident other from nodes union select reach.doc_id, reach.ident, sym.b from reach join sym on sym.doc_id = reach.doc_id and sym.a = reach.other),
- lab as (select doc_id, ident, min(other) label from reach group by all), f as (select doc_id, ident, min(start_off) first from v group by all),
- g as (select lab.doc_id, lab.ident, label, min(first) over (partition by lab.doc_id, label) gf from lab join f on f.doc_id = lab.doc_id and f.ident = lab.ident)
+ lab as (select doc_id, ident, min(other) label from reach group by all), fm as (select doc_id, ident, min(start_off) first from v group by all),
+ g as (select lab.doc_id, lab.ident, label, min(first) over (partition by lab.doc_id, label) gf from lab join fm on fm.doc_id = lab.doc_id and fm.ident = lab.ident)
 select doc_id, ident, cast(dense_rank() over (partition by doc_id order by gf, label) - 1 as int) group_id from g
 """)
 def variant_groups(spark, sf_dir):
@@ -971,3 +973,110 @@ def display_names(spark, sf_dir):
     names = Inputs(spark, sf_dir).nation.where("n_nationkey < 3").select((F.col("n_nationkey") + 9600).cast("string").alias("id"), F.concat(F.lit("Sp"), F.col("n_nationkey").cast("string")).alias("name"))
     a = Inputs(spark, sf_dir).fx_ann.where("etype = 'Species'").select("ann_id", F.col("ident").alias("taxon"))
     return report.display_names(a, "taxon", names).select("ann_id", "name")
+
+
+# --- sources and sinks -----------------------------------------------------
+
+
+def _annotations(x: Inputs) -> DataFrame:
+    return x.fx_docs.select("doc_id", F.col("m_start").cast("int").alias("start_off"), (F.col("m_start") + F.length("m1")).cast("int").alias("end_off"), F.col("m1").alias("mention"), F.lit("ProteinMutation").alias("etype"), F.concat(F.lit("p|"), "m1").alias("ident"))
+
+
+def _one_passage(x: Inputs) -> DataFrame:
+    d = x.fx_docs.select("doc_id", F.translate("text", "|\r\x0b\x0c\x85  ", "/      ").alias("text"))
+    return d.select("doc_id", F.lit(0).alias("passage_no"), F.lit("body").alias("ptype"), "text")
+
+
+ANNOTATIONS = "select doc_id, cast(m_start as int) start_off, cast(m_start + length(m1) as int) end_off, m1 mention, 'ProteinMutation' etype, concat('p|', m1) ident, cast(length(text) as int) n from fx_docs"
+
+
+@query(ANNOTATIONS)
+def pubtator_roundtrip(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    pubtator.write_pubtator(_one_passage(x), _annotations(x), path)
+    passages, ann = pubtator.read_pubtator(spark, path, pubtator.REPORT_TYPES)
+    return ann.join(passages.select("doc_id", F.length("text").alias("n")), "doc_id")
+
+
+@query(ANNOTATIONS)
+def bioc_roundtrip(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    bioc.write_bioc(_one_passage(x), _annotations(x), path)
+    passages, ann = bioc.read_bioc(spark, path)
+    return ann.drop("passage_no").join(passages.select("doc_id", F.length("text").alias("n")), "doc_id")
+
+
+@query("""
+with p as (select doc_id, passage_no, cast(coalesce(sum(length(text) + 1) over (partition by doc_id order by passage_no rows between unbounded preceding and 1 preceding), 0) as int) o, length(text) n from fx_passages)
+select a.doc_id, a.ann_id, p.passage_no, p.o "offset" from (select ann_id, doc_id, start_off from fx_ann) a join p on p.doc_id = a.doc_id and a.start_off >= o and a.start_off < o + greatest(n, 1)
+""")
+def pubtator_to_bioc(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    return pubtator.route_annotations(x.fx_passages, x.fx_ann.select("doc_id", "ann_id", "start_off")).select("doc_id", "ann_id", "passage_no", "offset")
+
+
+@query("""
+select file, problem, count(*) n from (
+ select concat('f', cast(cast(doc_id as bigint) % 10 as string)) file, 'missing blank' problem, doc_id, row_number() over (partition by cast(doc_id as bigint) % 10 order by cast(doc_id as bigint)) r from fx_docs) x where r > 1 group by all
+union all select distinct concat('f', cast(cast(doc_id as bigint) % 10 as string)), 'missing final blank', 1 from fx_docs
+""")
+def validate_pubtator(spark, sf_dir):
+    d = Inputs(spark, sf_dir).fx_docs
+    n = F.col("doc_id").cast("bigint")
+    lines = d.select(F.concat(F.lit("f"), (n % 10).cast("string")).alias("file"), n.alias("line_no"), F.concat("doc_id", F.lit("|t|"), "m1").alias("line"))
+    return pubtator.validate(lines).groupBy("file", "problem").agg(F.count("*").alias("n"))
+
+
+@query("select form, rs, refseqs from (select form, rs, concat('NM_', cast(rs % 9 as string), '/NP_', cast(rs % 7 as string)) refseqs from fx_var2rs) x")
+def load_var2rs(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    item = F.concat(F.col("rs").cast("string"), F.lit("-NM_"), (F.col("rs") % 9).cast("string"), F.lit("/NP_"), (F.col("rs") % 7).cast("string"))
+    raw = x.fx_var2rs.groupBy(F.col("form").alias("var")).agg(F.array_join(F.collect_list(item), "|").alias("rs"))
+    return knowledge.explode_var2rs(raw, "test").select("form", "rs", F.array_join("refseqs", "/").alias("refseqs"))
+
+
+@query("select distinct rs, gene from fx_gene2rs")
+def load_gene2rs(spark, sf_dir):
+    raw = Inputs(spark, sf_dir).fx_gene2rs.groupBy("gene").agg(F.array_join(F.collect_list(F.col("rs").cast("string")), "|").alias("rs"))
+    return knowledge.rs2gene(knowledge.explode_gene2rs(raw))
+
+
+@query("select seqid, gene, length(seq) n from fx_refseq where cast(gene as int) % 2 = 1")
+def new_sequences(spark, sf_dir):
+    r = Inputs(spark, sf_dir).fx_refseq
+    odd = F.col("gene").cast("int") % 2 == 1
+    return knowledge.new_sequences(r.where(~odd), r.select("seqid", "level", "seq"), r.select("seqid", "gene")).select("seqid", "gene", F.length("seq").cast("bigint").alias("n"))
+
+
+@query("""
+select name, ident, etype from (select distinct concat(p_name, k) name, cast(p_partkey as string) ident, 'Gene' etype from part, (select '' k union all select ' x' k) ks) y
+where length(regexp_replace(name, '[^A-Za-z]', '', 'g')) >= 3 and lower(name) not in (select distinct lower(p_name) from part where p_partkey % 9 = 0)
+""")
+def build_lexicon(spark, sf_dir):
+    part = Inputs(spark, sf_dir).part
+    rows = part.select(F.lit("Gene").alias("etype"), F.col("p_partkey").cast("string").alias("ident"), F.concat("p_name", F.lit("|"), "p_name", F.lit(" x")).alias("names"))
+    return knowledge.build_lexicon(rows, part.where("p_partkey % 9 = 0").select(F.col("p_name").alias("name")))
+
+
+@query("select label, step_name, cast(chars as string) chars, '' runtime from fx_stats")
+def step_stats_roundtrip(spark, sf_dir):
+    path = shared_path(spark)
+    s = Inputs(spark, sf_dir).fx_stats.select(F.col("step").cast("string").alias("step"), "step_name", "label", F.col("chars").cast("string").alias("chars"), F.col("words").cast("string").alias("words"), F.lit("").alias("runtime"), F.lit("").alias("input_name"), F.lit("").alias("output_file"))
+    knowledge.append_step_stats(s, path)
+    return knowledge.read_step_stats(spark, path).select("label", "step_name", "chars", "runtime")
+
+
+@query("select cast(doc_id as string) name from documents where doc_id % 3 <> 0 and doc_id % 100 between 0 and 99")
+def ingest_new(spark, sf_dir):
+    d = Inputs(spark, sf_dir).documents.select(F.col("doc_id").cast("string").alias("name"))
+    return ingest.new_inputs(d, d.where(F.col("name").cast("bigint") % 3 == 0))
+
+
+@query(INSERTED)
+def ingest_new_stream(spark, sf_dir):
+    """Files of documents through the stream, tagged as in a batch."""
+    x, root = Inputs(spark, sf_dir), shared_path(spark)
+    docs = x.fx_docs.select("doc_id", "text")
+    docs.write.parquet(f"{root}/in")
+    ingest.stream_documents(spark, f"{root}/in", docs.schema.simpleString()[7:-1].replace(":", " "), spans.tag_hgvs, f"{root}/out", f"{root}/log").awaitTermination()
+    return spark.read.option("basePath", f"{root}/out").parquet(f"{root}/out").drop("batch")

@@ -14,8 +14,10 @@ SCHEMA = f"id string, passage array<struct<{INFON.replace(' ', ':', 1)},offset:i
 
 def infon(c: Column, *keys: str) -> Column:
     """The first of some keys that an infon array has."""
-    found = [F.try_element_at(F.filter(c, lambda x, k=k: x["_key"] == k), F.lit(1))["_VALUE"] for k in keys]
-    return F.coalesce(*found, F.lit(""))
+    def value(key: str) -> Column:
+        return F.try_element_at(F.filter(c, lambda x: x["_key"] == key), F.lit(1))["_VALUE"]
+
+    return F.coalesce(*map(value, keys), F.lit(""))
 
 
 def read_bioc(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

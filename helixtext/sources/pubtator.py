@@ -74,9 +74,9 @@ def validate(lines: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "neither", "neither format")
         .when((F.col("kind") == "blank") & (F.coalesce("before", F.lit("blank")) == "blank"), "redundant blank")
         .when((F.col("kind") == "passage") & (F.col("before") != "blank") & (F.col("doc_before") != F.col("doc")), "missing blank")
-        .when((F.col("kind") != "blank") & F.col("after").isNull(), "missing final blank")
     )
-    found = x.withColumn("problem", problem).where("problem is not null").select("file", "line_no", "problem")
+    last = F.when((F.col("kind") != "blank") & F.col("after").isNull(), "missing final blank")
+    found = x.select("file", "line_no", F.explode(F.array(problem, last)).alias("problem")).where("problem is not null")
     start = x.where((F.col("kind") == "passage") & (F.coalesce("before", F.lit("blank")) == "blank"))
     twice = start.groupBy("doc").agg(F.count("*").alias("n"), F.min_by("file", F.struct("file", "line_no")).alias("file"), F.min(F.struct("file", "line_no"))["line_no"].alias("line_no")).where("n > 1")
     return found.unionByName(twice.select("file", "line_no", F.lit("duplicate document").alias("problem")))
