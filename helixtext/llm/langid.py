@@ -31,6 +31,8 @@ MOST_OF_LANGUAGE = 300
 WINDOW = 24
 HIDDEN = 12
 STEPS = 700
+#: Weight of a word in capitals beside the word as it was found.
+CAPITALS = 0.02
 BATCH = 256
 UNKNOWN = "und"
 
@@ -197,6 +199,9 @@ def train(spark: SparkSession, docs: DataFrame, most: int = MOST_OF_LANGUAGE, st
     if not languages:
         return Network([], {})
     parts = [(raw[k : k + WINDOW], language, n) for word, language, n in zip(words["word"], words["lang"], words["n"], strict=True) for raw in [word.encode("utf-8", "replace")] for k in range(0, len(raw), WINDOW)]
+    # words in capitals are rare in the sample, but whole texts of them occur
+    parts += [(raw.decode("utf-8", "ignore").upper().encode()[:WINDOW], language, CAPITALS * n) for raw, language, n in parts]
+    parts = [p for p in parts if p[0]]
     at = {language: i for i, language in enumerate(languages)}
     y = np.array([at[language] for _, language, _ in parts])
     # square root: the few most frequent words don't fill the batches
