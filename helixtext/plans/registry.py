@@ -155,51 +155,51 @@ def filter_unlikely_pairs(spark, sf_dir):
 
 @query("select doc_id, case when regexp_matches(substr(m1, 1, 1), '[ACG]') then 'figure or table' end drop_reason from fx_docs")
 def filter_context(spark, sf_dir):
-    d = Inputs(spark, sf_dir).fx_docs.withColumn("text", F.concat(F.when(F.col("m1").rlike("^[ACG]"), "see Figure ").otherwise("in the text, of "), "m1"))
+    d = Inputs(spark, sf_dir).fx_docs.withColumn("text", F.concat("text", F.when(F.col("m1").rlike("^[ACG]"), " see Figure ").otherwise(" in the text, of "), "m1"))
     s = d.select("doc_id", (F.length("text") - F.length("m1")).alias("start_off"), F.length("text").alias("end_off"), F.col("m1").alias("mention"))
     return spans.filter_context(s, d).select("doc_id", "drop_reason")
 
 
 @query("""
 select doc_id, k.kind etype, m_start + length(pre) start_off, m_start + length(pre) + length(t) end_off, t mention from (
- select doc_id, length(m1) m_start, ' on ' pre, concat('chr', cast(cast(doc_id as int) % 22 + 1 as string), ':', cast(cast(doc_id as int) * 1000 + 5 as string), '-', cast(cast(doc_id as int) * 1000 + 900 as string)) t from fx_docs
+ select doc_id, length(text) m_start, ' on ' pre, concat('chr', cast(cast(doc_id as int) % 22 + 1 as string), ':', cast(cast(doc_id as int) * 1000 + 5 as string), '-', cast(cast(doc_id as int) * 1000 + 900 as string)) t from fx_docs
 ) x, (select 'GenomicRegion' kind) k
 """)
 def tag_regions(spark, sf_dir):
     n = F.col("doc_id").cast("int")
     t = F.concat(F.lit("chr"), (n % 22 + 1).cast("string"), F.lit(":"), (n * 1000 + 5).cast("string"), F.lit("-"), (n * 1000 + 900).cast("string"))
-    d = Inputs(spark, sf_dir).fx_docs.select("doc_id", F.concat("m1", F.lit(" on "), t, F.lit(".")).alias("text"))
+    d = Inputs(spark, sf_dir).fx_docs.select("doc_id", F.concat("text", F.lit(" on "), t, F.lit(".")).alias("text"))
     return spans.tag_regions(d).select("doc_id", "etype", F.col("start_off").cast("bigint").alias("start_off"), F.col("end_off").cast("bigint").alias("end_off"), "mention")
 
 
 @query("""
-select doc_id, cast(length(m1) + 4 as int) start_off, cast(length(m1) + 4 + length(t) as int) end_off, t mention, 'RefSeq' etype
-from (select doc_id, m1, concat('NM_', cast(100000 + cast(doc_id as int) as string), '.', cast(cast(doc_id as int) % 9 + 1 as string)) t from fx_docs) x
+select doc_id, cast(n + 4 as int) start_off, cast(n + 4 + length(t) as int) end_off, t mention, 'RefSeq' etype
+from (select doc_id, length(text) n, concat('NM_', cast(100000 + cast(doc_id as int) as string), '.', cast(cast(doc_id as int) % 9 + 1 as string)) t from fx_docs) x
 """)
 def tag_refseq(spark, sf_dir):
     n = F.col("doc_id").cast("int")
-    d = Inputs(spark, sf_dir).fx_docs.select("doc_id", F.concat("m1", F.lit(" in "), F.lit("NM_"), (n + 100000).cast("string"), F.lit("."), (n % 9 + 1).cast("string"), F.lit(". End")).alias("text"))
+    d = Inputs(spark, sf_dir).fx_docs.select("doc_id", F.concat("text", F.lit(" in "), F.lit("NM_"), (n + 100000).cast("string"), F.lit("."), (n % 9 + 1).cast("string"), F.lit(". End")).alias("text"))
     return spans.tag_refseq(d)
 
 
 @query("""
-select distinct doc_id, cast(length(concat('x ', m1, ' and ')) as int) start_off, cast(length(concat('x ', m1, ' and ')) + length(m1) - 1 as int) end_off, substr(m1, 1, length(m1) - 1) mention from fx_docs
+select distinct doc_id, cast(length(text) + 5 as int) start_off, cast(length(text) + 5 + length(m1) - 1 as int) end_off, substr(m1, 1, length(m1) - 1) mention from fx_docs
 """)
 def tag_document_alleles(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
-    docs = d.select("doc_id", F.concat(F.lit("x "), "m1", F.lit(" and "), F.expr("substr(m1, 1, length(m1) - 1)"), F.lit(" too")).alias("text"))
+    docs = d.select("doc_id", F.concat("text", F.lit(" and "), F.expr("substr(m1, 1, length(m1) - 1)"), F.lit(" too")).alias("text"))
     parts = d.select("doc_id", F.lit("ProteinMutation").alias("etype"), F.substring("m1", 1, 1).alias("wild"), F.expr("substr(m1, 2, length(m1) - 2)").alias("pos"), F.expr("right(m1, 1)").alias("mut"))
     return spans.tag_document_alleles(docs, parts).drop("etype")
 
 
 @query("""
-select doc_id, cast(6 as int) start_off, cast(6 + length(concat('GENE', g, m1)) as int) end_off, concat('GENE', g, m1) mention, 'ProteinMutation' etype, concat('id', m1) ident
-from (select doc_id, m1, cast(cast(doc_id as int) % 50 as string) g from fx_docs) x
+select doc_id, cast(n + 7 as int) start_off, cast(n + 7 + length(concat('GENE', g, m1)) as int) end_off, concat('GENE', g, m1) mention, 'ProteinMutation' etype, concat('id', m1) ident
+from (select doc_id, m1, length(text) n, cast(cast(doc_id as int) % 50 as string) g from fx_docs) x
 """)
 def tag_fused_lexicon(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
     fused = F.concat(F.lit("GENE"), (F.col("doc_id").cast("int") % 50).cast("string"), "m1")
-    tokens = documents.tokenize(d.select("doc_id", F.concat(F.lit("Here, "), fused, F.lit(" is found.")).alias("text")))
+    tokens = documents.tokenize(d.select("doc_id", F.concat("text", F.lit(" Here, "), fused, F.lit(" is found.")).alias("text")))
     lex = d.select(spans.normal_key(fused).alias("key"), F.lit("ProteinMutation").alias("etype"), F.concat(F.lit("id"), "m1").alias("ident")).distinct()
     return spans.tag_fused_lexicon(tokens, lex, 10)
 
@@ -227,26 +227,26 @@ def mention_list_to_form(spark, sf_dir):
 
 
 @query("""
-select doc_id, 4 start_off,
- cast(4 + length(x) as int) end_off, x mention from (select doc_id, m_start, case when cast(doc_id as int) % 2 = 0 then concat('NM_1234.5:', m2) else m2 end x from fx_docs) y
+select doc_id, cast(n + 4 as int) start_off,
+ cast(n + 4 + length(x) as int) end_off, x mention from (select doc_id, length(text) n, case when cast(doc_id as int) % 2 = 0 then concat('NM_1234.5:', m2) else m2 end x from fx_docs) y
 """)
 def attach_refseq_prefix(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
     prefix = F.when(F.col("doc_id").cast("int") % 2 == 0, "NM_1234.5:").otherwise("")
-    docs = d.select("doc_id", "m2", F.concat(F.lit("see "), prefix, "m2").alias("text"))
+    docs = d.select("doc_id", "m2", F.concat("text", F.lit("see "), prefix, "m2").alias("text"))
     s = docs.select("doc_id", (F.length("text") - F.length("m2")).alias("start_off"), F.length("text").alias("end_off"), F.col("m2").alias("mention"))
     return spans.attach_refseq_prefix(s, docs)
 
 
 @query("""
-select doc_id, 3 start_off, cast(5 + length(m2) as int) end_off, concat('(', m2, ')') mention, 'DNAMutation' etype from fx_docs where cast(doc_id as int) % 2 = 0
-union all select doc_id, 4, cast(4 + length(m2) + 2 as int), concat(m2, '/A'), 'DNAMutation' from fx_docs where cast(doc_id as int) % 2 = 1
+select doc_id, cast(length(text) + 3 as int) start_off, cast(length(text) + 5 + length(m2) as int) end_off, concat('(', m2, ')') mention, 'DNAMutation' etype from fx_docs where cast(doc_id as int) % 2 = 0
+union all select doc_id, cast(length(text) + 4 as int), cast(length(text) + 4 + length(m2) + 2 as int), concat(m2, '/A'), 'DNAMutation' from fx_docs where cast(doc_id as int) % 2 = 1
 """)
 def repair_boundaries(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
     even = F.col("doc_id").cast("int") % 2 == 0
-    docs = d.select("doc_id", "m2", F.when(even, F.concat(F.lit("in ("), "m2", F.lit(") x"))).otherwise(F.concat(F.lit("see "), "m2", F.lit("/A x"))).alias("text"))
-    s = docs.select("doc_id", F.when(F.col("doc_id").cast("int") % 2 == 0, 3).otherwise(4).alias("start_off"), (F.length("m2") + 4).alias("end_off"), F.when(F.col("doc_id").cast("int") % 2 == 0, F.concat(F.lit("("), "m2")).otherwise(F.col("m2")).alias("mention"), F.lit("DNAMutation").alias("etype"))
+    docs = d.select("doc_id", "m2", F.length("text").alias("n"), F.when(even, F.concat("text", F.lit("in ("), "m2", F.lit(") x"))).otherwise(F.concat("text", F.lit("see "), "m2", F.lit("/A x"))).alias("text"))
+    s = docs.select("doc_id", (F.col("n") + F.when(F.col("doc_id").cast("int") % 2 == 0, 3).otherwise(4)).alias("start_off"), (F.col("n") + F.length("m2") + 4).alias("end_off"), F.when(F.col("doc_id").cast("int") % 2 == 0, F.concat(F.lit("("), "m2")).otherwise(F.col("m2")).alias("mention"), F.lit("DNAMutation").alias("etype"))
     return spans.repair_boundaries(s, docs)
 
 
