@@ -49,8 +49,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 ERRORS = 5.0
 #: Members of a block.
 BLOCK = 256
-
-SPACE = b" \t\n\x0b\x0c\r"
+#: Bits of the filter before texts are fetched.
+FILTER_BITS = 1 << 23
 
 
 @functools.lru_cache(maxsize=4)
@@ -89,9 +89,8 @@ class WordHashes:
         return self.values[at]
 
 
-@functools.lru_cache(maxsize=1)
 def word_hashes() -> WordHashes:
-    return WordHashes()
+    return common.kept("word hashes", WordHashes)
 
 
 def shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -232,8 +231,8 @@ def components(spark: SparkSession, edges: DataFrame, scratch: common.Scratch) -
 
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, link: tuple[int, int]) -> DataFrame:
     """Of the pairs (a, b) those whose full sets are linked; texts: rep, text."""
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")).hint("merge")
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")).hint("merge")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -288,9 +287,11 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     keyed = one.select("rep", band.alias("band", "key")).select("rep", "key")
     buckets = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
     member = scratch.table(keyed.join(buckets, "key").where("rep <> pivot"))
+    # texts and sketches of the documents in any bucket, fetched once
+    wanted = member.select(F.explode(F.array("rep", "pivot")).alias("rep")).distinct()
+    near = scratch.table(_fetch(texts, one, scratch.table(wanted)))
     # 3. pairs with the pivot, estimated, then confirmed
     star = member.select(F.col("rep").alias("b"), F.col("pivot").alias("a")).distinct()
-    sketch = one.select("rep", "registers", "n")
     spread = np.sqrt(link[0] / link[1] * (1 - link[0] / link[1]) / (ROWS * BANDS))
     least = link[0] / link[1] - ERRORS * spread
 
@@ -300,13 +301,12 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
             y = np.frombuffer(b"".join(pdf["rb"]), np.uint16).reshape(len(pdf), -1)
             yield pdf.loc[estimate(x, y, pdf["na"].to_numpy(float), pdf["nb"].to_numpy(float)) >= least, ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
 
-    joined = star.join(sketch.select(F.col("rep").alias("a"), F.col("registers").alias("ra"), F.col("n").alias("na")), "a").join(sketch.select(F.col("rep").alias("b"), F.col("registers").alias("rb"), F.col("n").alias("nb")), "b")
+    left = near.select(F.col("rep").alias("a"), F.col("registers").alias("ra"), F.col("n").alias("na")).hint("merge")
+    right = near.select(F.col("rep").alias("b"), F.col("registers").alias("rb"), F.col("n").alias("nb")).hint("merge")
     # sizes too far apart can't be linked
-    joined = joined.where(link[1] * F.least("na", "nb") >= link[0] * F.greatest("na", "nb"))
+    joined = star.join(left, "a").join(right, "b").where(link[1] * F.least("na", "nb") >= link[0] * F.greatest("na", "nb"))
     pairs = scratch.table(joined.select("a", "b", "ra", "rb", "na", "nb").mapInPandas(likely, "a long, b long"))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    by_rep = _texts_of(texts, one, wanted)
-    links = scratch.table(_confirm(pairs, scratch.table(by_rep), size, link))
+    links = scratch.table(_confirm(pairs, near.select("rep", "text"), size, link))
     # 4. buckets that are not yet of one component
     found = scratch.table(components(spark, links, scratch))
     inside = member.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -317,8 +317,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     own = F.pmod(F.xxhash64(F.lit("block"), "rep"), blocks.cast("long")).cast("int")
     rest = inside.join(open_, "key").select("key", "rep", "component", own.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     rest = scratch.table(rest.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "component"))
-    more_texts = scratch.table(_texts_of(texts, one, rest.select("rep").distinct()))
-    more = rest.join(more_texts, "rep").groupBy("key", "i", "j").applyInPandas(lambda pdf: _block_links(pdf, size, link), "a long, b long")
+    more = rest.join(near.select("rep", "text").hint("merge"), "rep").groupBy("key", "i", "j").applyInPandas(lambda pdf: _block_links(pdf, size, link), "a long, b long")
     every = scratch.table(links.unionByName(more).distinct())
     # 5. classes
     final = components(spark, every, scratch).withColumnRenamed("node", "rep")
@@ -341,6 +340,26 @@ def without_copies(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] =
     return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
 
 
-def _texts_of(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, text of the representatives wanted."""
-    return texts.where("text is not null and doc_id is not null").join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")).withColumnRenamed("doc_id", "rep")
+def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose key may be among the wanted: a bit for each hash, in a table of bits / 8 bytes at most.
+
+    Its size is fixed, so it may be broadcast; rows that it lets through by
+    chance are for an exact join to tell.
+    """
+    def place(name: str) -> tuple:
+        h = F.pmod(F.xxhash64(F.lit("filter"), name), F.lit(bits))
+        return F.floor(h / 32768).cast("int"), (h % 32768).cast("int")
+
+    bucket, bit = place(key)
+    maps = wanted.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_map"))
+    at = rows.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(maps), "_bucket")
+    byte = F.conv(F.hex(F.substring("_map", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return at.withColumn("_byte", byte).where(F.expr("shiftright(_byte, _bit % 8) & 1 = 1")).select(*rows.columns)
+
+
+def _fetch(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, text, registers, n of the representatives wanted (rep)."""
+    ids = wanted.withColumnRenamed("rep", "doc_id")
+    some = _maybe_in(texts.where("text is not null and doc_id is not null"), "doc_id", ids)
+    found = some.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")).withColumnRenamed("doc_id", "rep")
+    return found.join(_maybe_in(one.select("rep", "registers", "n"), "rep", wanted).hint("merge"), "rep")
