@@ -32,7 +32,7 @@ from {{documents}}
     "fx_ann": f"""
 select (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_suppkey ann_id, cast(l_orderkey % 1000 as string) doc_id,
  cast(l_linenumber * 97 + l_partkey % 50 as int) start_off,
- cast(l_linenumber * 97 + l_partkey % 50 as int) + length(concat(w, p, u)) end_off,
+ cast(l_linenumber * 97 + l_partkey % 50 + length(concat(w, p, u)) as int) end_off,
  concat(w, p, u) mention,
  case when l_linenumber % 4 = 0 then 'Gene' when l_linenumber % 4 = 3 then 'Species' else 'ProteinMutation' end etype,
  case when l_linenumber % 4 = 0 then cast(l_suppkey % 50 as string)

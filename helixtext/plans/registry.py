@@ -897,7 +897,7 @@ def organism_summary(spark, sf_dir):
     return report.organism_summary(Inputs(spark, sf_dir).fx_ann, per_document=True)
 
 
-@query("select mention, etype, n, 25 shown, total from (select mention, etype, count(*) n, count(*) over () total from fx_ann group by mention, etype) x order by n desc, mention, etype limit 25")
+@query("select mention, etype, n, cast(25 as bigint) shown, total from (select mention, etype, count(*) n, count(*) over () total from fx_ann group by mention, etype) x order by n desc, mention, etype limit 25")
 def top_n_by_type(spark, sf_dir):
     n = Inputs(spark, sf_dir).fx_ann.groupBy("mention", "etype").agg(F.count("*").alias("n"))
     return report.top_n(n, 25, "n")
