@@ -215,10 +215,10 @@ def components(spark: SparkSession, edges: DataFrame, scratch: common.Scratch) -
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        new = scratch.table(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        new = scratch.table(small)
         state = new.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_000_007), F.lit(0))).first()
         scratch.drop(now)
         now = new
@@ -313,10 +313,11 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     open_ = inside.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("rep") % 2_147_483_629).alias("members")).where("low < high")
     # the same members in many buckets are looked at once
     open_ = open_.groupBy("n", "members", "low", "high").agg(F.min("key").alias("key")).select("key", "n")
+    groups = scratch.table(_groups(inside.join(open_, "key").select("key", "rep", "component"), block, scratch))
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit("block"), "rep"), blocks.cast("long")).cast("int")
-    rest = inside.join(open_, "key").select("key", "rep", "component", own.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    rest = scratch.table(rest.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "component"))
+    rest = groups.select("key", "rep", "component", own.alias("mine"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rest = rest.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", "component")
     more = rest.join(near.select("rep", "text").hint("merge"), "rep").groupBy("key", "i", "j").applyInPandas(lambda pdf: _block_links(pdf, size, link), "a long, b long")
     every = scratch.table(links.unionByName(more).distinct())
     # 5. classes
@@ -327,6 +328,30 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _groups(members: DataFrame, block: int, scratch: common.Scratch) -> DataFrame:
+    """key, n, rep, component: the groups whose pairs are to be looked at, from the members of open buckets (key, rep, component).
+
+    Bands cut a group of near copies into many buckets that share most members.
+    Buckets that meet, over a member or two, are one group where that makes fewer
+    rows than the buckets by themselves, and stay apart where it doesn't; every
+    pair of a bucket is in a group either way.
+    """
+    members = scratch.table(members)
+    near = members.groupBy("key").agg(F.min("rep").alias("cluster"))
+    for _ in range(2):
+        least = members.join(near, "key").groupBy("rep").agg(F.min("cluster").alias("cluster"))
+        near = members.join(least, "rep").groupBy("key").agg(F.min("cluster").alias("cluster"))
+    placed = scratch.table(members.join(near, "key"))
+    cost = lambda n: n * F.ceil(n / block)
+    buckets = placed.groupBy("cluster", "key").agg(F.count("*").alias("n"))
+    whole = placed.select("cluster", "rep").distinct().groupBy("cluster").agg(F.count("*").alias("size"))
+    apart = buckets.groupBy("cluster").agg(F.sum(cost(F.col("n"))).alias("apart"))
+    choice = whole.join(apart, "cluster").select("cluster", "size", (cost(F.col("size")) <= F.col("apart")).alias("one"))
+    one = placed.select("cluster", "rep", "component").distinct().join(choice.where("one"), "cluster").select(F.concat(F.lit("c"), F.col("cluster").cast("string")).alias("key"), F.col("size").alias("n"), "rep", "component")
+    many = placed.join(choice.where("not one").select("cluster"), "cluster").join(buckets.select("key", "n"), "key").select(F.concat(F.lit("b"), F.col("key").cast("string")).alias("key"), "n", "rep", "component")
+    return one.unionByName(many)
+
+
 def without_copies(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK) -> DataFrame:
     """One document of each class, the one with the smallest id; of rows that repeat an id and its text one stays."""
     scratch = common.Scratch(docs.sparkSession)
