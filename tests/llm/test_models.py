@@ -80,6 +80,29 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert {(r.score, r.predicted) for r in none.collect()} == {(0.0, 0)}
 
 
+def test_toxicity_counts_all_labelled_documents_but_the_curves(spark):
+    texts = [f"plain words number{i} stay" for i in range(300)] + [f"foul things number{i} go" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") >= 300).cast("int").alias("toxic"))
+    model = toxicity.train(spark, docs, labels, most=20)
+    # four words a document; of 600 documents at most 20 a class are the curve's
+    assert model.seen[:, model.beginnings == 0].ravel().tolist() == [4 * 280, 4 * 280]
+    rows = [("plain", 0, 280), ("foul", 1, 280), ("a" * 15, 0, 3), ("ab", 1, 1)]
+    words = spark.createDataFrame(rows, "word string, toxic int, n long").repartition(3)
+    chars = "".join(sorted(set("".join(w for w, _, _ in rows))))
+    got = toxicity.count(words, chars, [283, 281], common.Scratch(spark))
+    code, starts, lengths = toxicity.codes([w for w, _, _ in rows], chars)
+    h = np.zeros(len(rows), np.uint64)
+    for k in range(1, 4):  # each word's first letters
+        live = [i for i, (w, _, _) in enumerate(rows) if len(w) + 1 >= k]
+        h[live] = toxicity.beginnings(code, starts[live], lengths[live], k, h[live])
+        for i in live:
+            alike = [r for r in rows if (r[0] + "\x00")[:k] == (rows[i][0] + "\x00")[:k]]
+            if sum(n for _, _, n in alike) >= 2:
+                assert got.seen[:, got.beginnings == h[i]].ravel().tolist() == [sum(n for _, t, n in alike if t == c) for c in (0, 1)]
+    assert got.follow[:, got.beginnings == 0].ravel().tolist() == [2, 2]
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(1)
     base = 5
