@@ -135,12 +135,13 @@ def variant_edges(ann: DataFrame, found: DataFrame, links: DataFrame, inclusive:
     return by_rs.unionByName(place).unionByName(linked).unionByName(codon).distinct()
 
 
-def variant_groups(ann: DataFrame, edges: DataFrame, rounds: int = 30) -> DataFrame:
+def variant_groups(ann: DataFrame, edges: DataFrame) -> DataFrame:
     """doc_id, ident, group_id: connected identifiers, groups numbered from 0 by their first mention.
 
-    Edges never leave a document. Labels go along edges and then to the label of
-    the label, so rounds grow with the logarithm of a chain; lineage is cut by
-    checkpoints in the shared folder.
+    Edges never leave a document. Large-star and small-star steps in turn, until
+    nothing changes: each shortens the way to the smallest identifier, and no
+    identifier gathers more than its own edges. Lineage is cut by checkpoints in
+    the shared folder.
     """
     spark = ann.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -148,17 +149,20 @@ def variant_groups(ann: DataFrame, edges: DataFrame, rounds: int = 30) -> DataFr
 
         spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="helixtext-"))
     nodes = ann.groupBy("doc_id", "ident").agg(F.min("start_off").alias("first"))
-    both = edges.select("doc_id", "a", "b").unionByName(edges.select("doc_id", F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = nodes.select("doc_id", "ident", F.col("ident").alias("label")).checkpoint()
-    for _ in range(rounds):
-        near = both.join(label.select("doc_id", F.col("ident").alias("b"), F.col("label").alias("near")), ["doc_id", "b"]).groupBy("doc_id", F.col("a").alias("ident")).agg(F.min("near").alias("near"))
-        new = label.join(near, ["doc_id", "ident"], "left").select("doc_id", "ident", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
-        jump = new.select("doc_id", F.col("ident").alias("label"), F.col("label").alias("further"))
-        new = new.join(jump, ["doc_id", "label"], "left").select("doc_id", "ident", F.least("label", F.coalesce("further", "label")).alias("label"), "old").checkpoint()
-        changed = new.where(F.col("label") != F.col("old")).limit(1).count()
-        label = new.select("doc_id", "ident", "label")
+    now = edges.where("a <> b").select("doc_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    while True:
+        both = now.unionByName(now.select("doc_id", F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("doc_id", "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, ["doc_id", "a"]).where("b > a").select("doc_id", F.col("b").alias("a"), F.col("m").alias("b"))
+        low = large.groupBy("doc_id", "a").agg(F.min("b").alias("m"))
+        small = large.join(low, ["doc_id", "a"]).where("b <> m").select("doc_id", F.col("b").alias("a"), F.col("m").alias("b"))
+        new = small.unionByName(low.select("doc_id", "a", F.col("m").alias("b"))).distinct().checkpoint()
+        changed = new.join(now, ["doc_id", "a", "b"], "left_anti").limit(1).count() or now.join(new, ["doc_id", "a", "b"], "left_anti").limit(1).count()
+        now = new
         if not changed:
             break
+    # now every edge leads to the smallest identifier of its group
+    label = nodes.join(now.select("doc_id", F.col("a").alias("ident"), F.col("b").alias("label")), ["doc_id", "ident"], "left").select("doc_id", "ident", F.coalesce("label", "ident").alias("label"))
     first = nodes.join(label, ["doc_id", "ident"]).withColumn("group_first", F.min("first").over(Window.partitionBy("doc_id", "label")))
     w = Window.partitionBy("doc_id").orderBy("group_first", "label")
     return first.select("doc_id", "ident", (F.dense_rank().over(w) - 1).alias("group_id"))

@@ -93,6 +93,15 @@ def test_codon_links_and_groups(spark):
     assert groups == {"p|SUB|V|600|E": 0, "c|SUB|T|1799|A": 0, "c|Allele|T|1858": 1, "c|SUB|C|1858|T": 1, "p|SUB|A|1|T": 2}
 
 
+def test_a_long_chain_is_one_group(spark):
+    # the smallest identifier hangs on the far end
+    names = [f"v{i:03d}" for i in range(1, 201)] + ["v000"]
+    ann = spark.createDataFrame([("d", i, n) for i, n in enumerate(names)] + [("e", 0, "v001")], "doc_id string, start_off int, ident string")
+    edges = spark.createDataFrame([("d", min(a, b), max(a, b), "place") for a, b in zip(names, names[1:])], "doc_id string, a string, b string, reason string")
+    groups = associate.variant_groups(ann, edges).collect()
+    assert len(groups) == 202 and {(r.doc_id, r.group_id) for r in groups} == {("d", 0), ("e", 0)}
+
+
 def test_most_frequent_rs(spark):
     lists = spark.createDataFrame([(1, [121913377, 113488022])], "id int, rs array<long>")
     freq = spark.createDataFrame([(113488022, 90), (121913377, 5)], "rs long, freq int")
