@@ -197,22 +197,31 @@ def render_hgvs_item(item: Column) -> Column:
 def lookup_forms(ident: Column) -> Column:
     """Dictionary keys of a variant, each with its kind, without repeats.
 
-    Struct kind, rank, key: the form itself, each pair of listed residues, its
+    Struct kind, rank, key: the form itself, each pair of listed residues (of a
+    listed wild residue with its own position, if there are as many), its
     reverse, a synonymous change as ``=``, the genomic form of a far position,
-    the protein form of a short coding one, and the places next to it.
+    the protein form of a short coding one, and the places next to it. DEL, INS,
+    INDEL and DUP also have a key without residues, FS one without its place.
     """
     v = parse_identifier(ident)
     bar = lambda *x: F.concat_ws("|", *x)
     form = lambda kind, rank, key: F.struct(F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), key.alias("key"))
     seq, pos, near = v["seq"], v["pos"], v["pos"].try_cast("bigint")
-    sub = v["vtype"] == "SUB"
-    pairs = F.flatten(F.transform(F.split(v["wild"], ","), lambda w: F.transform(F.split(v["mut"], ","), lambda m: F.struct(w.alias("w"), m.alias("m")))))
+    wilds, places = F.split(v["wild"], ","), F.split(v["pos"], ",")
+    zipped = (F.size(wilds) == F.size(places)) & (F.size(wilds) > 1)
+    placed = F.transform(wilds, lambda w, i: F.struct(w.alias("w"), F.when(zipped, F.get(places, i)).otherwise(pos).alias("p")))
+    pairs = F.flatten(F.transform(placed, lambda x: F.transform(F.split(v["mut"], ","), lambda m: F.struct(x["w"].alias("w"), x["p"].alias("p"), m.alias("m")))))
     none = F.array().cast("array<struct<kind:string,rank:int,key:string>>")
-    direct = F.transform(pairs, lambda p: form("direct", 0, bar(seq, F.lit("SUB"), p["w"], pos, p["m"])))
-    back = F.transform(pairs, lambda p: form("reversed", 1, bar(seq, F.lit("SUB"), p["m"], pos, p["w"])))
-    same = F.transform(F.filter(pairs, lambda p: p["w"] == p["m"]), lambda p: form("direct", 0, bar(seq, F.lit("SUB"), p["w"], pos, F.lit("="))))
-    far = F.when((seq == "c") & (F.length(pos) >= 5), F.transform(pairs, lambda p: form("genomic", 2, bar(F.lit("g"), F.lit("SUB"), p["w"], pos, p["m"])))).otherwise(none)
-    fallback = F.when((seq == "c") & (near < 3000), F.transform(pairs, lambda p: form("protein", 3, bar(F.lit("p"), F.lit("SUB"), p["w"], pos, p["m"])))).otherwise(none)
+    listed = F.when(F.size(pairs) > 1, F.array(form("direct", 0, bar(seq, F.lit("SUB"), v["wild"], pos, v["mut"])))).otherwise(none)
+    direct = F.transform(pairs, lambda p: form("direct", 0, bar(seq, F.lit("SUB"), p["w"], p["p"], p["m"])))
+    back = F.transform(pairs, lambda p: form("reversed", 1, bar(seq, F.lit("SUB"), p["m"], p["p"], p["w"])))
+    same = F.transform(F.filter(pairs, lambda p: p["w"] == p["m"]), lambda p: form("direct", 0, bar(seq, F.lit("SUB"), p["w"], p["p"], F.lit("="))))
+    far = F.when((seq == "c") & (F.length(pos) >= 5) & ~zipped, F.transform(pairs, lambda p: form("genomic", 2, bar(F.lit("g"), F.lit("SUB"), p["w"], p["p"], p["m"])))).otherwise(none)
+    short = F.filter(pairs, lambda p: (seq == "c") & (p["p"].try_cast("bigint") < 3000))
+    fallback = F.transform(short, lambda p: form("protein", 3, bar(F.lit("p"), F.lit("SUB"), p["w"], p["p"], p["m"])))
     beside = F.when(near.isNotNull(), F.flatten(F.transform(pairs, lambda p: F.array(*[form("beside", 4, bar(seq, F.lit("SUB"), p["w"], (near + k).cast("string"), p["m"])) for k in (-1, 1)])))).otherwise(none)
-    subs = F.concat(direct, back, same, far, fallback, beside)
-    return F.array_distinct(F.when(sub, subs).otherwise(F.array(form("direct", 0, ident))))
+    subs = F.concat(listed, direct, back, same, far, fallback, beside)
+    itself = form("direct", 0, ident)
+    bare = F.array(itself, form("direct", 0, bar(seq, v["vtype"], pos, F.lit(""), F.when(v["vtype"] == "DUP", F.lit("")))))
+    shift = F.array(itself, form("direct", 0, bar(seq, F.lit("FS"), v["wild"], pos, v["mut"], F.lit(""))))
+    return F.array_distinct(F.when(v["vtype"] == "SUB", subs).when(v["vtype"].isin("DEL", "INS", "INDEL", "DUP"), bare).when(v["vtype"] == "FS", shift).otherwise(F.array(itself)))

@@ -37,13 +37,20 @@ def candidate_forms(ann: DataFrame, kinds: tuple[str, ...] = ("direct", "reverse
     return ann.select("ann_id", "doc_id", "ident").join(forms.where(F.col("kind").isin(*kinds)), "ident")
 
 
-def match_var2rs(ann: DataFrame, var2rs: DataFrame) -> DataFrame:
-    """Dictionary hits of all forms with the kind of form they came by (E3). var2rs: form, rs.
+def match_var2rs(ann: DataFrame, var2rs: DataFrame, protein_change: DataFrame | None = None) -> DataFrame:
+    """Dictionary hits of all forms with the kind of form they came by (E3). var2rs and protein_change: form, rs.
 
     Distinct identifiers meet the knowledge base, then annotations are joined back.
+    With a dictionary of protein changes its direct and reversed hits rank 3 and 4,
+    before the protein form of a coding change, which then is 5.
     """
     forms = ann.select("ident").distinct().select("ident", F.explode(variants.lookup_forms(F.col("ident"))).alias("f")).select("ident", F.col("f.kind").alias("kind"), F.col("f.rank").alias("form_rank"), F.col("f.key").alias("form")).where("kind <> 'beside'")
-    hits = forms.join(var2rs.select("form", "rs"), "form").groupBy("ident", "rs").agg(F.min("form_rank").alias("form_rank"), F.min_by("kind", "form_rank").alias("kind"))
+    met = forms.join(var2rs.select("form", "rs"), "form")
+    if protein_change is not None:
+        changes = forms.where(F.col("kind").isin("direct", "reversed")).join(protein_change.select("form", "rs"), "form")
+        changes = changes.withColumns({"kind": F.when(F.col("kind") == "direct", "protein change").otherwise("reversed protein change"), "form_rank": F.col("form_rank") + 3})
+        met = met.withColumn("form_rank", F.when(F.col("kind") == "protein", 5).otherwise(F.col("form_rank"))).unionByName(changes)
+    hits = met.groupBy("ident", "rs").agg(F.min("form_rank").alias("form_rank"), F.min_by("kind", "form_rank").alias("kind"))
     return ann.select("ann_id", "doc_id", "ident").join(hits, "ident").select("ann_id", "doc_id", "rs", "kind", "form_rank")
 
 

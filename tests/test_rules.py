@@ -102,6 +102,32 @@ def test_a_long_chain_is_one_group(spark):
     assert len(groups) == 202 and {(r.doc_id, r.group_id) for r in groups} == {("d", 0), ("e", 0)}
 
 
+@pytest.mark.parametrize(
+    ("ident", "keys"),
+    [
+        ("c|DEL|123|A", {"c|DEL|123|A", "c|DEL|123|"}),
+        ("c|INS|34_35|G", {"c|INS|34_35|G", "c|INS|34_35|"}),
+        ("c|INDEL|5_7|TC", {"c|INDEL|5_7|TC", "c|INDEL|5_7|"}),
+        ("c|DUP|9|T|", {"c|DUP|9|T|", "c|DUP|9||"}),
+        ("p|FS|V|35|A|25", {"p|FS|V|35|A|25", "p|FS|V|35|A|"}),
+        ("p|SUB|V,A|600,12|E", {"p|SUB|V,A|600,12|E", "p|SUB|V|600|E", "p|SUB|A|12|E"}),
+        ("rs12345", {"rs12345"}),
+    ],
+)
+def test_direct_keys(spark, ident, keys):
+    forms = one(spark, variants.lookup_forms(F.col("i")), i=ident)
+    assert {f.key for f in forms if f.kind == "direct"} == keys
+
+
+def test_rows_without_residues_and_protein_changes_are_met(spark):
+    ann = spark.createDataFrame([(1, "d", "c|DEL|123|A"), (2, "d", "p|SUB|V|600|E"), (3, "d", "c|SUB|V|30|E")], "ann_id long, doc_id string, ident string")
+    var2rs = spark.createDataFrame([("c|DEL|123|", 10), ("p|SUB|V|30|E", 40)], "form string, rs long")
+    changes = spark.createDataFrame([("p|SUB|V|600|E", 20), ("p|SUB|E|600|V", 30)], "form string, rs long")
+    got = {(r.ann_id, r.rs, r.kind, r.form_rank) for r in normalize.match_var2rs(ann, var2rs, changes).collect()}
+    assert got == {(1, 10, "direct", 0), (2, 20, "protein change", 3), (2, 30, "reversed protein change", 4), (3, 40, "protein", 5)}
+    assert {(r.rs, r.form_rank) for r in normalize.match_var2rs(ann, var2rs).collect()} == {(10, 0), (40, 3)}
+
+
 def test_most_frequent_rs(spark):
     lists = spark.createDataFrame([(1, [121913377, 113488022])], "id int, rs array<long>")
     freq = spark.createDataFrame([(113488022, 90), (121913377, 5)], "rs long, freq int")
