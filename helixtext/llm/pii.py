@@ -54,6 +54,14 @@ AT_WORDS = ("at", "arobase", "arroba", "klammeraffe")
 DOT_WORDS = ("dot", "punkt", "point", "punto")
 PLUS_WORDS = ("plus", "más")
 ENDINGS = frozenset("com org net edu gov mil int info biz io co uk us eu de fr es it nl ch at be ca au jp cn in ru br test example".split())
+ENDINGS |= frozenset("pl se fi dk pt cz gr hu ro ie nz kr mx ar cl za tr ua il sg hk tw lu sk lt lv ee bg hr app dev xyz online site shop eus cat".split())
+#: Words that come before a plain "at" in a sentence and are no local part.
+NO_LOCAL = frozenset(
+    "look looks looking looked us me him her them it is are was were be been am here there now more available found find visit online published posted hosted"
+    " live see read page pages site website blog home store shop shopping and or of the a an this that these those out up down in on contact work works working"
+    " order orders free only also directly details information register sign join download start starting listed sold buy guide article document program code"
+    " day night time least best worst once all not just still back again over arrive arrived meet met stay stayed anyone someone everyone everything you we they i".split()
+)
 #: Digit words that must follow one another to be read as digits.
 LEAST_SPELLED = 4
 
@@ -61,6 +69,10 @@ _DIGIT = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
 # one digit may be written as such between spelled ones
 SPELLED = re.compile(rf"(?<![^\W_])(?:(?:{'|'.join(PLUS_WORDS)})[ ,.-]+)?(?:{_DIGIT}|[0-9])(?:[ ,.-]{{1,3}}(?:{_DIGIT}|[0-9])){{{LEAST_SPELLED - 1},}}(?![^\W_])", re.IGNORECASE)
+# written and spelled digits of any number side by side, and four dotted parts of them
+_SEP = r"[ ,.()-]{1,3}"
+_TOKEN = rf"(?:{'|'.join(PLUS_WORDS)}|{_DIGIT}|[0-9]++)(?![^\W_])"
+MIXED = re.compile(rf"(?<![^\W_])\+?{_TOKEN}(?:{_SEP}\+?{_TOKEN})++", re.IGNORECASE)
 SPELLED_WORD = re.compile(rf"(?<![^\W_])(?:{_DIGIT}|{'|'.join(PLUS_WORDS)})(?![^\W_])", re.IGNORECASE)
 _OPEN, _CLOSE = r"[ ]{0,2}[\[({<][ ]?", r"[ ]?[\])}>][ ]{0,2}"
 AT_MARK = rf"(?:{_OPEN}(?:{_AT}|@){_CLOSE}|[ ]+(?:{_AT}|@)[ ]+|[ ]+@|@[ ]+|@)"
@@ -69,6 +81,12 @@ DOT_MARK = rf"(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|[ ]+(?:{_DOT})[ ]+|\.)"
 ADDRESS = re.compile(rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++(?:(?:{_OPEN}(?:{_DOT}){_CLOSE}|[ ]+(?:{_DOT})[ ]+)[A-Za-z0-9._%+-]++)*)({AT_MARK})([A-Za-z0-9-]++)((?:{DOT_MARK}[A-Za-z0-9-]++)+)", re.IGNORECASE)
 NUMBER_DOTS = re.compile(rf"(?<![0-9])[0-9]++(?:{DOT_MARK}[0-9]++){{3}}", re.IGNORECASE)
 PART = re.compile(DOT_MARK, re.IGNORECASE)
+# a full stop with a blank behind it alone ends a sentence
+_ANY_DOT = rf"(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|[ ]+(?:{_DOT})[ ]+|[ ]\.[ ]|\.)"
+_NUMBER = rf"(?:[0-9]{{1,3}}|(?:{_DIGIT}|[0-9])(?:[ ,-]{{1,3}}(?:{_DIGIT}|[0-9])){{0,2}})"
+SPELLED_IP = re.compile(rf"(?<![^\W_]){_NUMBER}(?:{_ANY_DOT}{_NUMBER}){{3}}(?![^\W_])", re.IGNORECASE)
+ANY_DOT = re.compile(_ANY_DOT, re.IGNORECASE)
+AT_DOMAIN = re.compile(rf"[ ](?:{_AT})[ ]+[a-z0-9-]+\.[a-z]")
 
 Span = tuple[int, int]
 Edit = tuple[int, int, str]
@@ -95,6 +113,8 @@ def has_marks(low: str) -> bool:
     """Whether a disguised "at" or "dot" may occur; a quick look before the patterns."""
     if any(w in low for w in DOT_WORDS):
         return True
+    if AT_DOMAIN.search(low):
+        return True
     if "@" in low and (" @" in low or "@ " in low):
         return True
     return any(b in low for b in "[({<") and any(f"{b}{s}{w}" in low for b in "[({<" for s in ("", " ") for w in (".", "@", *AT_WORDS))
@@ -215,38 +235,92 @@ def look_alike_edits(text: str) -> list[Edit]:
 
 
 def has_spelled(low: str) -> bool:
-    """Whether enough words are digits; a quick look before the pattern."""
-    words = low.replace("-", " ").replace(",", " ").replace(".", " ").split()
-    return sum(map(DIGIT_WORDS.__contains__, words)) >= LEAST_SPELLED - 1
+    """Whether enough words are digits; a quick look before the patterns."""
+    words = low
+    for c in "-,.[](){}<>":
+        words = words.replace(c, " ")
+    n = sum(map(DIGIT_WORDS.__contains__, words.split()))
+    return n >= LEAST_SPELLED - 1 or n > 0 and (DIGIT.search(low) is not None or any(w in low for w in (*PLUS_WORDS, *DOT_WORDS)))
 
 
-def spelled_edits(text: str) -> list[Edit]:
+def _digits_of(text: str, start: int, end: int) -> list[Edit]:
+    """Spelled digits and plus words of a range, and digits written alone, as edits."""
+    spots = [(m.start(), m.end(), "+" if m[0].lower() in PLUS_WORDS else DIGIT_WORDS[m[0].lower()]) for m in SPELLED_WORD.finditer(text, start, end)]
+    return sorted(spots + [(m.start() + start, m.end() + start, m[0]) for m in re.finditer(r"(?<![^\W_])[0-9]+(?![^\W_])", text[start:end])])
+
+
+def _together(spots: list[Edit]) -> list[Edit]:
+    """Separators between the digits become nothing, so the digits stand together."""
     out: list[Edit] = []
-    for run in SPELLED.finditer(text):
-        words = list(SPELLED_WORD.finditer(text, run.start(), run.end()))
-        if len(words) < LEAST_SPELLED:
-            continue
-        # separators between digits become nothing, so the digits stand together
-        spots = [(m.start(), m.end(), "+" if m[0].lower() in PLUS_WORDS else DIGIT_WORDS[m[0].lower()]) for m in words]
-        written = [(m.start(), m.end(), m[0]) for m in re.finditer(r"(?<![^\W_])[0-9](?![^\W_])", text[run.start() : run.end()])]
-        spots += [(a + run.start(), b + run.start(), c) for a, b, c in written]
-        spots.sort()
-        for i, (a, b, new) in enumerate(spots):
-            if i and spots[i - 1][1] < a:
-                out.append((spots[i - 1][1], a, ""))
-            out.append((a, b, new))
+    for i, (a, b, new) in enumerate(spots):
+        if i and spots[i - 1][1] < a:
+            out.append((spots[i - 1][1], a, ""))
+        out.append((a, b, new))
     return out
 
 
+def _address_edits(text: str) -> Iterator[tuple[Span, list[Edit]]]:
+    """Four dotted parts with a spelled digit among them; the dots stay."""
+    for m in SPELLED_IP.finditer(text):
+        if not SPELLED_WORD.search(text, *m.span()):
+            continue
+        edits, at, parts = [], m.start(), []
+        for d in [*ANY_DOT.finditer(text, *m.span()), None]:
+            spots = _digits_of(text, at, d.start() if d else m.end())
+            parts.append("".join(new for _, _, new in spots))
+            edits += _together(spots)
+            if d:
+                edits.append((d.start(), d.end(), "."))
+                at = d.end()
+        if len(parts) == 4 and all(p.isdigit() and _in_range(p) for p in parts):
+            yield m.span(), edits
+
+
+def _number_edits(text: str) -> Iterator[tuple[Span, list[Edit]]]:
+    """Numbers of spelled and written digits that are long enough for a phone or a card, and none without the spelled ones."""
+    for m in MIXED.finditer(text):
+        a, b = m.span()
+        if not SPELLED_WORD.search(text, a, b):
+            continue
+        spots = _digits_of(text, a, b)
+        size = sum(len(_digits(new)) for _, _, new in spots)
+        plus = "+" in m[0] or any(new == "+" for _, _, new in spots)
+        if (12 <= size <= 19 or plus and 9 <= size <= 15) and not plain_spans(text[a:b]):
+            # a written plus stays in front of its digits
+            yield (a, b), [e for e in _together(spots) if e[2] or "+" not in text[e[0] : e[1]]]
+
+
+def spelled_edits(text: str) -> list[Edit]:
+    found: list[tuple[Span, list[Edit]]] = list(_address_edits(text))
+
+    def add(more: list[tuple[Span, list[Edit]]]) -> None:
+        taken = sorted(s for s, _ in found)
+        at = 0
+        for span, edits in more:
+            while at < len(taken) and taken[at][1] <= span[0]:
+                at += 1
+            if at == len(taken) or taken[at][0] >= span[1]:
+                found.append((span, edits))
+
+    add(list(_number_edits(text)))
+    runs = []
+    for run in SPELLED.finditer(text):
+        if sum(1 for _ in SPELLED_WORD.finditer(text, *run.span())) >= LEAST_SPELLED:
+            runs.append((run.span(), _together(_digits_of(text, *run.span()))))
+    add(runs)
+    return [e for _, edits in sorted(found) for e in edits]
+
+
 def mark_edits(text: str) -> list[Edit]:
     out: list[Edit] = []
     done = 0
     for m in ADDRESS.finditer(text):
         disguised = m[2] != "@" or any(p[0] != "." for p in PART.finditer(m[4])) or any(p[0] != "." for p in PART.finditer(m[1]))
         plain_at = m[2].strip().lower() in AT_WORDS
-        # a bare word "at" is only read so before a disguised dot, a bare "dot" only before a usual ending
+        # a bare word "at" is only read so before a disguised dot or a usual ending, a bare "dot" only before a usual ending
         dots = [p[0].strip().lower() for p in PART.finditer(m[4])]
-        if not disguised or plain_at and set(dots) == {"."}:
+        ending = m[4].rpartition(".")[2].lower()
+        if not disguised or plain_at and set(dots) == {"."} and (ending not in ENDINGS or m[1].lower() in NO_LOCAL):
             continue
         if plain_at and any(d in DOT_WORDS for d in dots) and m[4].rpartition(" ")[2].rpartition(".")[2].lower() not in ENDINGS:
             continue

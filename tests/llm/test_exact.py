@@ -86,6 +86,29 @@ def test_spans(text, spans):
     assert pii.joined(pii.all_spans(text)[1]) == spans
 
 
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ("one nine two dot one six eight dot zero dot one", "ip:0:47"),
+        ("at one nine two . one six eight . zero . one now", "ip:3:44"),
+        ("one nine two.one six eight.zero.one", "ip:0:35"),
+        ("192 [dot] one six eight [dot] 0 [dot] one", "ip:0:41"),
+        ("nine nine nine dot one dot one dot one", ""),
+        ("One. Two. Three. Four.", ""),
+        ("call +49 one five one 2 3 4 5 6 7 8", "phone:5:35"),
+        ("call +49 151 two three 45 678 90 today", "phone:5:32"),
+        ("card 4111 one one 11 1111 1111", "card:5:30"),
+        ("+1 415 555 2671 one of us", "phone:0:15"),
+        ("in 2019 one of 20 and two of 30", ""),
+        ("write john at example.com soon", "email:6:25"),
+        ("john at example dot pl", "email:0:22"),
+        ("find us at example.com or look at this.it was", ""),
+    ],
+)
+def test_spelled_and_bare_disguises(text, spans):
+    assert pii.joined(pii.all_spans(text)[1]) == spans
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab1@.+-_% (9)0\n", max_size=60))
 def test_plain_spans_equal_the_patterns(text):
