@@ -1,7 +1,8 @@
 """Packing documents into fixed-length sequences: first-fit decreasing on a tournament tree.
 
 Tokens: the byte-level BPE that the ``tokenizers`` library reads from a file.
-The vocabulary is taken from there; a faster encoder of the same ids runs it. A document is cut into
+The vocabulary is taken from there; a faster encoder of the same ids runs it
+between the file's added tokens, which keep their own ids. A document is cut into
 runs of ``length`` ids and a rest; each run fills a sequence, the rests are
 packed by first-fit decreasing inside randomised groups of documents. The group
 is chosen by a hash, so groups are alike in size and need nothing of each other.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -57,6 +59,18 @@ class _First(str):
         return isinstance(other, _First) and str.__eq__(self, other)
 
 
+class _Added(str):
+    """An added token of the file, which is no chunk of text."""
+
+    __slots__ = ()
+
+    def __hash__(self) -> int:
+        return str.__hash__(self) ^ 1
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, _Added) and str.__eq__(self, other)
+
+
 def chunks_of(text: str) -> list[str]:
     """The text cut before single blanks between visible characters; the blanks themselves are left out.
 
@@ -103,6 +117,11 @@ class Tokens:
         special = {str(t) for t in known.get_added_tokens_decoder().values()}
         ranks = {k: i for k, i in ranks.items() if known.id_to_token(i) not in special}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+        added = known.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items()}
+        # of tokens that start together the longest counts; some take the white space beside them
+        tokens = sorted(added.values(), key=lambda t: -len(t.content))
+        self.cut = re.compile("|".join((r"\s*" if t.lstrip else "") + (r"(?<!\w)" if t.single_word else "") + f"({re.escape(t.content)})" + (r"(?!\w)" if t.single_word else "") + (r"\s*" if t.rstrip else "") for t in tokens)) if tokens else None
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for k, i in ranks.items():
             self.width[i] = len(k)
@@ -113,6 +132,18 @@ class Tokens:
         self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(0, "<u4"), 0
 
+    def chunks(self, text: str) -> list[str]:
+        """The added tokens, and the chunks of what lies between them as of texts of their own."""
+        if not any(t in text for t in self.added):
+            return chunks_of(text)
+        out, done = [], 0
+        for m in self.cut.finditer(text):
+            if m.start() > done:
+                out += chunks_of(text[done : m.start()])
+            out.append(_Added(m[m.lastindex]))
+            done = m.end()
+        return out + chunks_of(text[done:]) if done < len(text) else out
+
     def _learn(self, new: list[str]) -> None:
         raw = [c.encode("utf-8", "replace") if type(c) is _First else b" " + c.encode("utf-8", "replace") for c in new]
         counts, pools = [], []
@@ -129,7 +160,11 @@ class Tokens:
                 run.clear()
 
         for c, r in zip(new, raw, strict=True):
-            if type(c) is _First or c[:1].isspace() or c[-1:].isspace() or not c:
+            if type(c) is _Added:
+                flush()
+                counts.append(np.array([1]))
+                pools.append(np.array([self.added[str(c)]], "<u4"))
+            elif type(c) is _First or c[:1].isspace() or c[-1:].isspace() or not c:
                 flush()
                 ids = np.array(self.encoding.encode_ordinary(r.decode("utf-8")), "<u4")
                 counts.append(np.array([len(ids)]))
@@ -149,7 +184,7 @@ class Tokens:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
         if len(self.ids) > KEPT_CHUNKS:
             self.clear()
-        cut = [chunks_of(t) for t in texts]
+        cut = [self.chunks(t) for t in texts]
         sizes = np.array([len(c) for c in cut])
         at = np.fromiter(map(self.ids.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(sizes.sum()))
         if len(self.ids) > self.listed:

@@ -333,6 +333,16 @@ def test_ids_equal_the_tokenizers(texts):
     assert [x.tolist() for x in own.of(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_added_tokens_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(BPE), packing.Tokens(BPE)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 2, f"{end} {end}", f" {end}\n", f"a{end}b c", f"x  {end}  y z {end}", f"<|endoftext{end}|>", "<|endoftext|", f"a b\n{end}\n\nb", ""]
+    assert own.of([texts[0]])[0].tolist() == [64, 220, 50256, 275]
+    assert [x.tolist() for x in own.of(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_first_fit_takes_the_leftmost_bin():
     tree = packing.FirstFit(10, 5)
     assert [tree.put(n) for n in (6, 5, 4, 5, 1)] == [(0, 0), (1, 0), (0, 6), (1, 5), (2, 0)]
