@@ -632,6 +632,11 @@ def previous_token(spark, sf_dir):
     return documents.previous_token(rows).select(F.col("doc_id").alias("id"), "tok_no", "continues_residue")
 
 
+@query()
+def previous_token_of_documents(spark, sf_dir):
+    return documents.previous_token(documents.tokenize(Inputs(spark, sf_dir).fx_docs)).select("doc_id", "tok_no", "token", "start_off", "end_off", "continues_residue")
+
+
 @query("select doc_id, passage_no, sha256(case when ptype = 'table' then replace(replace(text, ' ', ';'), ';>;', ' > ') else text end) delimited, length(text) cleaned from fx_passages")
 def clean_and_delimit(spark, sf_dir):
     p = Inputs(spark, sf_dir).fx_passages

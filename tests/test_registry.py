@@ -39,3 +39,13 @@ def test_same_rows(spark, other, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
 def test_runs(spark, sf_dir, name):
     assert registry.queries()[name](spark, sf_dir).count() > 0
+
+
+def test_previous_token_of_documents(spark, sf_dir):
+    rows = registry.queries()["previous_token_of_documents"](spark, sf_dir).orderBy("doc_id", "tok_no").collect()
+    assert len({r.doc_id for r in rows}) > 25
+    for before, r in zip([None, *rows], rows):
+        near = before is not None and before.doc_id == r.doc_id and before.end_off == r.start_off
+        residue = near and len(before.token) == 1 and before.token in "CISQMNPKDTFAGHLRWVEYX"
+        small = len(r.token) == 2 and all("a" <= c <= "z" for c in r.token)
+        assert r.continues_residue == (residue and small)
