@@ -1,14 +1,25 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-A text is cut into words before each run of word marks; no piece reaches over
-such a place. Distinct words are encoded once: their substrings of bounded
-length are exploded and joined to the piece table; the edges found are grouped
-by word and folded with Spark's higher-order aggregate. For unigram models the
-fold is Viterbi's: the best score of each position from those before it. The
-public model is a byte-pair model, whose ids Viterbi over its scores does not
-give; there the fold merges, step by step, the best edge that spans exactly two
-symbols. Words longer than LONGEST_FOLDED are merged by a heap, with the same
-table and result.
+A text is cut into words before each run of word marks, and a word into parts
+where no piece holds both neighbours, so that no edge can cross. Parts are
+distinct rows, each encoded once: their substrings of bounded length are exploded
+and joined to the piece table, the edges found are grouped by part and folded
+with Spark's higher-order aggregate.
+
+- Viterbi's fold: the least cost of each position from those before it, then back
+  along the way. It gives the ids of unigram models. Of a byte-pair model it gives
+  the best path where a piece costs the logarithm of its rank.
+- A byte-pair model's own ids are those of its merges, which Viterbi over its
+  scores does not give: that fold takes, step by step, the best edge that spans
+  exactly two symbols. Symbols are bits of a number, WINDOW of them at most.
+  Longer parts are folded in windows, the next from the last but one place of the
+  one before: two encodings that share a piece go together there. Should they
+  share none, the part is folded as a whole.
+
+Distinct parts are collected for each chunk, the rows of one input partition up to
+CHUNK characters. Their cuts come back to the chunk, where each text is encoded
+word by word: no word occurrence is ever a row, and no text meets a table that
+grows with the corpus.
 
 Defined cases: a null or empty text has no ids; characters without a piece
 become those of their bytes, or the unknown id where the model has none; rows
@@ -18,16 +29,26 @@ that repeat a document id are encoded one by one; other columns are not read.
 from __future__ import annotations
 
 import functools
-import heapq
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import common
+
 MARK = "▁"
-LONGEST_FOLDED = 48
+#: Characters whose cuts fit the bits of one number.
+WINDOW = 48
+#: Characters of the texts that share a dictionary of parts.
+CHUNK = 1 << 26
+#: What a character without a piece costs: more than any piece.
+UNKNOWN_COST = 50.0
+WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 @dataclass(frozen=True)
@@ -40,9 +61,40 @@ class Model:
     longest: int
     unigram: bool
 
-    @property
-    def table(self) -> dict[str, tuple[int, float]]:
-        return {p: (i, s) for p, i, s in self.pieces}
+    @functools.cached_property
+    def ids(self) -> dict[str, int]:
+        return {p: i for p, i, _ in self.pieces}
+
+    @functools.cached_property
+    def names(self) -> dict[int, bytes]:
+        return {i: p.encode() for p, i, _ in self.pieces}
+
+    @functools.cached_property
+    def neighbours(self) -> frozenset[str]:
+        """Every two characters that follow one another in a piece."""
+        return frozenset(p[k : k + 2] for p, _, _ in self.pieces for k in range(len(p) - 1))
+
+    def parts_of(self, word: str) -> list[str]:
+        """The word cut wherever no piece can reach over."""
+        out, at, near = [], 0, self.neighbours
+        for k in range(1, len(word)):
+            if word[k - 1 : k + 1] not in near:
+                out.append(word[at:k])
+                at = k
+        return [*out, word[at:]]
+
+    def ids_of(self, part: str, lengths: list[int]) -> list[int]:
+        out, at = [], 0
+        for n in lengths:
+            piece = part[at : at + n]
+            at += n
+            found = self.ids.get(piece)
+            out += [found] if found is not None else [self.bytes_first + b for b in piece.encode("utf-8", "replace")] if self.bytes_first >= 0 else [self.unknown]
+        return out
+
+    def text_of(self, ids: list[int]) -> str:
+        first = self.bytes_first
+        return b"".join(self.names.get(i) or (bytes([i - first]) if 0 <= first <= i < first + 256 else b"?") for i in ids).decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=2)
@@ -56,129 +108,316 @@ def load(path: str, unigram: bool = False) -> Model:
     return Model(plain, first if sp.is_byte(first) else -1, sp.unk_id(), max(len(p) for p, _, _ in plain), unigram)
 
 
-def marked(text: Column) -> Column:
-    """The text as the model sees it: a mark in front and for each blank."""
-    t = F.coalesce(text.cast("string"), F.lit(""))
-    return F.when(t == "", "").otherwise(F.concat(F.lit(MARK), F.replace(t, F.lit(" "), F.lit(MARK))))
+def text_words(text: str) -> list[str]:
+    """The words of a text, each without the mark that all of them begin with."""
+    if not text:
+        return []
+    t = text.replace(" ", MARK)
+    if MARK + MARK not in t and t[0] != MARK and t[-1] != MARK:
+        return t.split(MARK)
+    return [w[1:] for w in WORDS.findall(MARK + t)]
 
 
-def words_of(text: Column) -> Column:
-    """The text's words in order: cut where a mark follows another character."""
-    return F.filter(F.split(marked(text), f"(?<=[^{MARK}])(?={MARK})"), lambda w: w != "")
+def piece_table(spark: SparkSession, model: Model) -> DataFrame:
+    """piece, id, rank (0: merged first), cost (negative logarithm of its likelihood, without the common factor)."""
+    p = pd.DataFrame(model.pieces, columns=["piece", "id", "score"])
+    p["rank"] = p["score"].rank(ascending=False, method="first").astype(int) - 1
+    p["cost"] = -p["score"] if model.unigram else np.log(p["rank"] + 2.0)
+    return spark.createDataFrame(p[["piece", "id", "rank", "cost"]], "piece string, id int, rank int, cost double")
 
 
-def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    return spark.createDataFrame(pd.DataFrame(model.pieces, columns=["piece", "id", "score"]), "piece string, id int, score double")
+# The folds
 
 
-def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """word, edges (sorted: best score first, then leftmost) of distinct words."""
-    n = F.length("word")
-    starts = words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("first"))
-    spans = starts.select("word", "first", F.explode(F.sequence(F.col("first") + 1, F.least(F.length("word"), F.col("first") + model.longest))).alias("last"))
-    found = spans.withColumn("piece", F.substring(F.col("word"), F.col("first") + 1, F.col("last") - F.col("first"))).join(F.broadcast(piece_table(words.sparkSession, model)), "piece")
-    edge = F.struct((-F.col("score")).alias("cost"), "first", "last", "id")
-    edges = found.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    none = F.array().cast("array<struct<cost:double,first:int,last:int,id:int>>")
-    return words.join(edges, "word", "left").select("word", F.coalesce("edges", none).alias("edges"))
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once."""
+    return F.transform(F.array(value), then)[0]
 
 
-def merged_cuts(word: Column, edges: Column) -> Column:
-    """Places between the symbols of a byte-pair segmentation."""
+def bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
+
+
+def merges(edges: Column, at: Column | None = None) -> Column:
+    """Of edges (rank, first, last, cost), best first: the bits of both ends and of the places between, counted from ``at``."""
+    first, last = (lambda e: e["first"]) if at is None else (lambda e: e["first"] - at), (lambda e: e["last"]) if at is None else (lambda e: e["last"] - at)
     longer = F.filter(edges, lambda e: e["last"] - e["first"] > 1)
+    return F.transform(longer, lambda e: F.struct(bit(first(e)).bitwiseOR(bit(last(e))).alias("ends"), (bit(last(e)) - bit(first(e) + 1)).alias("inner")))
+
+
+def merged_places(found: Column, n: Column) -> Column:
+    """Places between the symbols of n characters after all merges: at most n - 1 steps, each the best edge over just two symbols."""
+
+    def step(mask: Column, _: Column) -> Column:
+        fits = F.filter(found, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1))
+        return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.try_element_at(fits, F.lit(1))["inner"])), mask)
 
-    def step(cuts: Column, _: Column) -> Column:
-        fits = F.filter(longer, lambda e: (F.array_position(cuts, e["first"]) > 0) & (F.array_position(cuts, e["last"]) == F.array_position(cuts, e["first"]) + 2))
+    steps = F.slice(found, F.lit(1), F.greatest(n - 1, F.lit(0)))
+    mask = F.aggregate(steps, bit(n + 1) - 1, step)
+    return let(mask, lambda m: F.filter(F.sequence(F.lit(0), n), lambda i: m.bitwiseAND(bit(i)) != 0))
+
+
+def lengths(places: Column) -> Column:
+    """The lengths between places."""
+    return F.zip_with(F.slice(places, F.lit(2), F.greatest(F.size(places) - 1, F.lit(0))), F.slice(places, F.lit(1), F.greatest(F.size(places) - 1, F.lit(0))), lambda b, a: b - a)
+
+
+def merged_whole(n: Column, edges: Column) -> Column:
+    """The same for any number of characters, with the places as an array."""
+    longer = F.filter(edges, lambda e: e["last"] - e["first"] > 1)
+
+    def step(places: Column, _: Column) -> Column:
+        fits = F.filter(longer, lambda e: (F.array_position(places, e["first"]) > 0) & (F.array_position(places, e["last"]) == F.array_position(places, e["first"]) + 2))
         best = F.try_element_at(fits, F.lit(1))
-        middle = F.try_element_at(cuts, (F.array_position(cuts, best["first"]) + 1).cast("int"))
-        return F.when(best.isNull(), cuts).otherwise(F.array_remove(cuts, middle))
-
-    every = F.sequence(F.lit(0), F.length(word))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), every, step)
-
-
-def viterbi_cuts(word: Column, edges: Column, unknown_cost: float = 20.0) -> Column:
-    """Places between the pieces of the best path: a fold over positions that keeps each one's cost and way."""
-    start = F.array(F.struct(F.lit(0.0).alias("cost"), F.array(F.lit(0)).alias("cuts")))
-
-    def step(acc: Column, at: Column) -> Column:
-        ending = F.filter(edges, lambda e: e["last"] == at)
-        ways = F.transform(ending, lambda e: F.struct((acc[e["first"]]["cost"] + e["cost"]).alias("cost"), F.concat(acc[e["first"]]["cuts"], F.array(at)).alias("cuts")))
-        lone = F.array(F.struct((acc[at - 1]["cost"] + unknown_cost).alias("cost"), F.concat(acc[at - 1]["cuts"], F.array(at)).alias("cuts")))
-        known = F.exists(ending, lambda e: e["first"] == at - 1)
-        best = F.array_min(F.when(known, ways).otherwise(F.concat(ways, lone)))
-        return F.concat(acc, F.array(best))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda acc: F.element_at(acc, -1)["cuts"])
-
-
-def byte_ids(text: Column, model: Model) -> Column:
-    """Ids of a character's bytes."""
-    if model.bytes_first < 0:
-        return F.array(F.lit(model.unknown))
-    digits = F.hex(F.encode(text, "utf-8"))
-    return F.transform(F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1), lambda k: F.conv(F.substring(digits, k * 2 + 1, F.lit(2)), 16, 10).cast("int") + model.bytes_first)
-
-
-def ids_of_cuts(word: Column, edges: Column, cuts: Column, model: Model) -> Column:
-    pairs = F.zip_with(F.slice(cuts, F.lit(1), F.size(cuts) - 1), F.slice(cuts, F.lit(2), F.size(cuts) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-
-    def one(p: Column) -> Column:
-        hit = F.try_element_at(F.filter(edges, lambda e: (e["first"] == p["a"]) & (e["last"] == p["b"])), F.lit(1))
-        return F.when(hit.isNotNull(), F.array(hit["id"])).otherwise(byte_ids(F.substring(word, p["a"] + 1, p["b"] - p["a"]), model))
-
-    return F.flatten(F.transform(pairs, one))
-
-
-def heap_ids(word: str, table: dict[str, tuple[int, float]], model: Model) -> list[int]:
-    """Byte-pair merges of one word by a heap: best score first, then leftmost."""
-    n = len(word)
-    end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
-    heap: list[tuple[float, int, int]] = []
-
-    def offer(a: int) -> None:
-        b = after[a] if a >= 0 else -1
-        if b >= 0 and end[b] - a <= model.longest and (hit := table.get(word[a : end[b]])):
-            heapq.heappush(heap, (-hit[1], a, end[b]))
-
-    for a in range(n - 1):
-        offer(a)
-    while heap:
-        _, a, last = heapq.heappop(heap)
-        b = after[a]
-        if end[a] <= a or b < 0 or end[b] != last:
-            continue
-        end[a], after[a] = last, after[b]
-        if after[b] >= 0:
-            before[after[b]] = a
-        end[b] = 0
-        offer(a)
-        if before[a] >= 0:
-            offer(before[a])
-    out, a = [], 0
-    while a >= 0 and n:
-        piece = word[a : end[a]]
-        hit = table.get(piece)
-        out += [hit[0]] if hit else [model.bytes_first + x for x in piece.encode()] if model.bytes_first >= 0 else [model.unknown]
-        a = after[a]
-    return out
-
-
-def encode_words(words: DataFrame, model: Model) -> DataFrame:
-    """word, ids of distinct words (word)."""
-    short = lattice(words.where(F.length("word") <= LONGEST_FOLDED) if not model.unigram else words, model)
-    cuts = viterbi_cuts(F.col("word"), F.col("edges")) if model.unigram else merged_cuts(F.col("word"), F.col("edges"))
-    out = short.withColumn("cuts", cuts).select("word", ids_of_cuts(F.col("word"), F.col("edges"), F.col("cuts"), model).alias("ids"))
-    if model.unigram:
+        middle = F.try_element_at(places, (F.array_position(places, best["first"]) + 1).cast("int"))
+        return F.when(best.isNull(), places).otherwise(F.array_remove(places, middle))
+
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
+
+
+def merged_windows(n: Column, blocks: Column, longest: int) -> Column:
+    """Places of a long part, window by window; blocks: (block, edges), edges in the block where they begin."""
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("seen"), F.lit(True).alias("good"), F.array(F.array(F.lit(0))).alias("places"))
+
+    def step(s: Column, _: Column) -> Column:
+        size = F.least(F.lit(WINDOW), n - s["at"])
+        end = s["at"] + size
+        near = F.flatten(F.transform(F.filter(blocks, lambda b: (b["block"] * WINDOW < end) & ((b["block"] + 1) * WINDOW > s["at"])), lambda b: b["edges"]))
+        inside = F.array_sort(F.filter(near, lambda e: (e["first"] >= s["at"]) & (e["last"] <= end)))
+
+        def after(places: Column) -> Column:
+            last = F.when(end >= n, n).otherwise(F.array_max(F.filter(places, lambda p: p <= end - longest)))
+            again = F.array_max(F.filter(places, lambda p: p < last))
+            good = s["good"] & ((s["seen"] == 0) | (places[1] == s["seen"]))
+            return F.struct(again.alias("at"), last.alias("seen"), good.alias("good"), F.concat(s["places"], F.array(F.filter(places, lambda p: (p > s["seen"]) & (p <= last)))).alias("places"))
+
+        places = let(merges(inside, s["at"]), lambda found: F.transform(merged_places(found, size), lambda p: p + s["at"]))
+        return F.when(s["seen"] >= n, s).otherwise(let(places, after))
+
+    steps = F.sequence(F.lit(1), F.ceil(n / (WINDOW - 2 * longest)).cast("int"))
+    every = F.array_sort(F.flatten(F.transform(blocks, lambda b: b["edges"])))
+    return let(F.aggregate(F.when(F.lit(2 * longest < WINDOW), steps), start, step), lambda s: F.when(s["good"] & (s["seen"] >= n), F.flatten(s["places"])).otherwise(merged_whole(n, every)))
+
+
+def best_lengths(n: Column, blocks: Column, longest: int) -> Column:
+    """Viterbi: lengths of the pieces of the path of least cost, the shorter last piece in ties.
+
+    The costs of ``longest`` places are kept; the ways back are kept by blocks,
+    and so is the path that follows them. blocks: (block, edges), edges in the
+    block where they end.
+    """
+    cost = F.array(F.lit(0.0))
+    none = F.array().cast("array<array<int>>")
+
+    def forth(s: Column, k: Column) -> Column:
+        edges = F.flatten(F.transform(F.filter(blocks, lambda b: b["block"] == k), lambda b: b["edges"]))
+
+        def block(edges: Column) -> Column:
+            def place(t: Column, at: Column) -> Column:
+                # costs[-d]: that of d characters before
+                ways = F.transform(F.filter(edges, lambda e: e["last"] == at), lambda e: F.struct((F.element_at(t["costs"], e["first"] - at) + e["cost"]).alias("cost"), (at - e["first"]).alias("back")))
+                lone = F.struct((F.element_at(t["costs"], -1) + UNKNOWN_COST).alias("cost"), F.lit(1).alias("back"))
+                return let(F.array_min(F.concat(ways, F.array(lone))), lambda w: F.struct(F.concat(t["costs"], F.array(w["cost"])).alias("costs"), F.concat(t["back"], F.array(w["back"])).alias("back")))
+
+            places = F.sequence(k * WINDOW + 1, F.least((k + 1) * WINDOW, n))
+            return F.aggregate(places, F.struct(s["costs"].alias("costs"), F.array().cast("array<int>").alias("back")), place)
+
+        return let(let(edges, block), lambda t: F.struct(F.slice(t["costs"], -F.least(F.size(t["costs"]), F.lit(longest)), F.lit(longest)).alias("costs"), F.concat(s["back"], F.array(t["back"])).alias("back")))
+
+    last = F.floor((n - 1) / WINDOW).cast("int")
+
+    def home(ways: Column) -> Column:
+        def back(s: Column, k: Column) -> Column:
+            def place(t: Column, _: Column) -> Column:
+                step = ways[k][t["at"] - k * WINDOW - 1]
+                return F.when(t["at"] > k * WINDOW, let(step, lambda b: F.struct((t["at"] - b).alias("at"), F.concat(F.array(b), t["path"]).alias("path")))).otherwise(t)
+
+            t = F.aggregate(ways[k], F.struct(s["at"].alias("at"), F.array().cast("array<int>").alias("path")), place)
+            return let(t, lambda t: F.struct(t["at"].alias("at"), F.concat(F.array(t["path"]), s["path"]).alias("path")))
+
+        return F.flatten(F.aggregate(F.sequence(last, F.lit(0)), F.struct(n.alias("at"), none.alias("path")), back)["path"])
+
+    return let(F.aggregate(F.sequence(F.lit(0), last), F.struct(cost.alias("costs"), none.alias("back")), forth)["back"], home)
+
+
+def best_of_one(n: Column, edges: Column) -> Column:
+    """Viterbi for WINDOW characters at most: best_lengths without blocks."""
+
+    def place(t: Column, at: Column) -> Column:
+        ways = F.transform(F.filter(edges, lambda e: e["last"] == at), lambda e: F.struct((t[e["first"]]["cost"] + e["cost"]).alias("cost"), (at - e["first"]).alias("back")))
+        lone = F.struct((t[at - 1]["cost"] + UNKNOWN_COST).alias("cost"), F.lit(1).alias("back"))
+        return F.concat(t, F.array(F.array_min(F.concat(ways, F.array(lone)))))
+
+    def home(t: Column) -> Column:
+        def back(s: Column, _: Column) -> Column:
+            return F.when(s["at"] > 0, let(t[s["at"]]["back"], lambda b: F.struct((s["at"] - b).alias("at"), F.concat(F.array(b), s["path"]).alias("path")))).otherwise(s)
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("path")), back)["path"]
+
+    return let(F.aggregate(F.sequence(F.lit(1), n), F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("back"))), place), home)
+
+
+# The lattice
+
+
+def found_edges(parts: DataFrame, model: Model) -> DataFrame:
+    """key, part, edge of each piece in the parts (key, part); edge: rank, first, last, cost."""
+    spans = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
+    spans = spans.select("key", "part", "first", F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("first"), F.lit(model.longest)))).alias("n"))
+    spans = spans.withColumn("piece", F.substring("part", F.col("first") + 1, F.col("n")))
+    table = F.broadcast(piece_table(parts.sparkSession, model).select("piece", "rank", "cost"))
+    return spans.join(table, "piece").select("key", "part", F.struct("rank", "first", (F.col("first") + F.col("n")).alias("last"), "cost").alias("edge"))
+
+
+def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
+    """part, own, best of distinct parts: lengths of the pieces of the model's encoding and of the best path."""
+    kind = "array<tinyint>"
+    n = F.length("part")
+    # a short key before the part: what groups and sorts compare first
+    keyed = parts.select(F.xxhash64("part").alias("key"), "part")
+    short = found_edges(keyed.where(n <= WINDOW), model).groupBy("key", "part").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    best = best_of_one(n, F.col("edges"))
+    own = best if model.unigram else let(merges(F.col("edges")), lambda found: lengths(merged_places(found, n)))
+    out = short.select("part", own.cast(kind).alias("own"), best.cast(kind).alias("best"))
+
+    def blocks(end: str) -> Column:
+        # collected by block first, so that no fold looks through all edges
+        return F.floor((F.col(f"edge.{end}") - (1 if end == "last" else 0)) / WINDOW).cast("int")
+
+    edges = found_edges(keyed.where(n > WINDOW), model)
+
+    def collected(end: str) -> DataFrame:
+        by = edges.groupBy("key", "part", blocks(end).alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+        return by.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("block", "edges"))).alias(f"by_{end}"))
+
+    both = collected("last").join(collected("first"), ["key", "part"])
+    best = best_lengths(n, F.col("by_last"), model.longest)
+    own = best if model.unigram else lengths(merged_windows(n, F.col("by_first"), model.longest))
+    return out.unionByName(both.select("part", own.cast(kind).alias("own"), best.cast(kind).alias("best")))
+
+
+# Texts
+
+
+class Chunks:
+    """Numbers the chunks of a partition: its own number, and how many times CHUNK characters were read."""
+
+    def __init__(self):
+        self.chars = 0
+
+    def of(self, place: int, text: str) -> int:
+        here = (place << 24) + self.chars // CHUNK
+        self.chars += len(text)
+        return here
+
+
+def parts_of(docs: DataFrame, model: Model) -> DataFrame:
+    """chunk, part: the distinct parts of each chunk's texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, chunks, now = shared.value, Chunks(), None
+        for batch in batches:
+            of, found = [], []
+            for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                text = text or ""
+                if (chunk := chunks.of(place, text)) != now:
+                    now, words, parts = chunk, set(), set()
+                new = set(text_words(text)) - words
+                words |= new
+                some = {p for w in new for p in model.parts_of(MARK + w)} - parts
+                parts |= some
+                found += some
+                of += [chunk] * len(some)
+            yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(found, pa.string())], ["chunk", "part"])
+
+    return docs.select(F.spark_partition_id().alias("place"), "text").mapInArrow(run, "chunk long, part string")
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """chunk, doc_id, raw: compressed texts, in the chunks of parts_of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        chunks, pack = Chunks(), zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            of = pa.array([chunks.of(p, t) for p, t in zip(batch.column("place").to_pylist(), texts, strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([of, batch.column("doc_id"), pa.array([pack(t.encode("utf-8", "replace")) for t in texts], pa.binary())], ["chunk", "doc_id", "raw"])
+
+    return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, f"chunk long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, raw binary")
+
+
+class Dictionary(dict):
+    """word -> (ids, best ids, both decode to it) as bytes, from the parts of one chunk; words are put together on first sight."""
+
+    def __init__(self, model: Model):
+        self.model, self.parts = model, {}
+
+    def add(self, part: str, own: list[int], best: list[int]) -> None:
+        a, b = self.model.ids_of(part, own), self.model.ids_of(part, best)
+        good = self.model.text_of(a) == part == self.model.text_of(b)
+        self.parts[part] = np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes(), good
+
+    def __missing__(self, word: str) -> tuple[bytes, bytes, bool]:
+        found = [self.parts[p] for p in self.model.parts_of(MARK + word)]
+        out = self[word] = found[0] if len(found) == 1 else (b"".join(f[0] for f in found), b"".join(f[1] for f in found), all(f[2] for f in found))
         return out
-    shared = words.sparkSession.sparkContext.broadcast(model)
 
-    def long_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value.table
-        for pdf in batches:
-            yield pdf.assign(ids=[heap_ids(w, table, shared.value) for w in pdf["word"]])
 
-    return out.unionByName(words.where(F.length("word") > LONGEST_FOLDED).mapInPandas(long_words, "word string, ids array<int>"))
+def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
+    """doc_id, ids, best_ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself.
+
+    stable: the rows of a partition are the same whenever docs is read, as those of
+    files are. Others are written to the shared folder first.
+    """
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    common.package_to_executors(docs.sparkSession)
+    if not stable:
+        docs = common.Scratch(docs.sparkSession).table(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # one exchange by part serves the distinct parts, their lattice, and the way back to the chunks
+    parts = parts_of(docs, model).repartition("part")
+    known = encode_parts(parts.select("part").distinct(), model)
+    # a part without any piece has no edges: each character for itself
+    lone = F.array_repeat(F.lit(1).cast("tinyint"), F.length("part"))
+    entries = parts.join(known.hint("merge"), "part", "left").withColumns({c: F.coalesce(c, lone) for c in ("own", "best")})
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    left = entries.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("binary").alias("raw"), "part", "own", "best")
+    right = packed_texts(docs).select("chunk", F.lit(1).alias("kind"), "doc_id", "raw", F.lit(None).cast("string").alias("part"), F.lit(None).cast("array<tinyint>").alias("own"), F.lit(None).cast("array<tinyint>").alias("best"))
+    # the parts of a chunk come before its texts
+    rows = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", "kind")
+
+    def listed(of: list[bytes]) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum([len(b) // 4 for b in of], dtype=np.int64)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(of), "<i4"), pa.int32()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("chunk", "kind", "raw", "part", "own", "best")]
+            at, own_ids, best_ids, good = [], [], [], []
+            for i, (chunk, kind, raw, part, own, best) in enumerate(zip(*columns, strict=True)):
+                if chunk != now:
+                    now, words = chunk, Dictionary(shared.value)
+                if not kind:
+                    words.add(part, own, best)
+                    continue
+                found = [words[w] for w in text_words(unpack(raw).decode())]
+                at.append(i)
+                own_ids.append(b"".join([f[0] for f in found]))
+                best_ids.append(b"".join([f[1] for f in found]))
+                good.append(all(f[2] for f in found))
+                if len(at) == 512:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), listed(own_ids), listed(best_ids), pa.array(good, pa.bool_())], ["doc_id", "ids", "best_ids", "whole"])
+                    at, own_ids, best_ids, good = [], [], [], []
+            if at:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), listed(own_ids), listed(best_ids), pa.array(good, pa.bool_())], ["doc_id", "ids", "best_ids", "whole"])
+
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, best_ids array<int>, whole boolean")
 
 
 def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:
@@ -194,21 +433,6 @@ def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:
     return whole.select(key, F.replace(text, F.lit(MARK), F.lit(" ")).alias("text"))
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself."""
-    # a number for each row, by its file split and place there: the same when a task runs again
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words"), F.monotonically_increasing_id().alias("row"))
-    placed = rows.select("doc_id", "row", F.posexplode_outer("words").alias("at", "word"))
-    distinct = placed.where("word is not null").select("word").distinct()
-    known = encode_words(distinct, model)
-    back = decode_ids(known, "word", model).select("word", (F.col("text") == F.replace("word", F.lit(MARK), F.lit(" "))).alias("same"))
-    table = known.join(back, "word")
-    joined = placed.join(table, "word", "left")
-    parts = F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "ids"))))
-    whole = joined.groupBy("doc_id", "row").agg(parts.alias("parts"), F.coalesce(F.min("same"), F.lit(True)).alias("whole"))
-    return whole.select("doc_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"), "whole")
-
-
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
     """doc_id, text of rows doc_id, ids; the first blank, added in encoding, goes."""
     rows = encoded.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("key"), "ids")
