@@ -37,8 +37,9 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.load(tokenizer_path("piece_bpe_32k.model"))
-    found = pieces.encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), F.col("whole").alias("decodes"))
+    found = pieces.encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), model, stable=True)
+    digests = [x for ids, of in (("ids", "pieces"), ("best_ids", "best")) for x in (F.size(ids).cast("long").alias(f"n_{of}"), F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias(f"{'ids' if ids == 'ids' else 'best'}_sha256"))]
+    return found.select("doc_id", *digests, F.col("whole").alias("decodes"))
 
 
 def op6_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
