@@ -6,12 +6,12 @@ distinct rows, each encoded once: their substrings of bounded length are explode
 and joined to the piece table, the edges found are grouped by part and folded
 with Spark's higher-order aggregate.
 
-- Viterbi's fold: the least cost of each position from those before it, then back
-  along the way. It gives the ids of unigram models. Of a byte-pair model it gives
-  the best path where a piece costs the logarithm of its rank.
-- A byte-pair model's own ids are those of its merges, which Viterbi over its
-  scores does not give: that fold takes, step by step, the best edge that spans
-  exactly two symbols. Symbols are bits of a number, WINDOW of them at most.
+- Unigram models: Viterbi's fold, the least cost of each place from those after it,
+  then forth along the way. A byte-pair file can be read as a unigram model too,
+  where a piece costs the logarithm of its rank.
+- Byte-pair models: their ids are those of merges, which Viterbi over their scores
+  does not give. Their fold takes, step by step, the best edge that spans exactly two
+  symbols. The places between symbols are bits of a number, WINDOW of them at most.
   Longer parts are folded in windows, the next from the last but one place of the
   one before: two encodings that share a piece go together there. Should they
   share none, the part is folded as a whole.
@@ -29,6 +29,7 @@ that repeat a document id are encoded one by one; other columns are not read.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -70,26 +71,46 @@ class Model:
         return {i: p.encode() for p, i, _ in self.pieces}
 
     @functools.cached_property
-    def neighbours(self) -> frozenset[str]:
-        """Every two characters that follow one another in a piece."""
-        return frozenset(p[k : k + 2] for p, _, _ in self.pieces for k in range(len(p) - 1))
-
-    def parts_of(self, word: str) -> list[str]:
-        """The word cut wherever no piece can reach over."""
-        out, at, near = [], 0, self.neighbours
-        for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in near:
-                out.append(word[at:k])
-                at = k
-        return [*out, word[at:]]
-
-    def ids_of(self, part: str, lengths: list[int]) -> list[int]:
+    def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
+        """The class of each character, and which two classes follow one another in a piece."""
+        pairs = {p[k : k + 2] for p, _, _ in self.pieces for k in range(len(p) - 1)}
+        chars = sorted({c for pair in pairs for c in pair})
+        of = np.zeros(0x110000, np.int16)
+        of[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        near = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for x, y in pairs:
+            near[of[ord(x)], of[ord(y)]] = True
+        return of, near
+
+    def cut(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """All words (each without its first mark) cut wherever no piece can reach over: the parts end to end, and how many each word has."""
+        if not words:
+            return [], []
+        whole = MARK + MARK.join(words)
+        of, near = self.neighbours
+        kinds = of[np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), "<u4")]
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)])
+        open_ = np.concatenate([[True], ~near[kinds[:-1], kinds[1:]]])
+        open_[starts[:-1]] = True
+        places = np.flatnonzero(open_).tolist()
+        counts = np.diff(np.concatenate([[0], np.cumsum(open_)])[starts]).tolist()
+        return [whole[a:b] for a, b in zip(places, [*places[1:], len(whole)], strict=True)], counts
+
+    def ids_of(self, part: str, mask: int | None, sizes: list[int] | None) -> list[int]:
+        """Ids of the part's pieces, whose places are bits of mask or whose sizes are listed."""
         out, at = [], 0
-        for n in lengths:
-            piece = part[at : at + n]
-            at += n
+        if mask is not None:
+            places = [i for i in range(1, len(part) + 1) if mask >> i & 1]
+        else:
+            places = np.cumsum(sizes).tolist()
+        for end in places:
+            piece = part[at:end]
             found = self.ids.get(piece)
-            out += [found] if found is not None else [self.bytes_first + b for b in piece.encode("utf-8", "replace")] if self.bytes_first >= 0 else [self.unknown]
+            if found is not None:
+                out.append(found)
+            else:
+                out += [self.bytes_first + b for b in piece.encode("utf-8", "replace")] if self.bytes_first >= 0 else [self.unknown]
+            at = end
         return out
 
     def text_of(self, ids: list[int]) -> str:
@@ -98,14 +119,17 @@ class Model:
 
 
 @functools.lru_cache(maxsize=2)
-def load(path: str, unigram: bool = False) -> Model:
+def load(path: str, unigram: bool = False, ranked: bool = True) -> Model:
+    """The model of a file. unigram: encode by the best path; ranked: the file's scores only rank its pieces, which then score less the logarithm of their rank."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     n = sp.vocab_size()
-    plain = tuple((sp.id_to_piece(i), i, float(sp.get_score(i))) for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)))
+    plain = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    if unigram and ranked:
+        plain = [(p, i, -math.log(k + 2)) for k, (p, i, _) in enumerate(sorted(plain, key=lambda x: -x[2]))]
     first = sp.piece_to_id("<0x00>")
-    return Model(plain, first if sp.is_byte(first) else -1, sp.unk_id(), max(len(p) for p, _, _ in plain), unigram)
+    return Model(tuple(plain), first if sp.is_byte(first) else -1, sp.unk_id(), max(len(p) for p, _, _ in plain), unigram)
 
 
 def text_words(text: str) -> list[str]:
@@ -122,7 +146,7 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """piece, id, rank (0: merged first), cost (negative logarithm of its likelihood, without the common factor)."""
     p = pd.DataFrame(model.pieces, columns=["piece", "id", "score"])
     p["rank"] = p["score"].rank(ascending=False, method="first").astype(int) - 1
-    p["cost"] = -p["score"] if model.unigram else np.log(p["rank"] + 2.0)
+    p["cost"] = -p["score"]
     return spark.createDataFrame(p[["piece", "id", "rank", "cost"]], "piece string, id int, rank int, cost double")
 
 
@@ -139,22 +163,35 @@ def bit(at: Column) -> Column:
 
 
 def merges(edges: Column, at: Column | None = None) -> Column:
-    """Of edges (rank, first, last, cost), best first: the bits of both ends and of the places between, counted from ``at``."""
+    """Of sorted edges those over two characters or more: bits of both ends and of the places between, counted from ``at``, and their number."""
     first, last = (lambda e: e["first"]) if at is None else (lambda e: e["first"] - at), (lambda e: e["last"]) if at is None else (lambda e: e["last"] - at)
     longer = F.filter(edges, lambda e: e["last"] - e["first"] > 1)
-    return F.transform(longer, lambda e: F.struct(bit(first(e)).bitwiseOR(bit(last(e))).alias("ends"), (bit(last(e)) - bit(first(e) + 1)).alias("inner")))
+    return F.transform(longer, lambda e, i: F.struct(bit(first(e)).bitwiseOR(bit(last(e))).alias("ends"), (bit(last(e)) - bit(first(e) + 1)).alias("inner"), i.alias("i")))
+
+
+def spans_two(mask: Column, e: Column) -> Column:
+    return (mask.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)
 
 
-def merged_places(found: Column, n: Column) -> Column:
-    """Places between the symbols of n characters after all merges: at most n - 1 steps, each the best edge over just two symbols."""
+def merged(found: Column, n: Column) -> Column:
+    """The bits of the places between the symbols of n characters after all merges.
+
+    One walk over the edges, best first, is right as long as no merge lets a
+    better edge span two symbols; where one does, each step looks for the best.
+    """
+    every = bit(n + 1) - 1
+
+    def walk(mask: Column, e: Column) -> Column:
+        new = mask.bitwiseAND(F.bitwise_not(e["inner"]))
+        opened = F.exists(F.slice(found, F.lit(1), e["i"]), lambda f: spans_two(new, f))
+        return F.when(mask < 0, mask).when(spans_two(mask, e), F.when(opened, F.lit(-1).cast("long")).otherwise(new)).otherwise(mask)
 
     def step(mask: Column, _: Column) -> Column:
-        fits = F.filter(found, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"]) & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1))
-        return F.coalesce(mask.bitwiseAND(F.bitwise_not(F.try_element_at(fits, F.lit(1))["inner"])), mask)
+        best = F.try_element_at(F.filter(found, lambda e: spans_two(mask, e)), F.lit(1))
+        return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
 
-    steps = F.slice(found, F.lit(1), F.greatest(n - 1, F.lit(0)))
-    mask = F.aggregate(steps, bit(n + 1) - 1, step)
-    return let(mask, lambda m: F.filter(F.sequence(F.lit(0), n), lambda i: m.bitwiseAND(bit(i)) != 0))
+    slow = F.aggregate(F.slice(found, F.lit(1), F.greatest(n - 1, F.lit(0))), every, step)
+    return let(F.aggregate(found, every, walk), lambda mask: F.when(mask < 0, slow).otherwise(mask))
 
 
 def lengths(places: Column) -> Column:
@@ -164,7 +201,7 @@ def lengths(places: Column) -> Column:
 
 def merged_whole(n: Column, edges: Column) -> Column:
     """The same for any number of characters, with the places as an array."""
-    longer = F.filter(edges, lambda e: e["last"] - e["first"] > 1)
+    longer = F.sort_array(F.filter(edges, lambda e: e["last"] - e["first"] > 1))
 
     def step(places: Column, _: Column) -> Column:
         fits = F.filter(longer, lambda e: (F.array_position(places, e["first"]) > 0) & (F.array_position(places, e["last"]) == F.array_position(places, e["first"]) + 2))
@@ -183,7 +220,7 @@ def merged_windows(n: Column, blocks: Column, longest: int) -> Column:
         size = F.least(F.lit(WINDOW), n - s["at"])
         end = s["at"] + size
         near = F.flatten(F.transform(F.filter(blocks, lambda b: (b["block"] * WINDOW < end) & ((b["block"] + 1) * WINDOW > s["at"])), lambda b: b["edges"]))
-        inside = F.array_sort(F.filter(near, lambda e: (e["first"] >= s["at"]) & (e["last"] <= end)))
+        inside = F.sort_array(F.filter(near, lambda e: (e["first"] >= s["at"]) & (e["last"] <= end)))
 
         def after(places: Column) -> Column:
             last = F.when(end >= n, n).otherwise(F.array_max(F.filter(places, lambda p: p <= end - longest)))
@@ -191,109 +228,102 @@ def merged_windows(n: Column, blocks: Column, longest: int) -> Column:
             good = s["good"] & ((s["seen"] == 0) | (places[1] == s["seen"]))
             return F.struct(again.alias("at"), last.alias("seen"), good.alias("good"), F.concat(s["places"], F.array(F.filter(places, lambda p: (p > s["seen"]) & (p <= last)))).alias("places"))
 
-        places = let(merges(inside, s["at"]), lambda found: F.transform(merged_places(found, size), lambda p: p + s["at"]))
+        mask = let(merges(inside, s["at"]), lambda found: merged(found, size))
+        places = let(mask, lambda m: F.transform(F.filter(F.sequence(F.lit(0), size), lambda i: m.bitwiseAND(bit(i)) != 0), lambda p: p + s["at"]))
         return F.when(s["seen"] >= n, s).otherwise(let(places, after))
 
     steps = F.sequence(F.lit(1), F.ceil(n / (WINDOW - 2 * longest)).cast("int"))
-    every = F.array_sort(F.flatten(F.transform(blocks, lambda b: b["edges"])))
+    every = F.flatten(F.transform(blocks, lambda b: b["edges"]))
     return let(F.aggregate(F.when(F.lit(2 * longest < WINDOW), steps), start, step), lambda s: F.when(s["good"] & (s["seen"] >= n), F.flatten(s["places"])).otherwise(merged_whole(n, every)))
 
 
 def best_lengths(n: Column, blocks: Column, longest: int) -> Column:
-    """Viterbi: lengths of the pieces of the path of least cost, the shorter last piece in ties.
+    """Viterbi: lengths of the pieces of the path of least cost, the longer first piece in ties.
 
-    The costs of ``longest`` places are kept; the ways back are kept by blocks,
-    and so is the path that follows them. blocks: (block, edges), edges in the
-    block where they end.
+    The fold goes from the end to the start; the costs of ``longest`` places are
+    kept, and for each place the length of its first piece, by blocks. So is the
+    way that then leads through them. blocks: (block, edges), edges by where they begin.
     """
-    cost = F.array(F.lit(0.0))
     none = F.array().cast("array<array<int>>")
-
-    def forth(s: Column, k: Column) -> Column:
-        edges = F.flatten(F.transform(F.filter(blocks, lambda b: b["block"] == k), lambda b: b["edges"]))
-
-        def block(edges: Column) -> Column:
-            def place(t: Column, at: Column) -> Column:
-                # costs[-d]: that of d characters before
-                ways = F.transform(F.filter(edges, lambda e: e["last"] == at), lambda e: F.struct((F.element_at(t["costs"], e["first"] - at) + e["cost"]).alias("cost"), (at - e["first"]).alias("back")))
-                lone = F.struct((F.element_at(t["costs"], -1) + UNKNOWN_COST).alias("cost"), F.lit(1).alias("back"))
-                return let(F.array_min(F.concat(ways, F.array(lone))), lambda w: F.struct(F.concat(t["costs"], F.array(w["cost"])).alias("costs"), F.concat(t["back"], F.array(w["back"])).alias("back")))
-
-            places = F.sequence(k * WINDOW + 1, F.least((k + 1) * WINDOW, n))
-            return F.aggregate(places, F.struct(s["costs"].alias("costs"), F.array().cast("array<int>").alias("back")), place)
-
-        return let(let(edges, block), lambda t: F.struct(F.slice(t["costs"], -F.least(F.size(t["costs"]), F.lit(longest)), F.lit(longest)).alias("costs"), F.concat(s["back"], F.array(t["back"])).alias("back")))
-
     last = F.floor((n - 1) / WINDOW).cast("int")
 
-    def home(ways: Column) -> Column:
-        def back(s: Column, k: Column) -> Column:
-            def place(t: Column, _: Column) -> Column:
-                step = ways[k][t["at"] - k * WINDOW - 1]
-                return F.when(t["at"] > k * WINDOW, let(step, lambda b: F.struct((t["at"] - b).alias("at"), F.concat(F.array(b), t["path"]).alias("path")))).otherwise(t)
+    def back(s: Column, k: Column) -> Column:
+        top = F.least((k + 1) * WINDOW, n)
+        edges = F.flatten(F.transform(F.filter(blocks, lambda b: b["block"] == k), lambda b: F.reverse(b["edges"])))
 
-            t = F.aggregate(ways[k], F.struct(s["at"].alias("at"), F.array().cast("array<int>").alias("path")), place)
-            return let(t, lambda t: F.struct(t["at"].alias("at"), F.concat(F.array(t["path"]), s["path"]).alias("path")))
+        def relax(t: Column, e: Column) -> Column:
+            # the costs end with that of the place after, or with this place's own
+            own = F.size(t["firsts"]) == top - e["first"]
+            size = e["last"] - e["first"]
 
-        return F.flatten(F.aggregate(F.sequence(last, F.lit(0)), F.struct(n.alias("at"), none.alias("path")), back)["path"])
+            def compared(cost: Column) -> Column:
+                better = F.struct(F.concat(F.slice(t["costs"], F.lit(1), F.size(t["costs"]) - own.cast("int")), F.array(cost)).alias("costs"), F.concat(F.slice(t["firsts"], F.lit(1), F.size(t["firsts"]) - own.cast("int")), F.array(size)).alias("firsts"))
+                return F.when(~own | (cost < F.element_at(t["costs"], -1)), better).otherwise(t)
 
-    return let(F.aggregate(F.sequence(F.lit(0), last), F.struct(cost.alias("costs"), none.alias("back")), forth)["back"], home)
+            return let(e["cost"] + F.element_at(t["costs"], -size - own.cast("int")), compared)
 
+        t = F.aggregate(edges, F.struct(s["costs"].alias("costs"), F.array().cast("array<int>").alias("firsts")), relax)
+        return let(t, lambda t: F.struct(F.slice(t["costs"], -F.least(F.size(t["costs"]), F.lit(longest)), F.lit(longest)).alias("costs"), F.concat(s["firsts"], F.array(t["firsts"])).alias("firsts")))
 
-def best_of_one(n: Column, edges: Column) -> Column:
-    """Viterbi for WINDOW characters at most: best_lengths without blocks."""
+    def way(firsts: Column) -> Column:
+        def block(s: Column, k: Column) -> Column:
+            top = F.least((k + 1) * WINDOW, n)
+            here = firsts[last - k]
 
-    def place(t: Column, at: Column) -> Column:
-        ways = F.transform(F.filter(edges, lambda e: e["last"] == at), lambda e: F.struct((t[e["first"]]["cost"] + e["cost"]).alias("cost"), (at - e["first"]).alias("back")))
-        lone = F.struct((t[at - 1]["cost"] + UNKNOWN_COST).alias("cost"), F.lit(1).alias("back"))
-        return F.concat(t, F.array(F.array_min(F.concat(ways, F.array(lone)))))
+            def place(t: Column, _: Column) -> Column:
+                return F.when(t["at"] < top, let(here[top - 1 - t["at"]], lambda x: F.struct((t["at"] + x).alias("at"), F.concat(t["path"], F.array(x)).alias("path")))).otherwise(t)
 
-    def home(t: Column) -> Column:
-        def back(s: Column, _: Column) -> Column:
-            return F.when(s["at"] > 0, let(t[s["at"]]["back"], lambda b: F.struct((s["at"] - b).alias("at"), F.concat(F.array(b), s["path"]).alias("path")))).otherwise(s)
+            t = F.aggregate(here, F.struct(s["at"].alias("at"), F.array().cast("array<int>").alias("path")), place)
+            return let(t, lambda t: F.struct(t["at"].alias("at"), F.concat(s["path"], F.array(t["path"])).alias("path")))
 
-        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("path")), back)["path"]
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), last), F.struct(F.lit(0).alias("at"), none.alias("path")), block)["path"])
 
-    return let(F.aggregate(F.sequence(F.lit(1), n), F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("back"))), place), home)
+    return let(F.aggregate(F.sequence(last, F.lit(0)), F.struct(F.array(F.lit(0.0)).alias("costs"), none.alias("firsts")), back)["firsts"], way)
 
 
 # The lattice
 
 
 def found_edges(parts: DataFrame, model: Model) -> DataFrame:
-    """key, part, edge of each piece in the parts (key, part); edge: rank, first, last, cost."""
+    """key, part, edge of each piece in the parts (key, part), and of each character without one.
+
+    Edges sort as their fold wants them: a merge's rank first, or a place and then the cost.
+    """
     spans = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
     spans = spans.select("key", "part", "first", F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("first"), F.lit(model.longest)))).alias("n"))
     spans = spans.withColumn("piece", F.substring("part", F.col("first") + 1, F.col("n")))
     table = F.broadcast(piece_table(parts.sparkSession, model).select("piece", "rank", "cost"))
-    return spans.join(table, "piece").select("key", "part", F.struct("rank", "first", (F.col("first") + F.col("n")).alias("last"), "cost").alias("edge"))
+    found = spans.join(table, "piece", "left").where("rank is not null or n = 1")
+    last = (F.col("first") + F.col("n")).alias("last")
+    edge = F.struct("first", last, F.coalesce("cost", F.lit(UNKNOWN_COST)).alias("cost")) if model.unigram else F.struct(F.coalesce("rank", F.lit(-1)).alias("rank"), "first", last)
+    return found.select("key", "part", edge.alias("edge"))
 
 
 def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
-    """part, own, best of distinct parts: lengths of the pieces of the model's encoding and of the best path."""
-    kind = "array<tinyint>"
+    """part, ids (as bytes of 32-bit numbers), whole (they decode to it) of distinct parts."""
     n = F.length("part")
     # a short key before the part: what groups and sorts compare first
     keyed = parts.select(F.xxhash64("part").alias("key"), "part")
     short = found_edges(keyed.where(n <= WINDOW), model).groupBy("key", "part").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    best = best_of_one(n, F.col("edges"))
-    own = best if model.unigram else let(merges(F.col("edges")), lambda found: lengths(merged_places(found, n)))
-    out = short.select("part", own.cast(kind).alias("own"), best.cast(kind).alias("best"))
-
-    def blocks(end: str) -> Column:
-        # collected by block first, so that no fold looks through all edges
-        return F.floor((F.col(f"edge.{end}") - (1 if end == "last" else 0)) / WINDOW).cast("int")
-
+    one = F.array(F.struct(F.lit(0).alias("block"), F.col("edges").alias("edges")))
+    # longer ones by block first, so that no fold looks through all edges
     edges = found_edges(keyed.where(n > WINDOW), model)
+    by = edges.groupBy("key", "part", F.floor(F.col("edge.first") / WINDOW).cast("int").alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    long = by.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("block", "edges"))).alias("blocks"))
+    mask = F.lit(None).cast("long") if model.unigram else let(merges(F.col("edges")), lambda found: merged(found, n))
+    sizes = best_lengths(n, one, model.longest) if model.unigram else F.lit(None).cast("array<int>")
+    long_sizes = best_lengths(n, F.col("blocks"), model.longest) if model.unigram else lengths(merged_windows(n, F.col("blocks"), model.longest))
+    out = short.select("part", mask.alias("mask"), sizes.alias("sizes")).unionByName(long.select("part", F.lit(None).cast("long").alias("mask"), long_sizes.alias("sizes")))
+    shared = parts.sparkSession.sparkContext.broadcast(model)
 
-    def collected(end: str) -> DataFrame:
-        by = edges.groupBy("key", "part", blocks(end).alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-        return by.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("block", "edges"))).alias(f"by_{end}"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            found = [model.ids_of(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("part", "mask", "sizes")), strict=True)]
+            whole = [model.text_of(ids) == part for ids, part in zip(found, batch.column("part").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array([np.array(ids, "<i4").tobytes() for ids in found], pa.binary()), pa.array(whole, pa.bool_())], ["part", "ids", "whole"])
 
-    both = collected("last").join(collected("first"), ["key", "part"])
-    best = best_lengths(n, F.col("by_last"), model.longest)
-    own = best if model.unigram else lengths(merged_windows(n, F.col("by_first"), model.longest))
-    return out.unionByName(both.select("part", own.cast(kind).alias("own"), best.cast(kind).alias("best")))
+    return out.mapInArrow(run, "part string, ids binary, whole boolean")
 
 
 # Texts
@@ -325,7 +355,7 @@ def parts_of(docs: DataFrame, model: Model) -> DataFrame:
                     now, words, parts = chunk, set(), set()
                 new = set(text_words(text)) - words
                 words |= new
-                some = {p for w in new for p in model.parts_of(MARK + w)} - parts
+                some = set(model.cut(list(new))[0]) - parts
                 parts |= some
                 found += some
                 of += [chunk] * len(some)
@@ -349,25 +379,34 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, f"chunk long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, raw binary")
 
 
-class Dictionary(dict):
-    """word -> (ids, best ids, both decode to it) as bytes, from the parts of one chunk; words are put together on first sight."""
+class Dictionary:
+    """Words of one chunk to their ids, as bytes, from those of its parts."""
 
     def __init__(self, model: Model):
-        self.model, self.parts = model, {}
-
-    def add(self, part: str, own: list[int], best: list[int]) -> None:
-        a, b = self.model.ids_of(part, own), self.model.ids_of(part, best)
-        good = self.model.text_of(a) == part == self.model.text_of(b)
-        self.parts[part] = np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes(), good
-
-    def __missing__(self, word: str) -> tuple[bytes, bytes, bool]:
-        found = [self.parts[p] for p in self.model.parts_of(MARK + word)]
-        out = self[word] = found[0] if len(found) == 1 else (b"".join(f[0] for f in found), b"".join(f[1] for f in found), all(f[2] for f in found))
-        return out
+        self.model = model
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.broken_parts: set[str] = set()
+        self.broken: set[str] = set()
+
+    def add(self, part: str, ids: bytes, whole: bool) -> None:
+        self.parts[part] = ids
+        if not whole:
+            self.broken_parts.add(part)
+
+    def learn(self, words: set[str]) -> None:
+        new = list(words - self.words.keys())
+        parts, counts = self.model.cut(new)
+        at = 0
+        for w, n in zip(new, counts, strict=True):
+            self.words[w] = self.parts[parts[at]] if n == 1 else b"".join([self.parts[p] for p in parts[at : at + n]])
+            if self.broken_parts and not self.broken_parts.isdisjoint(parts[at : at + n]):
+                self.broken.add(w)
+            at += n
 
 
 def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
-    """doc_id, ids, best_ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself.
+    """doc_id, ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself.
 
     stable: the rows of a partition are the same whenever docs is read, as those of
     files are. Others are written to the shared folder first.
@@ -380,12 +419,10 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
     # one exchange by part serves the distinct parts, their lattice, and the way back to the chunks
     parts = parts_of(docs, model).repartition("part")
     known = encode_parts(parts.select("part").distinct(), model)
-    # a part without any piece has no edges: each character for itself
-    lone = F.array_repeat(F.lit(1).cast("tinyint"), F.length("part"))
-    entries = parts.join(known.hint("merge"), "part", "left").withColumns({c: F.coalesce(c, lone) for c in ("own", "best")})
+    entries = parts.join(known.hint("merge"), "part")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    left = entries.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("binary").alias("raw"), "part", "own", "best")
-    right = packed_texts(docs).select("chunk", F.lit(1).alias("kind"), "doc_id", "raw", F.lit(None).cast("string").alias("part"), F.lit(None).cast("array<tinyint>").alias("own"), F.lit(None).cast("array<tinyint>").alias("best"))
+    left = entries.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("binary").alias("raw"), "part", "ids", "whole")
+    right = packed_texts(docs).select("chunk", F.lit(1).alias("kind"), "doc_id", "raw", *(F.lit(None).cast(t).alias(c) for c, t in (("part", "string"), ("ids", "binary"), ("whole", "boolean"))))
     # the parts of a chunk come before its texts
     rows = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
@@ -398,26 +435,27 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
 
         now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("chunk", "kind", "raw", "part", "own", "best")]
-            at, own_ids, best_ids, good = [], [], [], []
-            for i, (chunk, kind, raw, part, own, best) in enumerate(zip(*columns, strict=True)):
-                if chunk != now:
-                    now, words = chunk, Dictionary(shared.value)
-                if not kind:
-                    words.add(part, own, best)
-                    continue
-                found = [words[w] for w in text_words(unpack(raw).decode())]
-                at.append(i)
-                own_ids.append(b"".join([f[0] for f in found]))
-                best_ids.append(b"".join([f[1] for f in found]))
-                good.append(all(f[2] for f in found))
-                if len(at) == 512:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), listed(own_ids), listed(best_ids), pa.array(good, pa.bool_())], ["doc_id", "ids", "best_ids", "whole"])
-                    at, own_ids, best_ids, good = [], [], [], []
-            if at:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), listed(own_ids), listed(best_ids), pa.array(good, pa.bool_())], ["doc_id", "ids", "best_ids", "whole"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, best_ids array<int>, whole boolean")
+            chunks, kinds = (batch.column(c).to_numpy() for c in ("chunk", "kind"))
+            ends = [*(np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(chunks)]
+            start = 0
+            for end in ends:
+                part = batch.slice(start, end - start)
+                if chunks[start] != now:
+                    now, words = chunks[start], Dictionary(shared.value)
+                if not kinds[start]:
+                    for row in zip(*(part.column(c).to_pylist() for c in ("part", "ids", "whole")), strict=True):
+                        words.add(*row)
+                else:
+                    for a in range(0, part.num_rows, 256):
+                        some = part.slice(a, 256)
+                        cut = [text_words(unpack(raw).decode()) for raw in some.column("raw").to_pylist()]
+                        words.learn(set().union(*cut))
+                        ids = listed([b"".join(map(words.words.__getitem__, c)) for c in cut])
+                        whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
+                        yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids, whole], ["doc_id", "ids", "whole"])
+                start = end
+
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, whole boolean")
 
 
 def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:
