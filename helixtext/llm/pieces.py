@@ -289,8 +289,8 @@ def found_edges(parts: DataFrame, model: Model) -> DataFrame:
 
     Edges sort as their fold wants them: a merge's rank first, or a place and then the cost.
     """
-    spans = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
-    spans = spans.select("key", "part", "first", F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("first"), F.lit(model.longest)))).alias("n"))
+    starts = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
+    spans = starts.select("key", "part", "first", F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("first"), F.lit(model.longest)))).alias("n"))
     spans = spans.withColumn("piece", F.substring("part", F.col("first") + 1, F.col("n")))
     table = F.broadcast(piece_table(parts.sparkSession, model).select("piece", "rank", "cost"))
     found = spans.join(table, "piece", "left").where("rank is not null or n = 1")
@@ -341,6 +341,15 @@ class Chunks:
         return here
 
 
+def runs(values: list[int], most: int) -> Iterator[tuple[int, int, int]]:
+    """Ranges of equal values, of at most so many: value, first, end."""
+    start = 0
+    for i in range(1, len(values) + 1):
+        if i == len(values) or values[i] != values[start] or i - start == most:
+            yield values[start], start, i
+            start = i
+
+
 def parts_of(docs: DataFrame, model: Model) -> DataFrame:
     """chunk, part: the distinct parts of each chunk's texts."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -349,11 +358,12 @@ def parts_of(docs: DataFrame, model: Model) -> DataFrame:
         model, chunks, now = shared.value, Chunks(), None
         for batch in batches:
             of, found = [], []
-            for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                text = text or ""
-                if (chunk := chunks.of(place, text)) != now:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            mine = [chunks.of(p, t) for p, t in zip(batch.column("place").to_pylist(), texts, strict=True)]
+            for chunk, a, b in runs(mine, 256):
+                if chunk != now:
                     now, words, parts = chunk, set(), set()
-                new = set(text_words(text)) - words
+                new = set().union(*map(text_words, texts[a:b])) - words
                 words |= new
                 some = set(model.cut(list(new))[0]) - parts
                 parts |= some
@@ -418,7 +428,8 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # one exchange by part serves the distinct parts, their lattice, and the way back to the chunks
     parts = parts_of(docs, model).repartition("part")
-    known = encode_parts(parts.select("part").distinct(), model)
+    # (the least chunk is only asked for so that both read the same columns, and one exchange)
+    known = encode_parts(parts.groupBy("part").agg(F.min("chunk").alias("chunk")).where("chunk is not null").select("part"), model)
     entries = parts.join(known.hint("merge"), "part")
     kind = docs.schema["doc_id"].dataType.simpleString()
     left = entries.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("binary").alias("raw"), "part", "ids", "whole")
