@@ -136,10 +136,9 @@ def text_words(text: str) -> list[str]:
     """The words of a text, each without the mark that all of them begin with."""
     if not text:
         return []
-    t = text.replace(" ", MARK)
-    if MARK + MARK not in t and t[0] != MARK and t[-1] != MARK:
-        return t.split(MARK)
-    return [w[1:] for w in WORDS.findall(MARK + t)]
+    if MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [w[1:] for w in WORDS.findall(MARK + text.replace(" ", MARK))]
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
@@ -285,12 +284,16 @@ def best_lengths(n: Column, blocks: Column, longest: int) -> Column:
 
 
 def found_edges(parts: DataFrame, model: Model) -> DataFrame:
-    """key, part, edge of each piece in the parts (key, part), and of each character without one.
+    """key, part, edge of each piece in the parts (key, part).
 
-    Edges sort as their fold wants them: a merge's rank first, or a place and then the cost.
+    For the best path these are all pieces, and characters without one, by their
+    places. For merges they are the pieces of two characters or more, best first;
+    each part's first character stands for parts that have none.
     """
     starts = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
-    spans = starts.select("key", "part", "first", F.explode(F.sequence(F.lit(1), F.least(F.length("part") - F.col("first"), F.lit(model.longest)))).alias("n"))
+    left = F.least(F.length("part") - F.col("first"), F.lit(model.longest))
+    least = F.lit(1) if model.unigram else F.when(F.col("first") == 0, 1).otherwise(2)
+    spans = starts.select("key", "part", "first", F.explode(F.when(left >= least, F.sequence(least, left))).alias("n"))
     spans = spans.withColumn("piece", F.substring("part", F.col("first") + 1, F.col("n")))
     table = F.broadcast(piece_table(parts.sparkSession, model).select("piece", "rank", "cost"))
     found = spans.join(table, "piece", "left").where("rank is not null or n = 1")
