@@ -29,13 +29,13 @@ that repeat a document id are encoded one by one; other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +66,11 @@ class Model:
     def ids(self) -> dict[str, int]:
         return {p: i for p, i, _ in self.pieces}
 
+    @functools.cached_property
+    def kind(self) -> str:
+        """The numbers that ids are kept as between stages."""
+        return "<u2" if max([i for _, i, _ in self.pieces] + [self.bytes_first + 255, self.unknown]) < 1 << 16 else "<u4"
+
     @functools.cached_property
     def names(self) -> dict[int, bytes]:
         return {i: p.encode() for p, i, _ in self.pieces}
@@ -143,10 +148,8 @@ def text_words(text: str) -> list[str]:
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """piece, id, rank (0: merged first), cost (negative logarithm of its likelihood, without the common factor)."""
-    p = pd.DataFrame(model.pieces, columns=["piece", "id", "score"])
-    p["rank"] = p["score"].rank(ascending=False, method="first").astype(int) - 1
-    p["cost"] = -p["score"]
-    return spark.createDataFrame(p[["piece", "id", "rank", "cost"]], "piece string, id int, rank int, cost double")
+    ranked = sorted(model.pieces, key=lambda p: -p[2])
+    return spark.createDataFrame([(p, i, k, -s) for k, (p, i, s) in enumerate(ranked)], "piece string, id int, rank int, cost double")
 
 
 # The folds
@@ -303,7 +306,7 @@ def found_edges(parts: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
-    """part, ids (as bytes of 32-bit numbers), whole (they decode to it) of distinct parts."""
+    """part, ids of distinct parts: as bytes of numbers, and one byte more where they don't decode to the part."""
     n = F.length("part")
     # a short key before the part: what groups and sorts compare first
     keyed = parts.select(F.xxhash64("part").alias("key"), "part")
@@ -322,11 +325,14 @@ def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [model.ids_of(*row) for row in zip(*(batch.column(c).to_pylist() for c in ("part", "mask", "sizes")), strict=True)]
-            whole = [model.text_of(ids) == part for ids, part in zip(found, batch.column("part").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array([np.array(ids, "<i4").tobytes() for ids in found], pa.binary()), pa.array(whole, pa.bool_())], ["part", "ids", "whole"])
+            rows = zip(*(batch.column(c).to_pylist() for c in ("part", "mask", "sizes")), strict=True)
+            ids = []
+            for part, mask, sizes in rows:
+                found = model.ids_of(part, mask, sizes)
+                ids.append(np.array(found, model.kind).tobytes() + (b"" if model.text_of(found) == part else b"?"))
+            yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(ids, pa.binary())], ["part", "ids"])
 
-    return out.mapInArrow(run, "part string, ids binary, whole boolean")
+    return out.mapInArrow(run, "part string, ids binary")
 
 
 # Texts
@@ -378,7 +384,7 @@ def parts_of(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """chunk, doc_id, raw: compressed texts, in the chunks of parts_of."""
+    """chunk, doc_ids, sizes, raw: some documents of a chunk a row, their texts compressed together; in the chunks of parts_of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -386,10 +392,15 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         chunks, pack = Chunks(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            of = pa.array([chunks.of(p, t) for p, t in zip(batch.column("place").to_pylist(), texts, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays([of, batch.column("doc_id"), pa.array([pack(t.encode("utf-8", "replace")) for t in texts], pa.binary())], ["chunk", "doc_id", "raw"])
+            mine = [chunks.of(p, t) for p, t in zip(batch.column("place").to_pylist(), texts, strict=True)]
+            parts = list(runs(mine, 64))
+            ends = pa.array([0, *(b for _, _, b in parts)], pa.int32())
+            ids, sizes = (pa.ListArray.from_arrays(ends, c) for c in (batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int32())))
+            raw = [pack("".join(texts[a:b]).encode("utf-8", "replace")) for _, a, b in parts]
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _, _ in parts], pa.int64()), ids, sizes, pa.array(raw, pa.binary())], ["chunk", "doc_ids", "sizes", "raw"])
 
-    return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, f"chunk long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, raw binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, f"chunk long, doc_ids array<{kind}>, sizes array<int>, raw binary")
 
 
 class Dictionary:
@@ -402,10 +413,12 @@ class Dictionary:
         self.broken_parts: set[str] = set()
         self.broken: set[str] = set()
 
-    def add(self, part: str, ids: bytes, whole: bool) -> None:
-        self.parts[part] = ids
-        if not whole:
-            self.broken_parts.add(part)
+    def add(self, parts: list[str], ids: list[bytes]) -> None:
+        self.parts.update(zip(parts, ids, strict=True))
+        for part, b in zip(parts, ids, strict=True):
+            if len(b) & 1:
+                self.broken_parts.add(part)
+                self.parts[part] = b[:-1]
 
     def learn(self, words: set[str]) -> None:
         new = list(words - self.words.keys())
@@ -433,16 +446,15 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
     parts = parts_of(docs, model).repartition("part")
     # (the least chunk is only asked for so that both read the same columns, and one exchange)
     known = encode_parts(parts.groupBy("part").agg(F.min("chunk").alias("chunk")).where("chunk is not null").select("part"), model)
-    entries = parts.join(known.hint("merge"), "part")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    left = entries.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("binary").alias("raw"), "part", "ids", "whole")
-    right = packed_texts(docs).select("chunk", F.lit(1).alias("kind"), "doc_id", "raw", *(F.lit(None).cast(t).alias(c) for c, t in (("part", "string"), ("ids", "binary"), ("whole", "boolean"))))
+    entries = parts.join(known.hint("merge"), "part").select("chunk", F.lit(0).alias("kind"), "part", "ids")
+    texts = packed_texts(docs).withColumn("kind", F.lit(1))
     # the parts of a chunk come before its texts
-    rows = left.unionByName(right).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    rows = entries.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
-    def listed(of: list[bytes]) -> pa.Array:
-        ends = np.concatenate([[0], np.cumsum([len(b) // 4 for b in of], dtype=np.int64)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(of), "<i4"), pa.int32()))
+    def listed(of: list[bytes], kind: str) -> pa.Array:
+        numbers = np.frombuffer(b"".join(of), kind).astype(np.int32)
+        ends = np.cumsum([0, *map(len, of)], dtype=np.int64) // np.dtype(kind).itemsize
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -450,26 +462,23 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
         now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             chunks, kinds = (batch.column(c).to_numpy() for c in ("chunk", "kind"))
-            ends = [*(np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(chunks)]
-            start = 0
-            for end in ends:
+            ends = [0, *(np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(chunks)]
+            for start, end in itertools.pairwise(ends):
                 part = batch.slice(start, end - start)
                 if chunks[start] != now:
                     now, words = chunks[start], Dictionary(shared.value)
                 if not kinds[start]:
-                    for row in zip(*(part.column(c).to_pylist() for c in ("part", "ids", "whole")), strict=True):
-                        words.add(*row)
-                else:
-                    for a in range(0, part.num_rows, 256):
-                        some = part.slice(a, 256)
-                        cut = [text_words(unpack(raw).decode()) for raw in some.column("raw").to_pylist()]
-                        words.learn(set().union(*cut))
-                        ids = listed([b"".join(map(words.words.__getitem__, c)) for c in cut])
-                        whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
-                        yield pa.RecordBatch.from_arrays([some.column("doc_id"), ids, whole], ["doc_id", "ids", "whole"])
-                start = end
-
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, whole boolean")
+                    words.add(part.column("part").to_pylist(), part.column("ids").to_pylist())
+                    continue
+                for k, (raw, sizes) in enumerate(zip(part.column("raw").to_pylist(), part.column("sizes").to_pylist(), strict=True)):
+                    text, at = unpack(raw).decode(), np.cumsum([0, *sizes]).tolist()
+                    cut = [text_words(text[a:b]) for a, b in itertools.pairwise(at)]
+                    words.learn(set().union(*cut))
+                    ids = listed([b"".join(map(words.words.__getitem__, c)) for c in cut], shared.value.kind)
+                    whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
+                    yield pa.RecordBatch.from_arrays([part.column("doc_ids").slice(k, 1).flatten(), ids, whole], ["doc_id", "ids", "whole"])
+
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, whole boolean")
 
 
 def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:
