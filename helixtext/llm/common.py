@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -26,11 +25,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (in tests) one of our own."""
+    """The folder that driver and executors share, from spark.checkpoint.dir; a folder of one machine would be lost to the others."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="helixtext-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found
 
 
@@ -56,6 +54,13 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, with as many underscores before it as keep it apart from those taken."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def hash_order(*cols: Column) -> Column:
     """A fixed pseudo-random order of rows, the same on every run and partitioning."""
     return F.xxhash64(F.lit(20240229), *cols)

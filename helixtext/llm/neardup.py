@@ -5,9 +5,9 @@ exponentially distributed hashes over the set, on an exponential scale and
 truncated to 16 bits. Registers of unions are maxima of registers, and two sets
 share a register's value about as often as their similarity says.
 
-1. Documents with the same set are one, its representative the smallest id.
+1. Documents with the same set are one row, known by a number made of the set.
 2. Bands of register values are keys. In each bucket every member is paired with
-   the bucket's smallest id, its pivot: as many pairs as members.
+   the bucket's smallest member, its pivot: as many pairs as members.
 3. Pairs whose similarity, jointly estimated by likelihood from both sketches,
    is far too low are left; all others are confirmed on the full sets.
 4. Links give components. Only buckets whose members (the pivot aside) are still
@@ -15,14 +15,14 @@ share a register's value about as often as their similarity says.
    intersections of a block computed at once, and only links between different
    components are returned. So no link of a bucket is missed, and no list of all
    its pairs is ever made.
-5. The components of all links are the classes.
+5. The components of all links are the classes, each named by its smallest doc_id.
 
 Defined cases: a text with fewer words than a shingle has is one shingle; a null,
 empty or blank text has no set, is linked with nothing and kept; equal texts have
-equal sets, whatever their number; rows with the same doc_id count as one
-document each and share a class only by their texts; a null doc_id can't be a
-representative and forms a class of its own with a null component; an empty table
-gives no rows; other columns are not read.
+equal sets, whatever their number; each row counts by its own text, so rows with
+the same doc_id share a class only by their texts; a row with a null doc_id is
+linked with nothing, kept, and has a null component; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,8 +49,10 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 ERRORS = 5.0
 #: Members of a block.
 BLOCK = 256
-#: Bits of the filter before texts are fetched.
-FILTER_BITS = 1 << 23
+#: Bits of the filter before texts are fetched: so many for each text, within a broadcast of 1 to 16 MB.
+FILTER_EACH, FILTER_LEAST, FILTER_MOST = 16, 1 << 23, 1 << 27
+#: Parts that the rows of one cluster are dealt to.
+SALTS = 32
 
 
 @functools.lru_cache(maxsize=4)
@@ -182,7 +184,7 @@ def intersections(hashes: np.ndarray, sizes: np.ndarray, columns: int = 4096) ->
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (of the set, null without one), registers (binary)."""
+    """doc_id, row_key (passed through), n_shingles, set_key (of the set, null without one), registers (binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,10 +199,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     twice = np.concatenate([[0], np.cumsum(mixed(hashes), dtype=np.uint64)]).astype(np.uint64)
                     other = twice[ends[1:]] - twice[ends[:-1]]
                 keys = [f"{x:016x}{y:016x}{n:x}" if n else None for x, y, n in zip(total.tolist(), other.tolist(), sizes.tolist(), strict=True)]
-                arrays = [batch.column("doc_id").slice(a, b - a), pa.array(sizes), pa.array(keys, pa.string()), pa.array([r.tobytes() for r in regs], pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "set_key", "registers"])
+                arrays = [batch.column("doc_id").slice(a, b - a), batch.column("row_key").slice(a, b - a), pa.array(sizes), pa.array(keys, pa.string()), pa.array([r.tobytes() for r in regs], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "row_key", "n_shingles", "set_key", "registers"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, set_key string, registers binary")
+    return docs.select("doc_id", "row_key", "text").mapInArrow(run, "doc_id long, row_key long, n_shingles long, set_key string, registers binary")
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: common.Scratch) -> DataFrame:
@@ -272,16 +274,27 @@ def _block_links(pdf: pd.DataFrame, size: int, link: tuple[int, int]) -> pd.Data
     return pd.DataFrame({"a": rep[a[first]], "b": rep[b[first]]}, dtype="int64")
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a key of both."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text)."""
+    scratch = common.Scratch(docs.sparkSession)
+    return row_classes(docs, size, link, block, scratch).drop("row_key")
+
+
+def row_classes(docs: DataFrame, size: int, link: tuple[int, int], block: int, scratch: common.Scratch) -> DataFrame:
+    """The rows of classes, each with the key of its id and text."""
     spark = docs.sparkSession
-    scratch = common.Scratch(spark)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    common.package_to_executors(spark)
+    texts = keyed_rows(docs)
     sketched = scratch.table(sketches(texts, size))
-    # 1. one representative for each set
-    reps = sketched.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min("registers").alias("registers"), F.min("n_shingles").alias("n"))
-    # the sets of one id can differ: it stands for the first of them, and its rows are linked by their id
-    one = scratch.table(reps)
+    # 1. one row for each set, known by a number made of it, with its smallest id and the key of that row
+    reps = sketched.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull()).groupBy("set_key").agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.min("registers").alias("registers"), F.min("n_shingles").alias("n"))
+    one = scratch.table(reps.select("set_key", F.xxhash64("set_key").alias("rep"), "first.doc_id", "first.row_key", "registers", "n"))
     # 2. buckets
     band = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("registers", k * (2 * ROWS) + 1, F.lit(2 * ROWS)))))
     keyed = one.select("rep", band.alias("band", "key")).select("rep", "key")
@@ -322,10 +335,14 @@ def classes(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK,
     every = scratch.table(links.unionByName(more).distinct())
     # 5. classes
     final = components(spark, every, scratch).withColumnRenamed("node", "rep")
-    of_set = one.select("set_key", "rep").join(final, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    out = sketched.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    of_set = one.select("set_key", "rep", "doc_id").join(final, "rep", "left").select("set_key", "doc_id", F.coalesce("component", "rep").alias("component"))
+    named = of_set.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_set = of_set.join(named, "component").select("set_key", "component_id")
+    # rows without a set or an id meet nothing
+    rows = sketched.select("doc_id", "row_key", "n_shingles", "set_key")
+    lone = "set_key is null or doc_id is null"
+    out = rows.where(f"not ({lone})").join(of_set, "set_key").unionByName(rows.where(lone).withColumn("component_id", F.col("doc_id")))
+    return out.select("doc_id", "row_key", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def _groups(members: DataFrame, block: int, scratch: common.Scratch) -> DataFrame:
@@ -347,25 +364,32 @@ def _groups(members: DataFrame, block: int, scratch: common.Scratch) -> DataFram
     whole = placed.select("cluster", "rep").distinct().groupBy("cluster").agg(F.count("*").alias("size"))
     apart = buckets.groupBy("cluster").agg(F.sum(cost(F.col("n"))).alias("apart"))
     choice = whole.join(apart, "cluster").select("cluster", "size", (cost(F.col("size")) <= F.col("apart")).alias("one"))
-    one = placed.select("cluster", "rep", "component").distinct().join(choice.where("one"), "cluster").select(F.concat(F.lit("c"), F.col("cluster").cast("string")).alias("key"), F.col("size").alias("n"), "rep", "component")
-    many = placed.join(choice.where("not one").select("cluster"), "cluster").join(buckets.select("key", "n"), "key").select(F.concat(F.lit("b"), F.col("key").cast("string")).alias("key"), "n", "rep", "component")
+    # a cluster can hold most members: its rows are dealt to SALTS parts
+    choice = scratch.table(choice.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int"))
+    on = ["cluster", "salt"]
+    one = salted.select(*on, "rep", "component").distinct().join(choice.where("one"), on).select(F.concat(F.lit("c"), F.col("cluster").cast("string")).alias("key"), F.col("size").alias("n"), "rep", "component")
+    many = salted.join(choice.where("not one").select(*on), on).join(buckets.select("key", "n"), "key").select(F.concat(F.lit("b"), F.col("key").cast("string")).alias("key"), "n", "rep", "component")
     return one.unionByName(many)
 
 
 def without_copies(docs: DataFrame, size: int = SHINGLE, link: tuple[int, int] = LINK) -> DataFrame:
     """One document of each class, the one with the smallest id; of rows that repeat an id and its text one stays."""
     scratch = common.Scratch(docs.sparkSession)
-    found = scratch.table(classes(docs.select("doc_id", "text"), size, link).select("doc_id", "kept"))
-    gone = found.where("not kept").select("doc_id").distinct()
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
+    found = scratch.table(row_classes(docs, size, link, BLOCK, scratch).select("doc_id", "row_key", "kept"))
+    gone = found.where("not kept").select("row_key").distinct()
+    repeated = found.where("kept and doc_id is not null").groupBy("row_key").count().where("count > 1").select("row_key")
+    key = common.unused("row_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    left = keyed.join(gone.withColumnRenamed("row_key", key), key, "left_anti")
     if repeated.isEmpty():
         return left.select(*docs.columns)
-    twice = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
+    repeated = repeated.withColumnRenamed("row_key", key)
+    twice = left.join(repeated, key, "left_semi").dropDuplicates([key])
+    return left.join(repeated, key, "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
 
 
-def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame, bits: int) -> DataFrame:
     """The rows whose key may be among the wanted: a bit for each hash, in a table of bits / 8 bytes at most.
 
     Its size is fixed, so it may be broadcast; rows that it lets through by
@@ -383,8 +407,12 @@ def _maybe_in(rows: DataFrame, key: str, wanted: DataFrame, bits: int = FILTER_B
 
 
 def _fetch(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, text, registers, n of the representatives wanted (rep)."""
-    ids = wanted.withColumnRenamed("rep", "doc_id")
-    some = _maybe_in(texts.where("text is not null and doc_id is not null"), "doc_id", ids)
-    found = some.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text")).withColumnRenamed("doc_id", "rep")
-    return found.join(_maybe_in(one.select("rep", "registers", "n"), "rep", wanted).hint("merge"), "rep")
+    """rep, text, registers, n of the sets wanted (rep)."""
+    bits = FILTER_LEAST
+    while bits < min(FILTER_EACH * wanted.count(), FILTER_MOST):
+        bits *= 2
+    sets = _maybe_in(one.select("rep", "row_key", "registers", "n"), "rep", wanted, bits).join(wanted.hint("merge"), "rep")
+    keys = one.select("rep", "row_key").join(wanted.hint("merge"), "rep").select("row_key")
+    some = _maybe_in(texts.where("text is not null and doc_id is not null"), "row_key", keys, bits).select("row_key", "text")
+    found = some.join(keys.hint("merge"), "row_key", "left_semi").groupBy("row_key").agg(F.max("text").alias("text"))
+    return found.join(sets.hint("merge"), "row_key").select("rep", "text", "registers", "n")

@@ -232,6 +232,19 @@ def test_classes_equal_brute_force(spark):
     assert dict(zip(got.doc_id, got.component_id)) == want and dict(zip(got.doc_id, got.n_shingles)) == sizes
 
 
+def test_repeated_and_null_ids_link_by_their_texts(spark):
+    words = [f"w{i}" for i in range(40)]
+    b = " ".join(words)
+    rows = [(5, "something else altogether in this text"), (5, b), (7, b + " tail"), (None, b), (3, b + " tail end"), (9, "alone in the world with these words"), (9, None), (None, None), (5, b)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.classes(d, size=4).collect()), key=str)
+    want = [(5, 3, 5, True), (5, 37, 3, False), (5, 37, 3, False), (7, 38, 3, False), (None, 37, None, True), (3, 39, 3, True), (9, 4, 9, True), (9, 0, 9, True), (None, 0, None, True)]
+    assert got == sorted(want, key=str)
+    left = neardup.without_copies(d.withColumn("row_key", F.lit("clash")), size=4)
+    assert left.columns == ["doc_id", "text", "row_key"]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([rows[0], rows[3], rows[4], rows[5], rows[6], rows[7]], key=str)
+
+
 def test_a_group_whose_pivot_is_far_from_most(spark):
     common.package_to_executors(spark)
     rng = random.Random(5)
