@@ -1,29 +1,38 @@
 """Main text of web pages by minimum cut.
 
-A page is cut into blocks of text at its block elements. A linear classifier
-gives each block a score; it becomes the capacity from the source (content) or
-to the sink (boilerplate). Neighbouring blocks, and blocks of one parent, are
-tied by edges that weigh more the nearer they are in the document tree. The
-maximum flow saturates the cheapest cut; what the source still reaches is the
-content.
+A page is cut into blocks of text at its block elements. A classifier gives each
+block a cost, the capacity of its edge from the source (content) or to the sink
+(boilerplate). It has two views. How a text looks (length, links, punctuation,
+depth) is a logistic regression, fitted on blocks whose element
+tells what they are: those of articles, and those of menus, footers and the like, in
+a bounded sample of the pages. Where a block stands (in an article, in a menu, under
+a name such as "advert") adds fixed weights. Neighbouring blocks, and blocks of one
+parent, are tied by edges that weigh more the nearer they are in the document tree,
+so a run of content carries a block that looks like none. The maximum flow
+saturates the cheapest cut; what the source still reaches is the content.
 
 Defined cases: null or empty html gives an empty text and 0 characters; a page
-without tags is one block; unclosed elements, comments and scripts end with the
-page; equal pages have equal texts; other columns than page_id, url and html are
-not read.
+without tags, like any of a single block, is content unless that block stands in a
+menu or the like; unclosed elements, comments and scripts end
+with the page; equal pages have equal texts; without blocks to fit on the
+look's weights are START; other columns than page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+from .toxicity import logistic
+
 # Elements of HTML and the words sites use for their parts.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,52 +56,67 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: Elements that an open paragraph does not outlast the start of.
 ENDS_P = BLOCKS - {"body", "html", "head"}
 
-# The classifier's weights, in natural logarithms of odds.
-HINT, HIDDEN_COST, NONE, LINKED, WORDS, SENTENCE, TIE = 6.0, 12.0, -0.5, -4.0, 0.6, 1.0, 1.5
+#: Pages that the look is fitted on, at most.
+MOST_PAGES = 500
+#: What the look can say, either way, in natural logarithms of odds.
+LOOK = 4.0
+#: The look's weights where nothing can be fitted: of look().
+START = (-2.0, 1.2, -4.0, 1.0, 0.0, 0.5)
+#: Where a block stands: in an article, under a name of content, in a menu or the like, under a name of boilerplate (as a whole, in part), hidden.
+IN_ARTICLE, GOOD_NAME, BAD_PLACE, BAD_NAME, BAD_PART, HIDDEN_COST = 2.5, 1.5, -8.0, -8.0, -4.0, -16.0
+#: The tie of neighbours that are siblings, what divides it with each step more between them, the tie of blocks of one parent, and the distance beyond which all are equally far.
+TIE, DECAY, SIBLING, FAR = 2.0, 4.0, 1.0, 8
 
 
 @dataclass(slots=True)
 class Element:
     tag: str
     depth: int
-    number: int
-    #: What it says about the text in it: above 0 content, below 0 boilerplate, 0 nothing.
-    hint: float
     parent: int
+    #: What the places and names from the top down say.
+    place: float
+    #: 1 in an article, -1 in a menu or the like, 0 in neither or under a name of boilerplate.
+    kind: int
 
 
 @dataclass(slots=True)
 class Block:
     text: str
     linked: int
-    hint: float
     tag: str
-    path: tuple[int, ...]
+    element: int
+    parent: int
+    depth: int
+    place: float
+    kind: int
 
 
-def hint_of(tag: str, attributes: str, above: float, in_article: bool) -> float:
-    """The hint of an element inside one with the hint above; boilerplate stays so."""
-    if above < 0:
-        return above
+def place_of(tag: str, attributes: str, above: Element, in_article: bool) -> tuple[float, int]:
+    """What an element adds to the place above it, and its kind."""
+    place, kind = above.place, above.kind
     if attributes and HIDDEN.search(attributes):
-        return -HIDDEN_COST
+        return place + HIDDEN_COST, 0
     if tag in BAD_TAGS or tag == "header" and not in_article:
-        return -HINT
-    if attributes:
-        names = " ".join("".join(m) for m in NAMES.findall(attributes))
-        if names:
-            if tag not in GOOD_TAGS and tag not in ("body", "html") and BAD_WORDS.search(names):
-                return -HINT
-            if GOOD_WORDS.search(names) and tag not in ("body", "html"):
-                return max(above, HINT / 2)
-    return HINT if tag in GOOD_TAGS else above
-
-
-def blocks(page: str) -> list[Block]:
-    """The page's blocks of text in order, head and scripts left out."""
+        return min(place, 0.0) + BAD_PLACE, -1
+    if tag in GOOD_TAGS:
+        return max(place, place + IN_ARTICLE if kind < 1 else place), 1 if kind >= 0 else kind
+    names = [n for m in NAMES.findall(attributes) for n in "".join(m).split()] if attributes and tag not in ("body", "html") else []
+    if names:
+        words = [[w for w in re.split(r"[\W_]+", n) if w] for n in names]
+        bad = [sum(bool(BAD_WORDS.search(w)) for w in ws) / len(ws) for ws in words if ws]
+        if bad and max(bad) > 0:
+            return place + (BAD_NAME if max(bad) == 1 else BAD_PART), 0
+        if any(GOOD_WORDS.search(n) for n in names) and place < IN_ARTICLE + GOOD_NAME:
+            return place + GOOD_NAME, kind
+    return place, kind
+
+
+def blocks(page: str) -> tuple[list[Block], list[Element]]:
+    """The page's blocks of text in order, head and scripts left out; and its elements."""
     out: list[Block] = []
-    stack = [Element("", 0, 0, 0.0, 0)]
-    number = 0
+    elements = [Element("", 0, 0, 0.0, 0)]
+    stack = [0]
+    open_: Counter[str] = Counter()
     text: list[str] = []
     linked, links = 0, 0
 
@@ -100,8 +124,9 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         if text:
             joined = " ".join(entities.unescape("".join(text)).split())
-            if joined and not any(e.tag == "head" for e in stack):
-                out.append(Block(joined, min(linked, len(joined)), stack[-1].hint, stack[-1].tag, tuple(e.number for e in stack)))
+            if joined and not open_["head"]:
+                e = elements[stack[-1]]
+                out.append(Block(joined, min(linked, len(joined)), e.tag, stack[-1], e.parent, e.depth, e.place, e.kind))
             text.clear()
         linked = 0
 
@@ -111,6 +136,11 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked += len(piece.strip())
 
+    def pop() -> str:
+        tag = elements[stack.pop()].tag
+        open_[tag] -= 1
+        return tag
+
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
@@ -132,47 +162,52 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID:
             continue
         if ending:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    links = 0
-                    break
+            # only an open element is looked for, and what is passed is closed: the walk is linear
+            if open_[tag]:
+                while pop() != tag:
+                    pass
+                links = 0
             continue
-        if tag in ENDS_P and stack[-1].tag == "p":
-            stack.pop()
+        if tag in ENDS_P and elements[stack[-1]].tag == "p":
+            pop()
         if tag == "body":
-            while stack[-1].tag == "head":
-                stack.pop()
-        while stack[-1].tag in CLOSES.get(tag, ()):
-            stack.pop()
-        number += 1
-        top = stack[-1]
-        stack.append(Element(tag, len(stack), number, hint_of(tag, attributes, top.hint, any(e.tag in GOOD_TAGS for e in stack)), top.number))
+            while elements[stack[-1]].tag == "head":
+                pop()
+        while elements[stack[-1]].tag in CLOSES.get(tag, ()):
+            pop()
+        above = elements[stack[-1]]
+        elements.append(Element(tag, above.depth + 1, stack[-1], *place_of(tag, attributes, above, open_["article"] + open_["main"] > 0)))
+        stack.append(len(elements) - 1)
+        open_[tag] += 1
     if at < len(page):
         rest = page[at:]
         words(rest[: rest.rfind("<")] if re.search(r"<[/!a-zA-Z][^>]*\Z", rest) else rest)
     close()
-    return out
+    return out, elements
 
 
-def score(b: Block) -> float:
-    """The classifier: above 0 for content."""
+def look(b: Block) -> list[float]:
+    """How a block looks: bias, length, links, a sentence's end, depth, marks."""
     n = b.text.count(" ") + 1
-    out = b.hint + (NONE if not b.hint else 0) + LINKED * b.linked / len(b.text)
-    out += WORDS * (min(n, 40) / 10 - 0.5)
-    if n >= 5 and b.text.rstrip("\"')”»")[-1:] in ".!?…":
-        out += SENTENCE
-    return out + (1.0 if b.tag in ("p", "pre", "blockquote") else 0.5 if b.tag[:1] == "h" and b.tag[1:].isdigit() else -0.5 if b.tag in ("li", "td", "th") else 0.0)
+    sentence = n >= 5 and b.text.rstrip("\"')”»")[-1:] in ".!?…"
+    marks = sum(map(b.text.count, ",.;:"))
+    return [1.0, np.log(n), b.linked / len(b.text), float(sentence), min(b.depth, 20) / 10, min(marks / n, 1.0)]
+
+
+def score(b: Block, weights: np.ndarray) -> float:
+    """The classifier: above 0 for content."""
+    return float(np.clip(np.dot(look(b), weights), -LOOK, LOOK)) + b.place
 
 
-def distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """Steps in the tree between the parents of two blocks."""
-    k = 0
-    for x, y in zip(a[:-1], b[:-1], strict=False):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 - 2 * k
+def distance(a: int, b: int, elements: list[Element]) -> int:
+    """Steps in the tree between two elements, FAR at most."""
+    for steps in range(FAR):
+        if a == b:
+            return steps
+        if elements[a].depth < elements[b].depth:
+            a, b = b, a
+        a = elements[a].parent
+    return FAR
 
 
 class Network:
@@ -233,41 +268,68 @@ class Network:
         return [x >= 0 for x in far]
 
 
-def content(found: list[Block]) -> list[bool]:
+def content(found: list[Block], elements: list[Element], weights: np.ndarray) -> list[bool]:
     """Which blocks are content: the minimum cut."""
     n = len(found)
-    scores = [score(b) for b in found]
-    if not n or min(scores) > 0 or max(scores) < 0:
-        return [s > 0 for s in scores]
     net = Network(n + 2)
     last: dict[int, int] = {}
-    for i, (b, s) in enumerate(zip(found, scores, strict=True)):
+    for i, b in enumerate(found):
+        s = score(b, weights)
         if s > 0:
             net.edge(n, i, s)
         elif s < 0:
             net.edge(i, n + 1, -s)
         if i:
-            tie = TIE / (1 + distance(found[i - 1].path, b.path))
+            tie = TIE / DECAY ** max(0, distance(found[i - 1].element, b.element, elements) - 2)
             net.edge(i - 1, i, tie, tie)
-        parent = b.path[-2] if len(b.path) > 1 else -1
-        before = last.get(parent)
+        before = last.get(b.parent)
         if before is not None and before < i - 1:
-            net.edge(before, i, TIE / 2, TIE / 2)
-        last[parent] = i
+            net.edge(before, i, SIBLING / 2, SIBLING / 2)
+        last[b.parent] = i
     return net.source_side(n, n + 1)[:n]
 
 
-def main_text(page: str) -> str:
-    found = blocks(page)
-    return "\n\n".join(b.text for b, keep in zip(found, content(found), strict=True) if keep)
+def main_text(page: str, weights: np.ndarray = np.array(START)) -> str:
+    """The text of the content; a single block has no others to be told from and is content unless its place is a menu's or the like."""
+    found, elements = blocks(page)
+    if len(found) == 1 and found[0].place >= 0:
+        return found[0].text
+    return "\n\n".join(b.text for b, keep in zip(found, content(found, elements, weights), strict=True) if keep)
+
+
+def fit(pages: DataFrame, most: int = MOST_PAGES) -> np.ndarray:
+    """The look's weights, from the blocks of at most ``most`` pages whose element tells what they are."""
+    texts = pages.select(F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    order = common.hash_order(F.col("html"))
+    n = texts.count()
+    near = F.pmod(order, F.lit(1_000_003)) < int(min(1.0, 2.0 * (most + 50) / max(n, 1)) * 1_000_003) + 1
+    # (at most so many characters too: long pages are for the cut, not for fitting)
+    sample = texts.where(near & (F.length("html") <= 200_000)).withColumn("order", order).orderBy("order", "html").limit(most)
+
+    def run(batches):
+        for pdf in batches:
+            told = [(b.kind, look(b)) for page in pdf["html"] for b in blocks(page)[0] if b.kind]
+            yield pd.DataFrame({"y": [float(k > 0) for k, _ in told], "x": pd.Series([x for _, x in told], dtype=object)})
+
+    rows = sample.select("html").mapInPandas(run, "y double, x array<double>").toPandas()
+    if not 0 < rows["y"].sum() < len(rows):
+        return np.array(START)
+    y, x = rows["y"].to_numpy(), np.stack(rows["x"].tolist())
+    order = np.lexsort((*x.T, y))
+    share = y.mean()
+    # both kinds weigh the same, and no more than a few hundred blocks: few examples leave the weights near 0
+    weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * min(1.0, 300 / len(y))
+    return logistic(x[order], y[order], weight[order], ridge=0.3)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html)."""
+    common.package_to_executors(pages.sparkSession)
+    weights = fit(pages)
 
     @F.pandas_udf("string")
     def texts(column: pd.Series) -> pd.Series:
-        return column.map(main_text)
+        return column.map(lambda page: main_text(page, weights))
 
     out = pages.select("page_id", "url", texts(F.coalesce(F.col("html").cast("string"), F.lit(""))).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

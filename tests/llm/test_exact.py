@@ -290,6 +290,64 @@ def test_pages():
     assert extract.main_text("") == "" and extract.main_text("<p>x") == "x" and extract.main_text("<script>alert(1)") == ""
 
 
+def test_a_run_of_content_carries_a_short_block():
+    p = "<p>A long paragraph of the text, with enough words in it to look like one.</p>"
+    page = f"<body><div>{p * 3}<p>Or not</p>{p * 3}</div><p>Or not</p></body>"
+    found, elements = extract.blocks(page)
+    w = np.array(extract.START)
+    alone = [extract.score(b, w) > 0 for b in found]
+    assert alone == [True] * 3 + [False] + [True] * 3 + [False]
+    assert extract.content(found, elements, w) == [True] * 7 + [False]
+
+
+def test_names_are_weak_and_plain_pages_whole():
+    text = "Our work builds on that of others, as the list in this text shows. " * 3
+    page = f'<div class="content"><p>{text}</p><div class="related-work"><p>{text}</p></div><p>{text}</p><div class="ad">Buy this now, it is cheap.</div></div>'
+    assert extract.main_text(page).count("Our work") == 9 and "cheap" not in extract.main_text(page)
+    assert extract.main_text("Hello") == "Hello" and extract.main_text("Hello &amp;\n world") == "Hello & world"
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    def seconds(k):
+        start = time.process_time()
+        assert extract.main_text("<div>" * k + "<p>x") is not None and extract.blocks("<div>a b" * k + "</p>" * k)[0]
+        return time.process_time() - start
+
+    assert seconds(100_000) < 12 * max(seconds(20_000), 0.05)
+
+
+def test_texts_equal_those_of_another_parser(spark):
+    from html.parser import HTMLParser
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.parts = False, [""]
+
+        def handle_starttag(self, tag, attributes):
+            self.inside |= tag == "article"
+            self.parts += [""] if tag in ("p", "h1") else []
+            self.parts[-1] += " " if tag == "br" else ""
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "article"
+            self.parts += [""] if tag in ("p", "h1", "article") else []
+
+        def handle_data(self, data):
+            self.parts[-1] += data if self.inside else ""
+
+    pages = common.table(spark, SF, "pages").toPandas()
+    got = queries.op9_main_text(spark, SF).toPandas().set_index("page_id")
+    for r in pages.itertuples():
+        other = Article()
+        other.feed(r.html or "")
+        other.close()
+        want = "\n\n".join(t for t in (" ".join(x.split()) for x in other.parts) if t)
+        assert got.text[r.page_id] == want and got.n_chars[r.page_id] == len(want)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.floats(-5, 5), min_size=1, max_size=8), st.floats(0, 3))
 def test_cut_is_the_cheapest(scores, tie):
