@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A new path below spark.checkpoint.dir, or (in tests) below a folder of our own."""
+    """A new path below spark.checkpoint.dir; a folder of one machine would be lost to the others."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="helixtext-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"

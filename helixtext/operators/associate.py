@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, variants
+from helixtext.functions.shared import shared_path
 
 BLOCK = 512
 #: Taxa never given as a variant's species: a parameter's default.
@@ -55,16 +56,25 @@ def nearest_gene_sentence(ann: DataFrame, genes: DataFrame) -> DataFrame:
 
     ann and genes carry a sentence number. Tiers: same sentence (genes on the
     mention don't count), the one before, the one after, the title (sentence 0),
-    any earlier one. Genes are collapsed to one row for each document, sentence,
-    gene and offset before they meet the mentions.
+    any earlier one, there the gene that ends last. The first four are joins on the
+    sentence; the last is the running best of the sentences up to the last but one.
     """
     g = genes.select("doc_id", F.col("sentence").alias("gs"), "gene", F.col("start_off").alias("g_start"), F.col("end_off").alias("g_end")).distinct()
-    j = ann.select("ann_id", "doc_id", "sentence", "start_off", "end_off").join(g, "doc_id")
+    a = ann.select("ann_id", "doc_id", "sentence", "start_off", "end_off")
     overlap = (F.col("g_start") < F.col("end_off")) & (F.col("start_off") < F.col("g_end"))
     s, t = F.col("sentence"), F.col("gs")
-    tier = F.when((s == t) & ~overlap, 0).when(t == s - 1, 1).when(t == s + 1, 2).when(t == 0, 3).when(t < s, 4)
+    tier = F.when((s == t) & ~overlap, 0).when(t == s - 1, 1).when(t == s + 1, 2).when(t == 0, 3)
     gap = F.greatest(F.col("g_start") - F.col("end_off"), F.col("start_off") - F.col("g_end"), F.lit(0))
-    j = j.withColumn("tier", tier).where("tier is not null").withColumn("distance", gap + 1000 * F.col("tier"))
+    near = a.withColumn("gs", F.explode(F.array_distinct(F.array(s, s - 1, s + 1, F.lit(0).cast(ann.schema["sentence"].dataType))))).join(g, ["doc_id", "gs"]).withColumn("tier", tier)
+    # (ends are counted down, so that the least is the last end, then the first gene)
+    last = g.groupBy("doc_id", "gs").agg(F.min(F.struct((-F.col("g_end")).alias("back"), "gene", "g_start", "g_end")).alias("best"))
+    keys = a.select("doc_id", "sentence").distinct().select("doc_id", F.col("sentence").alias("gs"))
+    before = Window.partitionBy("doc_id").orderBy("gs").rangeBetween(Window.unboundedPreceding, -2)
+    running = last.unionByName(keys.withColumn("best", F.lit(None).cast(last.schema["best"].dataType))).withColumn("best", F.min("best").over(before))
+    running = running.where("best is not null").groupBy("doc_id", "gs").agg(F.min("best").alias("best")).select("doc_id", F.col("gs").alias("sentence"), "best.gene", "best.g_start", "best.g_end")
+    early = a.join(running, ["doc_id", "sentence"]).withColumn("tier", F.lit(4))
+    some = ["ann_id", "gene", "tier", "g_start", "g_end", "start_off", "end_off"]
+    j = near.where("tier is not null").select(*some).unionByName(early.select(*some)).withColumn("distance", gap + 1000 * F.col("tier"))
     return j.groupBy("ann_id").agg(F.min(F.struct("tier", "distance", "gene")).alias("b")).select("ann_id", "b.gene", "b.distance", "b.tier")
 
 
@@ -74,15 +84,20 @@ def nearest_in_passage(ann: DataFrame, other: DataFrame, value: str, passages: D
     One before the variant is always allowed; one after it only outside tables
     and without a sentence end between. passages: doc_id, passage_no, ptype, text, offset.
     """
-    o = other.select("doc_id", "passage_no", F.col("start_off").alias("o_start"), F.col("end_off").alias("o_end"), value)
-    j = ann.select("ann_id", "doc_id", "passage_no", "start_off", "end_off").join(o, ["doc_id", "passage_no"]).join(passages.select("doc_id", "passage_no", "ptype", "text", "offset"), ["doc_id", "passage_no"])
+    # what the text says is looked up once for each variant; pairs compare numbers only
+    v = ann.select("ann_id", "doc_id", "passage_no", "start_off", "end_off").join(passages.select("doc_id", "passage_no", "ptype", "text", "offset"), ["doc_id", "passage_no"])
+    before = F.substring("text", F.lit(1), F.col("start_off") - F.col("offset"))
+    bracket = F.when(before.rlike(r"\([^()]*$"), F.col("start_off") - F.length(F.regexp_extract(before, r"(\([^()]*)$", 1))).otherwise(F.col("start_off"))
+    # one that starts up to here has no sentence end before it
+    rest = F.expr("substring(text, end_off - offset + 1)")
+    stop = F.regexp_instr(rest, F.lit(r"[.!?]\s"))
+    reach = F.when(F.lower("ptype") == "table", -1).when(stop > 0, F.col("end_off") + stop).otherwise(F.lit(2**31 - 1))
+    v = v.select("ann_id", "doc_id", "passage_no", "end_off", bracket.alias("bracket"), reach.cast("int").alias("reach"))
+    o = other.select("doc_id", "passage_no", F.col("start_off").alias("o_start"), F.col("end_off").alias("o_end"), value).distinct()
+    j = v.join(o, ["doc_id", "passage_no"])
     after = F.col("o_start") >= F.col("end_off")
-    between = F.substring("text", F.col("end_off") - F.col("offset") + 1, F.col("o_start") - F.col("end_off"))
-    before_text = F.substring("text", F.lit(1), F.col("start_off") - F.col("offset"))
-    bracket = F.when(before_text.rlike(r"\([^()]*$"), F.col("start_off") - F.length(F.regexp_extract(before_text, r"(\([^()]*)$", 1))).otherwise(F.col("start_off"))
-    allowed = ~after | ((F.lower("ptype") != "table") & ~between.rlike(r"[.!?]\s"))
-    gap = F.when(after, F.col("o_start") - F.col("end_off")).otherwise(F.greatest(bracket - F.col("o_end"), F.lit(0)))
-    near = j.where(allowed).withColumn("distance", gap).where(F.col("distance") <= limit)
+    gap = F.when(after, F.col("o_start") - F.col("end_off")).otherwise(F.greatest(F.col("bracket") - F.col("o_end"), F.lit(0)))
+    near = j.where(~after | (F.col("o_start") <= F.col("reach"))).withColumn("distance", gap).where(F.col("distance") <= limit)
     return near.groupBy("ann_id").agg(F.min(F.struct("distance", value)).alias("b")).select("ann_id", f"b.{value}", "b.distance")
 
 
@@ -145,9 +160,7 @@ def variant_groups(ann: DataFrame, edges: DataFrame) -> DataFrame:
     """
     spark = ann.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="helixtext-"))
+        spark.sparkContext.setCheckpointDir(shared_path(spark))
     nodes = ann.groupBy("doc_id", "ident").agg(F.min("start_off").alias("first"))
     now = edges.where("a <> b").select("doc_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     while True:

@@ -93,14 +93,17 @@ def match_by_gene(ann: DataFrame, genes: DataFrame, hits: DataFrame, gene2rs: Da
     """The nearest gene of the document whose rs numbers meet the candidates.
 
     ann and genes (doc_id, start_off, end_off, gene, sentence) carry a sentence.
-    Candidates are joined on (gene, rs) pairs, so a gene with very many rs is
-    never spread over all mentions. Of the nearest gene the first kind of form wins.
+    Candidates meet the (gene, rs) pairs first; only the genes they lead to are looked
+    for in the document, so neither a gene with very many rs nor a document with very
+    many genes is spread over all mentions. Of the nearest gene the first kind of
+    form wins.
     """
-    g = genes.select("doc_id", F.col("start_off").alias("gs"), F.col("end_off").alias("ge"), "gene", F.col("sentence").alias("g_sentence"))
-    near = ann.select("ann_id", "doc_id", "start_off", "end_off", "sentence").join(g, "doc_id")
+    possible = hits.select("ann_id", "doc_id", "rs", "form_rank").join(gene2rs.select("gene", "rs").distinct(), "rs")
+    g = genes.select("doc_id", F.col("start_off").alias("gs"), F.col("end_off").alias("ge"), "gene", F.col("sentence").alias("g_sentence")).distinct()
+    asked = possible.select("ann_id", "doc_id", "gene").distinct().join(ann.select("ann_id", "start_off", "end_off", "sentence"), "ann_id")
+    near = asked.join(g, ["doc_id", "gene"])
     near = near.withColumn("distance", gene_distance(F.col("gs"), F.col("ge"), F.col("start_off"), F.col("end_off"), F.col("g_sentence"), F.col("sentence"))).groupBy("ann_id", "gene").agg(F.min("distance").alias("distance"))
-    possible = hits.select("ann_id", "rs", "form_rank").join(gene2rs.select("gene", "rs").distinct(), "rs")
-    both = near.join(possible, ["ann_id", "gene"])
+    both = near.join(possible.select("ann_id", "gene", "rs", "form_rank"), ["ann_id", "gene"])
     w = Window.partitionBy("ann_id").orderBy("distance", "gene")
     best = both.withColumn("g", F.dense_rank().over(w)).where("g = 1")
     w = Window.partitionBy("ann_id").orderBy("form_rank")
@@ -238,7 +241,10 @@ def check_sequence(ann: DataFrame, refseq: DataFrame) -> DataFrame:
     pos = v["pos"].try_cast("int")
     level = F.when(v["seq"] == "p", "p").otherwise("c")
     a = ann.select("ann_id", "gene", level.alias("level"), v["wild"].alias("w"), v["mut"].alias("m"), pos.alias("pos")).where("pos > 0")
-    at = lambda k: F.substring("seq", F.col("pos") + k, F.lit(1))
-    result = F.when((at(0) == F.col("w")) & (F.col("w") != ""), "Matched-W").when((at(0) == F.col("m")) & (F.col("m") != ""), "Matched-M").when((at(1) == F.col("w")) & (F.col("w") != ""), "PlusMatched-W").when((at(1) == F.col("m")) & (F.col("m") != ""), "PlusMatched-M")
-    j = a.join(refseq, ["gene", "level"]).withColumn("result", result).where("result is not null")
+    # letters are cut from a sequence once for each place asked for; annotations meet letters, never sequences
+    places = a.select("gene", "level", "pos").distinct()
+    letters = places.join(refseq, ["gene", "level"]).select("gene", "level", "pos", "seqid", F.substring("seq", F.col("pos"), F.lit(1)).alias("here"), F.substring("seq", F.col("pos") + 1, F.lit(1)).alias("behind")).where("here <> ''")
+    w, m = F.col("w"), F.col("m")
+    result = F.when((F.col("here") == w) & (w != ""), "Matched-W").when((F.col("here") == m) & (m != ""), "Matched-M").when((F.col("behind") == w) & (w != ""), "PlusMatched-W").when((F.col("behind") == m) & (m != ""), "PlusMatched-M")
+    j = a.join(letters, ["gene", "level", "pos"]).withColumn("result", result).where("result is not null")
     return j.groupBy("ann_id").agg(F.max_by(F.struct("seqid", "result"), "seqid").alias("x")).select("ann_id", "x.seqid", "x.result")

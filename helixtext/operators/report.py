@@ -117,9 +117,9 @@ def top_n(rows: DataFrame, n: int | None, by: str, etype: str | None = None) ->
     number = F.replace(F.col(by).cast("string"), F.lit(","), F.lit("")).try_cast("double")
     rest = [F.col(c) for c in kept.columns if c != by and not c.startswith("docs")]
     ordered = kept.orderBy(number.desc_nulls_last(), F.col(by).desc(), *rest)
-    total = kept.count()
+    total = kept.agg(F.count("*")).scalar()
     first = ordered.limit(n) if n else kept
-    return first.withColumn("total", F.lit(total).cast("bigint")).withColumn("shown", F.lit(min(n, total) if n else total).cast("bigint"))
+    return first.withColumn("total", total).withColumn("shown", F.least(F.col("total"), F.lit(n).cast("bigint")) if n else F.col("total"))
 
 
 def entity_labels(ann: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 """Every query with SQL gives the rows of another engine on the same tables."""
 
 import glob
+import numbers
 import os
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from helixtext.plans import registry
@@ -23,9 +26,9 @@ def rows(frame):
     def plain(v):
         if hasattr(v, "__len__") and not isinstance(v, str):
             return str(list(v))
-        if v is None or v != v:
+        if pd.isna(v):
             return ""
-        return str(float(v)) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+        return str(float(v)) if isinstance(v, numbers.Number) and not isinstance(v, (bool, np.bool_)) else str(v)
 
     return columns, sorted(tuple(plain(v) for v in r) for r in frame[columns].itertuples(index=False))
 
