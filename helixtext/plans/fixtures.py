@@ -65,6 +65,16 @@ select (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_sup
  case when l_linenumber % 5 = 3 and l_linenumber % 2 = 1 then cast(l_suppkey % 30 as string) else '' end s,
  case when l_linenumber % 7 = 6 and l_suppkey % 2 = 0 then cast(l_suppkey % 6 as string) else '' end d, '' r
 from {{lineitem}}
+""",
+    # one row in 18 for each way in which components make no variant
+    "fx_drop": """
+select id, k, etype, case k when 0 then 'B' when 1 then 'K' when 5 then 'Ab' when 6 then 'T' when 7 then 'infinity' when 13 then 'Top' else w end w,
+ case when k = 1 then '7123' when k in (2, 3) then '' when k = 4 then '-12' else p end p,
+ case when k = 2 then 'EVIL' when k = 3 then '' when k = 6 then 'infinity' when k = 7 then 'T' when k = 14 then 'Xyz' when k in (8, 9, 10, 11, 12, 13, 15, 16) then 'R' else m end m,
+ case when k in (2, 3) then 'delta' when k > 4 then 'SUB' else t end t, f, d,
+ case k when 8 then 'Arg)3(Ser' when 9 then 'G>T>C' when 10 then 'Glu207,Thr209' when 11 then 'Glu207,Thr209,Gly211' when 12 then '450 G/L' when 15 then repeat('A', 201) else concat(w, p, m) end mention,
+ case when k = 16 then 'C' else ' ' end behind
+from (select *, id % 18 k, case when a = 'p' then 'ProteinMutation' else 'DNAMutation' end etype from fx_components) x
 """,
     "fx_rs_rows": "select l_orderkey id, cast(l_orderkey % 1000 as string) doc_id, l_linenumber line, cast(l_linenumber as bigint) * 1000000000 + l_partkey * 10000 + l_suppkey n, 100000 + l_partkey rs from {lineitem}",
     "fx_freq": "select 100000 + p_partkey rs, cast(p_partkey % 17 as int) freq from {part}",
@@ -91,7 +101,7 @@ select case when o_orderpriority < '3' then 'a' else 'b' end kind, concat('file'
 """,
 }
 #: Fixtures that a fixture reads.
-USES = {"fx_history": ["fx_var2rs"]}
+USES = {"fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"]}
 
 
 def needs(sql: str) -> list[str]:

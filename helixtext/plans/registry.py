@@ -153,9 +153,13 @@ def filter_unlikely_pairs(spark, sf_dir):
     return spans.filter_unlikely_pairs(a, pairs).select("ann_id", "drop_reason")
 
 
-@query("select doc_id, case when regexp_matches(substr(m1, 1, 1), '[ACG]') then 'figure or table' end drop_reason from fx_docs")
+CUES = (" see Figure ", " in Figs. ", " of table 2A and ", " in Tabs 1, ", " see figures ", " in the text, of ", " configured as ", " Tableau of a 3 ")
+
+
+@query(f"select doc_id, case when cast(doc_id as bigint) % {len(CUES)} < 5 then 'figure or table' end drop_reason from fx_docs")
 def filter_context(spark, sf_dir):
-    d = Inputs(spark, sf_dir).fx_docs.withColumn("text", F.concat("text", F.when(F.col("m1").rlike("^[ACG]"), " see Figure ").otherwise(" in the text, of "), "m1"))
+    cue = F.array(*map(F.lit, CUES))[(F.col("doc_id").cast("long") % len(CUES)).cast("int")]
+    d = Inputs(spark, sf_dir).fx_docs.withColumn("text", F.concat("text", cue, "m1"))
     s = d.select("doc_id", (F.length("text") - F.length("m1")).alias("start_off"), F.length("text").alias("end_off"), F.col("m1").alias("mention"))
     return spans.filter_context(s, d).select("doc_id", "drop_reason")
 
@@ -447,6 +451,33 @@ def normalize_cascade(spark, sf_dir):
     return out.select("ann_id", "source", F.array_join(F.col("rs").cast("array<string>"), ",").alias("rs"))
 
 
+_DROP = [
+    ("(regexp_full_match(m, '[ISQMNPKDFHLRWVEYX]') or regexp_full_match(w, '[ISQMNPKDFHLRWVEYX]')) and regexp_full_match(p, '[6-9][0-9]{3,}')", "position too large"),
+    ("m = '' and t = '' and f = '' and p = ''", "no position"),
+    ("w = '' and t = '' and f = '' and d = '' and m <> ''", "no wild part"),
+    ("m = '' and t = '' and f = '' and d = '' and w <> ''", "no mutant part"),
+    ("t = 'delta' and p = '' and (m = '' or not regexp_full_match(m, '[ATCG0-9]*'))", "delta without place"),
+    ("p[1] = '-' and etype = 'ProteinMutation'", "negative protein position"),
+    ("w in ('B','J','O','U','Z') or m in ('B','J','O','U','Z')", "no residue"),
+    ("w = 'Ab' or m = 'Ab'", "two letters"),
+    ("(length(w) = 1 and m = 'infinity') or (length(m) = 1 and w = 'infinity')", "a word"),
+    ("length(w) = 1 and m = 'Xyz' or length(m) = 1 and w = 'Top'", "a word"),
+    ("behind = 'C'", "runs on"),
+    ("contains(mention, ')3(')", "brackets turned round"),
+    ("mention = 'G>T>C'", "two arrows"),
+    ("mention[1:6] = 'Glu207'", "list of places"),
+    ("contains(mention, 'G/L')", "grams per litre"),
+    ("w = 'Top' or m = 'Xyz'", "no triplet"),
+    ("length(mention) > 200", "too long"),
+]
+
+
+@query("select id, case " + " ".join(f"when {c} then '{r}'" for c, r in _DROP) + " end drop_reason from fx_drop")
+def filter_components(spark, sf_dir):
+    c = [F.col(x) for x in ("w", "p", "m", "t", "f", "d", "etype", "mention", "behind")]
+    return Inputs(spark, sf_dir).fx_drop.select("id", spans.component_drop_reason(*c).alias("drop_reason"))
+
+
 def _rs_lists(x: Inputs) -> DataFrame:
     return x.fx_rs_rows.groupBy("id", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "rs"))), lambda r: r["rs"]).alias("rs"))
 
@@ -594,15 +625,25 @@ def document_key(spark, sf_dir):
     return d.select("stem", text.document_key(F.col("stem")).alias("doc_key"))
 
 
-@query()
+def _matches(pattern: str) -> str:
+    """SQL: doc_id, i, tok, gap (what is before it since the last), last (its end) of all matches in fx_docs."""
+    return rf"""
+p as (select doc_id, regexp_extract_all(text, '{pattern}') m, regexp_split_to_array(text, '{pattern}') g from fx_docs),
+q as (select doc_id, unnest(m) tok, unnest(g[1:len(m)]) gap, generate_subscripts(m, 1) i from p),
+r as (select *, cast(sum(length(gap) + length(tok)) over (partition by doc_id order by i) as bigint) last_ from q)"""
+
+
+@query("with " + _matches(r"[.!?]\s+[A-Z0-9(]") + " select doc_id, cast(i as int) sentence_no, cast(last_ - 1 as int) start_off from r union all select doc_id, 0, 0 from fx_docs")
 def sentence_offsets(spark, sf_dir):
     return documents.sentence_offsets(Inputs(spark, sf_dir).fx_docs)
 
 
-@query()
+@query("with " + _matches(r"[0-9]+|[A-Z]?[a-z]+|[A-Z]|[^0-9A-Za-z\s]") + """
+select doc_id, count(*) tokens, cast(sum(length(tok)) as bigint) chars, max(last_) last_end, cast(sum((last_ - length(tok)) * (i % 7)) as bigint) starts, cast(sum(ascii(tok) * (i % 5)) as bigint) firsts from r group by doc_id""")
 def tokenize(spark, sf_dir):
     t = documents.tokenize(Inputs(spark, sf_dir).fx_docs)
-    return t.groupBy("doc_id").agg(F.count("*").alias("tokens"), F.sum(F.length("token")).alias("chars"), F.max("end_off").alias("last"))
+    i = (F.col("tok_no") + 1).cast("long")
+    return t.groupBy("doc_id").agg(F.count("*").alias("tokens"), F.sum(F.length("token")).alias("chars"), F.max("end_off").cast("long").alias("last_end"), F.sum(F.col("start_off") * (i % 7)).alias("starts"), F.sum(F.ascii("token") * (i % 5)).alias("firsts"))
 
 
 @query()
