@@ -111,6 +111,74 @@ def test_kneser_ney_sums_to_one():
     assert np.allclose(np.exp(logs).reshape(2, -1, base).sum(2), 1)
 
 
+def plain_kneser_ney(rows):
+    """The same models over dictionaries: the log-probability of each character of a word in each class, one by one."""
+    from collections import defaultdict
+
+    n = [defaultdict(int), defaultdict(int)]
+    beginnings, grams, order = set(), [defaultdict(set), defaultdict(set)], toxicity.ORDER
+    late = [defaultdict(int), defaultdict(int)]
+    for word, toxic, count in rows:
+        whole = word + "\0"
+        for k in range(len(whole)):
+            gram = ("\0" * (order - 1) + whole)[k : k + order]
+            if k < toxicity.LONGEST:
+                n[toxic][whole[: k + 1]] += count
+                beginnings.add(whole[: k + 1])
+                grams[toxic][gram].add(whole[: k + 1])
+            else:
+                late[toxic][gram] += 1
+    counts = [{g: len(grams[c][g]) + late[c][g] for g in {*grams[c], *late[c]}} for c in (0, 1)]
+    seen = {*counts[0], *counts[1]}
+    kept = {b for b in beginnings if n[0][b] + n[1][b] >= 2}
+    chars = sorted({c for w, _, _ in rows for c in w})
+    base, d = len(chars) + 2, toxicity.DISCOUNT
+
+    def discounted(table, context, char, lower):
+        total = sum(v for g, v in table.items() if g[:-1] == context)
+        follow = sum(g[:-1] == context and v > 0 for g, v in table.items())
+        return lower if not total else max(table.get(context + char, 0) - d, 0) / total + d * follow / total * lower
+
+    def gram_probability(c, gram):
+        p = 1 / base
+        for k in range(1, order):
+            before = {}
+            for g in seen:
+                before.setdefault(g[-k:], set()).add(g[-k - 1 :])
+            p = discounted({g: len(v) for g, v in before.items()}, gram[-k:-1] if k > 1 else "", gram[-1], p)
+        return discounted(counts[c], gram[:-1], gram[-1], p)
+
+    def probability(c, begun, char):
+        gram = ("\0" * (order - 1) + begun + char)[-order:]
+        p = gram_probability(c, gram)
+        total = n[c][begun] if begun else sum(count for _, t, count in rows if t == c)
+        if len(begun) >= toxicity.LONGEST or begun and begun not in kept or not total:
+            return p
+        children = [b for b in beginnings if b[:-1] == begun]
+        fall = sum(d * (n[c][b] > 0) if b in kept else n[c][b] for b in children)
+        own = max(n[c][begun + char] - d, 0) if begun + char in kept else 0
+        return own / total + fall / total * p
+
+    return "".join(chars), probability
+
+
+def test_word_scores_equal_plain_dictionaries(spark):
+    rows = [("plain", 0, 9), ("plane", 0, 1), ("foul", 1, 4), ("four", 0, 2), ("a" * 15, 0, 3), ("ab", 1, 1), ("foul", 0, 1)]
+    chars, probability = plain_kneser_ney(rows)
+    totals = [sum(n for _, t, n in rows if t == c) for c in (0, 1)]
+    model = toxicity.count(spark.createDataFrame(rows, "word string, toxic int, n long").repartition(3), chars, totals, common.Scratch(spark))
+    words = ["plain", "foul", "fo", "abba", "a" * 14, "lane", "x"]
+    got = toxicity.word_ratios(words, model)
+    for word, (ratio, length) in zip(words, got, strict=True):
+        whole = word.replace("x", "\1") + "\0"
+        want = sum(np.log(probability(1, whole[:k], whole[k])) - np.log(probability(0, whole[:k], whole[k])) for k in range(len(whole)))
+        assert length == len(word) + 1 and abs(ratio - want) < 1e-4, word
+    # all characters after a beginning together have probability one, the rare ones included
+    for begun in ("", "pla", "plan", "fo"):
+        for c in (0, 1):
+            assert abs(sum(probability(c, begun, x) for x in [*chars, "\0", "\1"]) - 1) < 1e-9
+
+
 def test_bounded_sample_is_bounded_and_fixed(spark):
     df = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("by"))
     one = common.bounded_sample(df, "doc_id", "by", 100)
