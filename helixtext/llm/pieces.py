@@ -148,8 +148,11 @@ def text_words(text: str) -> list[str]:
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """piece, id, rank (0: merged first), cost (negative logarithm of its likelihood, without the common factor)."""
+    import pandas as pd  # only the driver needs it
+
     ranked = sorted(model.pieces, key=lambda p: -p[2])
-    return spark.createDataFrame([(p, i, k, -s) for k, (p, i, s) in enumerate(ranked)], "piece string, id int, rank int, cost double")
+    rows = pd.DataFrame([(p, i, k, -s) for k, (p, i, s) in enumerate(ranked)], columns=["piece", "id", "rank", "cost"])
+    return spark.createDataFrame(rows, "piece string, id int, rank int, cost double")
 
 
 # The folds
