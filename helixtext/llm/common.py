@@ -99,7 +99,7 @@ class WordIds(dict):
 class WordScores:
     """Scores of distinct words, at most about ``most`` kept; ``score`` maps a list of words to a 2-d array."""
 
-    def __init__(self, score, width: int, most: int = 250_000):
+    def __init__(self, score, width: int, most: int = 150_000):
         self.score, self.width, self.most = score, width, most
         self.ids, self.values, self.listed = WordIds(), np.empty((0, width), np.float32), 0
 
@@ -110,7 +110,9 @@ class WordScores:
         at = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         if len(self.ids) > self.listed:
             new = newest(self.ids, len(self.ids) - self.listed)
-            got = self.score(new).astype(np.float32).reshape(len(new), self.width)
+            # some words at a time: what a score needs beside its result stays small
+            parts = [self.score(new[k : k + 20_000]) for k in range(0, len(new), 20_000)]
+            got = np.concatenate([p.astype(np.float32).reshape(-1, self.width) for p in parts])
             if len(self.ids) > len(self.values):
                 room = np.empty((max(len(self.ids), 2 * len(self.values), 1024), self.width), np.float32)
                 room[: self.listed] = self.values[: self.listed]
@@ -136,7 +138,7 @@ def newest(d: dict, n: int) -> list:
     return list(itertools.islice(reversed(d), n))[::-1]
 
 
-def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str], chars: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many characters; one long text is a range of its own."""
     start = size = 0
     for i, t in enumerate(texts):

@@ -20,7 +20,7 @@ def test_drop_toxic_keeps_what_scores_below_the_limit(spark):
 
 def test_drop_unknown_language_keeps_what_is_sure(spark):
     docs = common.table(spark, SF, "documents")
-    docs = docs.limit(200).localCheckpoint()
+    docs = common.Scratch(spark).table(docs.limit(200))
     scores = langid.predict(docs.select("doc_id", "text"), langid.train(spark, docs.where(~common.held_out(F.col("doc_id"))))).collect()
     sure = sorted(r.doc_id for r in scores if r.lang_pred != langid.UNKNOWN and r.score >= corpus_pipeline.SURE)
     got = corpus_pipeline.drop_unknown_language(spark, docs, SF)
