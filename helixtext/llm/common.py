@@ -99,7 +99,7 @@ class WordIds(dict):
 class WordScores:
     """Scores of distinct words, at most about ``most`` kept; ``score`` maps a list of words to a 2-d array."""
 
-    def __init__(self, score, width: int, most: int = 150_000):
+    def __init__(self, score, width: int, most: int = 100_000):
         self.score, self.width, self.most = score, width, most
         self.ids, self.values, self.listed = WordIds(), np.empty((0, width), np.float32), 0
 
@@ -138,6 +138,13 @@ def newest(d: dict, n: int) -> list:
     return list(itertools.islice(reversed(d), n))[::-1]
 
 
+def small(batches: Iterator, rows: int = 512) -> Iterator:
+    """The batches in portions of some rows, so that a task never holds all texts of a batch as strings."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def slices(texts: list[str], chars: int = 500_000) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many characters; one long text is a range of its own."""
     start = size = 0

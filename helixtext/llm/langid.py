@@ -229,7 +229,7 @@ def predict(docs: DataFrame, network: Network, keep_text: bool = False) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scores(key, broadcast)
-        for batch in batches:
+        for batch in common.small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in common.slices(texts):
                 cut = [t.split() if has_letter(t) else [] for t in texts[a:b]]
