@@ -10,7 +10,19 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtext.functions.ship import package_to_executors
+from helixtext.functions import ship
+
+#: Bytes of a batch of rows between Spark and Python, at most, where the session has no lower limit: both sides hold some batches for each running task.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def package_to_executors(spark: SparkSession) -> None:
+    """This package for the executors, and batches of bounded size for the session's Arrow functions."""
+    ship.package_to_executors(spark)
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_LIMIT))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, f"{BATCH_BYTES}b")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
