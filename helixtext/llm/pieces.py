@@ -290,14 +290,14 @@ def best_lengths(n: Column, blocks: Column, longest: int) -> Column:
 
 
 def found_edges(parts: DataFrame, model: Model) -> DataFrame:
-    """key, part, edge of each piece in the parts (key, part).
+    """key, part, edge of each piece in the parts (key, part, size).
 
     For the best path these are all pieces, and characters without one, by their
     places. For merges they are the pieces of two characters or more, best first;
     each part's first character stands for parts that have none.
     """
-    starts = parts.select("key", "part", F.explode(F.sequence(F.lit(0), F.length("part") - 1)).alias("first"))
-    left = F.least(F.length("part") - F.col("first"), F.lit(model.longest))
+    starts = parts.select("key", "part", "size", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("first"))
+    left = F.least(F.col("size") - F.col("first"), F.lit(model.longest))
     least = F.lit(1) if model.unigram else F.when(F.col("first") == 0, 1).otherwise(2)
     spans = starts.select("key", "part", "first", F.explode(F.when(left >= least, F.sequence(least, left))).alias("n"))
     spans = spans.withColumn("piece", F.substring("part", F.col("first") + 1, F.col("n")))
@@ -309,14 +309,14 @@ def found_edges(parts: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
-    """part, ids of distinct parts: as bytes of numbers, and one byte more where they don't decode to the part."""
+    """part, ids of distinct parts (part, size: its characters): as bytes of numbers, and one byte more where they don't decode to the part."""
     n = F.length("part")
     # a short key before the part: what groups and sorts compare first
-    keyed = parts.select(F.xxhash64("part").alias("key"), "part")
-    short = found_edges(keyed.where(n <= WINDOW), model).groupBy("key", "part").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    keyed = parts.select(F.xxhash64("part").alias("key"), "part", "size")
+    short = found_edges(keyed.where(F.col("size") <= WINDOW), model).groupBy("key", "part").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
     one = F.array(F.struct(F.lit(0).alias("block"), F.col("edges").alias("edges")))
     # longer ones by block first, so that no fold looks through all edges
-    edges = found_edges(keyed.where(n > WINDOW), model)
+    edges = found_edges(keyed.where(F.col("size") > WINDOW), model)
     by = edges.groupBy("key", "part", F.floor(F.col("edge.first") / WINDOW).cast("int").alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
     long = by.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("block", "edges"))).alias("blocks"))
     mask = F.lit(None).cast("long") if model.unigram else let(merges(F.col("edges")), lambda found: merged(found, n))
@@ -446,9 +446,12 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
         docs = common.Scratch(docs.sparkSession).table(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     # one exchange by part serves the distinct parts, their lattice, and the way back to the chunks
-    parts = parts_of(docs, model).repartition("part")
-    # (the least chunk is only asked for so that both read the same columns, and one exchange)
-    known = encode_parts(parts.groupBy("part").agg(F.min("chunk").alias("chunk")).where("chunk is not null").select("part"), model)
+    # (the join asks for parts that are not null: asked for here, both sides read the same rows)
+    parts = parts_of(docs, model).where("part is not null").repartition("part")
+    # (the least chunk is only asked for so that both read the same columns, and one exchange;
+    # the size comes from the aggregate, as a filter by length would move below the exchange and keep it apart)
+    distinct = parts.groupBy("part").agg(F.min("chunk").alias("chunk"), F.max(F.length("part")).alias("size"))
+    known = encode_parts(distinct.where("chunk is not null").select("part", "size"), model)
     entries = parts.join(known.hint("merge"), "part").select("chunk", F.lit(0).alias("kind"), "part", "ids")
     texts = packed_texts(docs).withColumn("kind", F.lit(1))
     # the parts of a chunk come before its texts
