@@ -29,6 +29,7 @@ that repeat a document id are encoded one by one; other columns are not read.
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
 import math
 import re
@@ -66,10 +67,19 @@ class Model:
     def ids(self) -> dict[str, int]:
         return {p: i for p, i, _ in self.pieces}
 
+    @functools.cached_property
+    def greatest(self) -> int:
+        return max([i for _, i, _ in self.pieces] + [self.bytes_first + 255, self.unknown])
+
     @functools.cached_property
     def kind(self) -> str:
         """The numbers that ids are kept as between stages."""
-        return "<u2" if max([i for _, i, _ in self.pieces] + [self.bytes_first + 255, self.unknown]) < 1 << 16 else "<u4"
+        return "<u2" if self.greatest < 1 << 16 else "<u4"
+
+    @functools.cached_property
+    def written(self) -> list[str]:
+        """Each id in decimal digits."""
+        return list(map(str, range(self.greatest + 1)))
 
     @functools.cached_property
     def names(self) -> dict[int, bytes]:
@@ -434,9 +444,11 @@ class Dictionary:
             at += n
 
 
-def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool = False) -> DataFrame:
     """doc_id, ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself.
 
+    digests: ids_sha256 as well, of the ids as numbers joined by commas.
+
     stable: the rows of a partition are the same whenever docs is read, as those of
     files are. Others are written to the shared folder first.
     """
@@ -466,6 +478,7 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
         import zstandard
 
         now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
+        written = shared.value.written if digests else []
         for batch in batches:
             chunks, kinds = (batch.column(c).to_numpy() for c in ("chunk", "kind"))
             ends = [0, *(np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(chunks)]
@@ -482,9 +495,13 @@ def encode(docs: DataFrame, model: Model, stable: bool = False) -> DataFrame:
                     words.learn(set().union(*cut))
                     ids = listed([b"".join(map(words.words.__getitem__, c)) for c in cut], shared.value.kind)
                     whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
-                    yield pa.RecordBatch.from_arrays([part.column("doc_ids").slice(k, 1).flatten(), ids, whole], ["doc_id", "ids", "whole"])
+                    columns = [part.column("doc_ids").slice(k, 1).flatten(), ids, whole]
+                    if digests:
+                        ends, numbers = ids.offsets.to_pylist(), ids.values.to_numpy()
+                        columns.append(pa.array([hashlib.sha256(",".join(map(written.__getitem__, numbers[a:b].tolist())).encode()).hexdigest() for a, b in itertools.pairwise(ends)], pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "whole", "ids_sha256"][: len(columns)])
 
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, whole boolean")
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, whole boolean{', ids_sha256 string' if digests else ''}")
 
 
 def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:
