@@ -1,8 +1,8 @@
 """Phrase collocation mining: HAT-trie counts, cut scores, and the best phrases of each language.
 
 A task counts word sequences in a trie over its own word numbers: a container
-hashes what follows a prefix and, grown too large, bursts into one container
-for each next word. When a task's tries hold too much, the largest subtrees are
+is a hash table of all sequences below a node and, grown too large, bursts into
+containers that branch on the next bits of a word's number. When a task's tries hold too much, the largest subtrees are
 spilled as sorted runs; Spark's shuffle brings the runs of a prefix together
 (the tail is part of the key, so a frequent prefix is spread) and adds them up.
 
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +41,11 @@ UNKNOWN = "und"
 #: Bits of a word number; a task starts anew before it runs out of numbers.
 BITS = 21
 MOST_WORDS = 500_000
+#: Bits of a word's number that one level of the trie branches on.
+DIGIT = 5
 #: Sequences in a container before it bursts, and in all tries of a task before subtrees are spilled.
-BURST = 8192
-MOST_SEQUENCES = 1_000_000
+BURST = 1 << 17
+MOST_SEQUENCES = 2_500_000
 #: Bytes of text that are split at once.
 WINDOW = 1 << 20
 #: Parts that one prefix is dealt to.
@@ -54,73 +57,109 @@ RUNS = "lang string, head string, tail string, f long"
 _TABLE = bytes(ord("\n") if c in BREAKS else ord(" ") if c in BLANKS else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-class HatTrie:
-    """Counts of sequences of ``left`` word numbers, packed into whole numbers."""
+class Container:
+    """A hash table of sequences and counts with open addressing, at most half full; a batch is put in by array operations."""
 
-    def __init__(self, left: int):
-        self.left = left
-        self.table: dict[int, int] = {}
-        self.children: dict[int, HatTrie] | None = None
+    def __init__(self, slots: int = 1024):
         self.size = 0
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> int:
-        """Add to the counts of rising, distinct keys; returns how many are new."""
-        if self.children is None:
-            table = self.table
-            before = len(table)
-            get = table.get
-            for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
-                table[k] = get(k, 0) + c
-            new = len(table) - before
-            if len(table) > BURST and self.left > 1:
-                self._burst()
-        else:
-            new = self._deal(keys, counts)
+        self.keys, self.counts = np.full(slots, -1, np.int64), np.zeros(slots, np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """keys: distinct."""
+        slots = len(self.keys)
+        while slots < 2 * (self.size + len(keys)):
+            slots *= 2
+        if slots > len(self.keys):
+            old = self.items()
+            self.keys, self.counts = np.full(slots, -1, np.int64), np.zeros(slots, np.int64)
+            self.size = 0
+            self._put(*old)
+        self._put(keys, counts)
+
+    def _put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        mask = len(self.keys) - 1
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        at = (spread >> np.uint64(64 - mask.bit_length())).astype(np.int64) if mask else np.zeros(len(keys), np.int64)
+        new = 0
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == -1)
+            # of those that find the same free slot one stays, the others see it there
+            self.keys[at[free]] = keys[free]
+            mine = self.keys[at] == keys
+            new += int(mine[free].sum())
+            self.counts[at[mine]] += counts[mine]
+            rest = ~mine
+            keys, counts, at = keys[rest], counts[rest], (at[rest] + 1) & mask
         self.size += new
-        return new
 
-    def _deal(self, keys: np.ndarray, counts: np.ndarray) -> int:
-        shift = BITS * (self.left - 1)
-        first = keys >> shift
-        starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])).tolist()
-        rest = keys & ((1 << shift) - 1)
-        new = 0
-        for a, b, word in zip(starts, [*starts[1:], len(keys)], first[starts].tolist(), strict=True):
-            child = self.children.get(word)
-            if child is None:
-                child = self.children[word] = HatTrie(self.left - 1)
-            new += child.add(rest[a:b], counts[a:b])
-        return new
-
-    def _burst(self) -> None:
-        keys = np.fromiter(self.table.keys(), np.int64, len(self.table))
-        counts = np.fromiter(self.table.values(), np.int64, len(self.table))
-        order = np.argsort(keys)
-        self.table, self.children = {}, {}
-        self._deal(keys[order], counts[order])
-
-    def items(self) -> Iterator[tuple[int, int]]:
-        if self.children is None:
-            yield from self.table.items()
-        else:
-            shift = BITS * (self.left - 1)
-            for word, child in self.children.items():
-                yield from ((word << shift | k, c) for k, c in child.items())
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        used = self.keys >= 0
+        return self.keys[used], self.counts[used]
+
 
-    def spill(self, keep: int) -> Iterator[list[tuple[int, int]]]:
+class HatTrie:
+    """Counts of sequences of n word numbers, packed into whole numbers with the first word on top.
+
+    A node is a container, or branches on some bits of a word's number, the first
+    word's before the second's: what lies below shares a part of its prefix.
+    """
+
+    def __init__(self, n: int, level: int = 0):
+        levels = -(-BITS // DIGIT)
+        self.n, self.level = n, level
+        # lower bits of a number come first: words are numbered as they come, so those are dealt evenly
+        self.shift = BITS * (n - 1 - level // levels) + DIGIT * (level % levels)
+        self.low = (1 << min(DIGIT, BITS - DIGIT * (level % levels))) - 1
+        self.last = level >= n * levels
+        self.table: Container | None = Container()
+        self.children: dict[int, HatTrie] = {}
+        self.size = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Add to the counts of distinct keys."""
+        if self.table is not None:
+            self.table.add(keys, counts)
+            self.size = self.table.size
+            if self.size > BURST and not self.last:
+                keys, counts = self.table.items()
+                self.table = None
+                self._deal(keys, counts)
+        else:
+            self._deal(keys, counts)
+
+    def _deal(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        digit = (keys >> self.shift & self.low).astype(np.uint8)
+        order = np.argsort(digit, kind="stable")
+        keys, counts, digit = keys[order], counts[order], digit[order]
+        starts = np.flatnonzero(np.concatenate([[True], digit[1:] != digit[:-1]]))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+            d = int(digit[a])
+            if d not in self.children:
+                self.children[d] = HatTrie(self.n, self.level + 1)
+            self.children[d].add(keys[a:b], counts[a:b])
+        self.size = sum(c.size for c in self.children.values())
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.table is not None:
+            return self.table.items()
+        parts = [c.items() for c in self.children.values()]
+        return np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+
+    def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take out whole subtrees, the largest first, until at most so many sequences stay."""
-        if self.children is None:
+        if self.table is not None:
             if self.size > keep:
-                yield list(self.table.items())
-                self.table, self.size = {}, 0
+                yield self.table.items()
+                self.table, self.size = Container(), 0
             return
-        shift = BITS * (self.left - 1)
-        for word in sorted(self.children, key=lambda w: -self.children[w].size):
+        for d in sorted(self.children, key=lambda d: -self.children[d].size):
             if self.size <= keep:
                 break
-            child = self.children.pop(word)
+            child = self.children.pop(d)
             self.size -= child.size
-            yield [(word << shift | k, c) for k, c in child.items()]
+            yield child.items()
+        if not self.children:
+            self.table = Container()
 
 
 def hash_longs(values: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
@@ -199,6 +238,7 @@ class Counter:
         self.lang, self.n, self.frequent = lang, n, frequent
         self.words, self.trie = Words(), HatTrie(n)
         self.hashes, self.hashed, self.total = np.zeros(1024, np.uint64), 1, 0
+        self.ranked: tuple[pa.Array, np.ndarray] | None = None
         self.begin()
 
     def _hash_new(self) -> None:
@@ -249,36 +289,39 @@ class Counter:
             out = out << BITS | c
         return out
 
-    def run(self, items: list[tuple[int, int]]) -> list[tuple[str, str, int]]:
-        """A sorted run: head (all words but the last), tail, count."""
-        listed, low = self.words.listed, (1 << BITS) - 1
-        if self.n == 1:
-            rows = [("", listed[k].decode(), c) for k, c in items]
-        elif self.n == 2:
-            rows = [(listed[k >> BITS].decode(), listed[k & low].decode(), c) for k, c in items]
-        else:
-            rows = [((listed[k >> 2 * BITS] + b" " + listed[k >> BITS & low]).decode(), listed[k & low].decode(), c) for k, c in items]
-        rows.sort()
-        return rows
+    def _sorted_words(self) -> tuple[pa.Array, np.ndarray]:
+        """The words so far, and the place of each in byte order."""
+        if self.ranked is None or len(self.ranked[0]) < len(self.words.listed):
+            words = pa.array(self.words.listed, pa.binary())
+            ranks = np.empty(len(words), np.int64)
+            ranks[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+            self.ranked = words.cast(pa.string()), ranks
+        return self.ranked
+
+    def run(self, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """A sorted run: lang, head (all words but the last), tail, count."""
+        words, ranks = self._sorted_words()
+        ids = [keys >> BITS * k & ((1 << BITS) - 1) for k in range(self.n - 1, -1, -1)]
+        order = np.lexsort([ranks[i] for i in reversed(ids)])
+        for a in range(0, len(order), 100_000):
+            some = order[a : a + 100_000]
+            *head, tail = (words.take(pa.array(i[some])) for i in ids)
+            first = pa.repeat("", len(some)) if not head else head[0] if len(head) == 1 else pc.binary_join_element_wise(*head, " ")
+            yield pa.RecordBatch.from_arrays([pa.repeat(self.lang, len(some)), first, tail, pa.array(counts[some])], ["lang", "head", "tail", "f"])
 
 
 def runs(docs: DataFrame, n: int, frequent: BitTable | None = None) -> DataFrame:
     """lang, head, tail, f: counts of sequences of n words, by task and spilled subtree; a row without tail for all words of a task."""
     shared = None if frequent is None else docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def batch_of(lang: str, rows: list[tuple[str, str | None, int]]) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(rows), 50_000):
-            heads, tails, counts = zip(*rows[a : a + 50_000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(heads), pa.string()), pa.array(heads, pa.string()), pa.array(tails, pa.string()), pa.array(counts, pa.int64())], ["lang", "head", "tail", "f"])
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value if shared else None
         counters: dict[str, Counter] = {}
         totals: dict[str, int] = {}
 
         def emptied(c: Counter, keep: int) -> Iterator[pa.RecordBatch]:
-            for items in c.trie.spill(keep):
-                yield from batch_of(c.lang, c.run(items))
+            for keys, counts in c.trie.spill(keep):
+                yield from c.run(keys, counts)
 
         def closed() -> Iterator[pa.RecordBatch]:
             for lang, c in counters.items():
@@ -300,9 +343,8 @@ def runs(docs: DataFrame, n: int, frequent: BitTable | None = None) -> DataFrame
                     if sum(len(c.words) for c in counters.values()) > MOST_WORDS:
                         yield from closed()
         yield from closed()
-        if n == 1:
-            for lang, total in totals.items():
-                yield from batch_of(lang, [("", None, total)])
+        if n == 1 and totals:
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals)), pa.repeat("", len(totals)), pa.nulls(len(totals), pa.string()), pa.array(list(totals.values()))], ["lang", "head", "tail", "f"])
 
     data = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), data.alias("bytes")).where(F.octet_length("bytes") > 0).mapInArrow(count, RUNS)

@@ -220,44 +220,63 @@ def random_texts(seed, n, words=30):
 
 
 def test_trie_counts_like_a_dictionary(monkeypatch):
-    monkeypatch.setattr(phrases, "BURST", 5)
+    monkeypatch.setattr(phrases, "BURST", 20)
     rng = np.random.default_rng(0)
-    for left in (1, 2, 3):
-        trie, want, spilled = phrases.HatTrie(left), collections.Counter(), collections.Counter()
+    for n in (1, 2, 3):
+        trie, want, spilled = phrases.HatTrie(n), collections.Counter(), collections.Counter()
         for _ in range(30):
-            ids = np.minimum(rng.geometric(0.3, (200, left)), 9).astype(np.int64)
+            ids = np.minimum(rng.geometric(0.01, (2000, n)), 5000).astype(np.int64)
+            ids[:500, 0] = 33
             keys = ids[:, 0]
-            for k in range(1, left):
+            for k in range(1, n):
                 keys = keys << phrases.BITS | ids[:, k]
             want.update(keys.tolist())
             trie.add(*np.unique(keys, return_counts=True))
-            assert trie.size == len(list(trie.items()))
-            for run in trie.spill(40):
-                for k, c in run:
+            assert trie.size == len(trie.items()[0])
+            for keys, counts in trie.spill(300):
+                assert len(keys) == len(set(keys.tolist()))
+                for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
                     spilled[k] += c
-            assert trie.size <= 40
-        assert left == 1 or trie.children is not None
-        assert spilled + collections.Counter(dict(trie.items())) == want
+            assert trie.size <= 300
+        assert trie.table is None
+        assert spilled + collections.Counter(dict(zip(*(x.tolist() for x in trie.items()), strict=True))) == want
+
+
+def test_container_with_keys_that_collide():
+    table = phrases.Container(4)
+    want = collections.Counter()
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 50, 3000, 3000):
+        keys, counts = np.unique(rng.integers(0, 4000, n), return_counts=True)
+        want.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+        table.add(keys, counts)
+        assert table.size == len(want)
+    assert dict(zip(*(x.tolist() for x in table.items()), strict=True)) == want
+
+
+def counts_of(counter):
+    out = collections.Counter()
+    for batch in counter.run(*counter.trie.items()):
+        rows = list(zip(*(batch.column(c).to_pylist() for c in ("head", "tail", "f")), strict=True))
+        assert rows == sorted(rows, key=lambda r: [*r[0].encode().split(b" "), r[1].encode()])
+        out.update({("x", f"{h} {t}" if h else t): c for h, t, c in rows})
+    return out
 
 
 def test_windows_carry_words_over(monkeypatch):
     monkeypatch.setattr(phrases, "WINDOW", 7)
     data = random_texts(5, 40)
     for n in (1, 2, 3):
-        counter = phrases.Counter("x", n, None)
+        counter, got = phrases.Counter("x", n, None), collections.Counter()
         for k, text in enumerate(data):
             counter.begin()
             for window in phrases.windows(text.encode().translate(phrases._TABLE)):
                 counter.add(window)
                 if k % 7 == 0 and len(window) % 2:
-                    kept = counter.trie
-                    old = counter
+                    # counts are taken out; the words before go along
+                    got += counts_of(counter)
                     counter = counter.renewed()
-                    # counts stay where they were; only the words before are taken along
-                    got = collections.Counter({("x", f"{h} {t}".strip() if h else t): c for h, t, c in old.run(list(kept.items()))})
-                    counter.kept = getattr(old, "kept", collections.Counter()) + got
-        rest = collections.Counter({("x", f"{h} {t}" if h else t): c for h, t, c in counter.run(list(counter.trie.items()))})
-        assert rest + getattr(counter, "kept", collections.Counter()) == brute_counts([("x", t) for t in data], n)
+        assert got + counts_of(counter) == brute_counts([("x", t) for t in data], n)
 
 
 def test_hashes_equal_sparks(spark):
