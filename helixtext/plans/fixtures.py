@@ -93,6 +93,23 @@ select cast(doc_id as string) doc_id, k passage_no,
  case when k = 0 then 'title' when k = 1 then 'abstract' else 'table' end ptype,
  case when k = 0 then substr(t, 1, cast(length(t) % 60 as int)) when k = 1 then t else concat('a > b ', t) end text
 from (select doc_id, replace(replace(replace(coalesce(text, ''), chr(10), ' '), chr(9), ' '), '|', '/') t from {documents}) d, (select 0 k union all select 1 k union all select 2 k) ks
+""",
+    # a layout behind each text, by the document's number; # and a letter stand for its mentions
+    "fx_layouts": """
+select doc_id, k, m1, m2, m3, length(text) base, concat(text, ' ', tail, ' end') text, tail from (
+ select doc_id, k, m1, m2, m3, text, replace(replace(replace(case k
+  when 0 then '(#p, #d; #s)' when 1 then '#d (#s) [#p]' when 2 then '#s (#p/ #d)' when 3 then '#p polymorphism (#s)'
+  when 4 then '#d (#s with #p)' when 5 then '[#d, #p]' when 6 then '(#s #d)' when 7 then '#p (#s; other' when 8 then '#p (#d)'
+  when 9 then '#s, protein #p' when 10 then '#s gene #d' when 11 then '#p: dbSNP ID: #s' when 12 then '#p dbSNP #s' when 13 then '(#p), dbSNP #s'
+  when 14 then '(#p), (dbSNP #s)' when 15 then '#d (dbSNP #sA' when 16 then '#d 5''UTR (#s)' when 17 then '#p polymorphism in intron 12 (#s)'
+  when 18 then '(#d and #p)' when 19 then '#d (#p, #s)' when 20 then '#d or (#s)' when 21 then '#s, protein #p (#d)' when 22 then '#p (#d) (#s' else '#p #d #s' end,
+  '#p', m1), '#d', m2), '#s', m3) tail from (select *, cast(doc_id as bigint) % 24 k from fx_docs) x) y
+""",
+    "fx_layout_ann": """
+select cast(doc_id as bigint) * 3 + t ann_id, doc_id, base + instr(tail, m) start_off, base + instr(tail, m) + length(m) end_off, m mention, etype, ident, text, k
+from (select l.*, t, case t when 0 then m1 when 1 then m2 else m3 end m, case t when 0 then 'ProteinMutation' when 1 then 'DNAMutation' else 'SNP' end etype,
+ case t when 0 then concat('p|', m1) when 1 then concat('c|', m2) else m3 end ident from fx_layouts l, (select 0 t union all select 1 t union all select 2 t) ts) z
+where instr(tail, m) > 0
 """,
     "fx_stats": """
 select case when o_orderpriority < '3' then 'a' else 'b' end kind, concat('file', cast(o_custkey % 500 as string)) label,
@@ -101,7 +118,7 @@ select case when o_orderpriority < '3' then 'a' else 'b' end kind, concat('file'
 """,
 }
 #: Fixtures that a fixture reads.
-USES = {"fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"]}
+USES = {"fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"], "fx_layouts": ["fx_docs"], "fx_layout_ann": ["fx_docs", "fx_layouts"]}
 
 
 def needs(sql: str) -> list[str]:
@@ -123,7 +140,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture as a DataFrame."""
     sql = FIXTURES[name]
     frames = {t: table(spark, sf_dir, t) for t in re.findall(r"\{(\w+)\}", sql)}
-    for n in USES.get(name, []):
+    for n in USES.get(name, []) if name != "fx_layout_ann" else ["fx_layouts"]:
         frames[n] = fixture(spark, sf_dir, n)
         sql = re.sub(rf"\b{n}\b", f"{{{n}}}", sql)
     return spark.sql(sql, **frames)

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, text, variants
 from helixtext.functions.shared import shared_path
-from helixtext.operators import associate, canon, documents, normalize, report, spans
+from helixtext.operators import associate, canon, documents, layouts, normalize, report, spans
 from helixtext.sources import bioc, knowledge, pubtator
 from helixtext.streaming import ingest
 
@@ -895,6 +895,25 @@ def link_bracketed_mentions(spark, sf_dir):
     return normalize.link_bracketed(one.unionByName(two), d)
 
 
+# What each of fx_layouts' texts links: the members (p, d, s) that are linked, ``rs`` where the rs number is given to the others.
+LAYOUT_FACTS = """
+f as (select * from (values (0, 0, 2), (0, 1, 2), (1, 0, 2), (1, 1, 2), (2, 0, 2), (2, 1, 2), (3, 0, 2), (4, 0, 2), (4, 1, 2), (5, 1, 0), (6, 1, 2), (7, 0, 2), (8, 0, 1),
+ (9, 0, 2), (10, 1, 2), (11, 0, 2), (12, 0, 2), (13, 0, 2), (14, 0, 2), (15, 1, 2), (16, 1, 2), (17, 0, 2), (19, 0, 2), (21, 0, 1), (22, 0, 1)) t(k, a, b))
+"""
+
+
+@query(f"with {LAYOUT_FACTS} select doc_id, cast(doc_id as bigint) * 3 + a ann_a, cast(doc_id as bigint) * 3 + b ann_b from fx_layouts join f using (k)")
+def link_layouts(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    return layouts.layout_links(layouts.find_layouts(x.fx_layout_ann, x.fx_layouts.select("doc_id", "text")))
+
+
+@query(f"with {LAYOUT_FACTS} select cast(doc_id as bigint) * 3 + a ann_id, cast(doc_id as bigint) + 100000 rs, 'Pattern' source from fx_layouts join f using (k) where b = 2")
+def layout_rs(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    return layouts.layout_rs(layouts.find_layouts(x.fx_layout_ann, x.fx_layouts.select("doc_id", "text")), x.fx_layout_ann)
+
+
 @query("""
 with l as (select l_orderkey a, l_orderkey + 1 b from lineitem where l_linenumber = 1 group by l_orderkey), f as (select distinct l_orderkey id, 100000 + l_partkey rs from lineitem where l_orderkey % 3 = 0),
  e as (select a, b from l union select b, a from l)
