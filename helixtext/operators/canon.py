@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from helixtext.functions import variants
 
-from .spans import parse_components, swap_direction
+from .chart import phrase_components
+from .spans import parse_components
 
 
 def settle(components: DataFrame) -> DataFrame:
@@ -26,9 +27,15 @@ def settle(components: DataFrame) -> DataFrame:
 
 
 def canonicalise(spans: DataFrame) -> DataFrame:
-    """Spans with level, etype, ident, hgvs and drop_reason."""
+    """Spans with level, etype, ident, hgvs and drop_reason.
+
+    Forms of the grammar are read by patterns, all others as plain language by the chart.
+    """
     distinct = spans.select("mention").distinct()
-    parsed = distinct.withColumn("c", swap_direction(parse_components(F.col("mention")), F.col("mention")))
+    by_grammar = distinct.select("mention", parse_components(F.col("mention")).alias("g"))
+    known = F.exists(F.array(*[F.col(f"g.{x}") for x in "atpwmfsdr"]), lambda x: x != "")
+    read = by_grammar.select("mention", "g", known.alias("known"), phrase_components(F.when(~known, F.col("mention"))).alias("l"))
+    parsed = read.select("mention", F.when(F.col("known"), F.col("g")).otherwise(F.col("l")).alias("c"))
     done = settle(parsed)
     reason = variants.identifier_drop_reason(F.col("c"), F.col("etype"), F.col("ident"))
     forms = done.select("mention", "level", "etype", "ident", variants.render_hgvs(F.col("ident")).alias("hgvs"), reason.alias("drop_reason"), "c")

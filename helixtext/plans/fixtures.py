@@ -13,7 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 AA = "ACDEFGHIKLMNPQRSTVWY"
 
+# Names of residues for sentences in plain language: (letter, code, name).
+NAMES = [("G", "Gly", "glycine"), ("R", "Arg", "arginine"), ("D", "Asp", "aspartic acid"), ("L", "Leu", "leucine"), ("V", "Val", "valine"), ("K", "Lys", "lysine"), ("S", "Ser", "serine")]
+
+
+def named(k: int, number: str) -> str:
+    """SQL: the k-th kind of name by a number."""
+    return f"case {number} " + " ".join(f"when {i} then '{n[k]}'" for i, n in enumerate(NAMES)) + " end"
+
+
 FIXTURES = {
+    # a phrase behind each text, by the document's number, and the identifier that it means
+    "fx_phrases": f"""
+select doc_id, k, phrase, ident, length(text) + 8 start_off, concat(text, ' We saw ', phrase, '. It ended.') text from (
+ select doc_id, k, text, case k
+  when 0 then concat(wn, ' to ', mn, ' at codon ', p) when 1 then concat(mn, ' for ', wn, ' at position ', p) when 2 then concat('substitution of ', wn, ' by ', mn, ' at residue ', p)
+  when 3 then concat('deletion of three bases at position ', p) when 4 then concat(mn, ' instead of ', wn, ' at amino acid ', p) when 5 then concat('insertion of ', wn, ' at codon ', p)
+  when 6 then concat('codon ', p, ' ', wn, ' to ', mn) when 7 then concat(wc, ' ', p, ' is replaced with ', mc) when 8 then concat('adenine to guanine at nucleotide ', p)
+  when 9 then concat('deletion of nucleotides ', p, ' to ', q) when 10 then concat(mn, ' replaces ', wn, ' at codon ', p) when 11 then concat('duplication of two amino acids at position ', p)
+  when 12 then concat(wn, '-to-', mn, ' substitution at codon ', p) else concat('4 bp deletion at codon ', p) end phrase,
+  case when k in (0, 1, 2, 4, 6, 7, 10, 12) then concat('p|SUB|', w, '|', p, '|', m) when k = 3 then concat('c|DEL|', p, '|3') when k = 5 then concat('p|INS|', p, '|', w)
+   when k = 8 then concat('c|SUB|A|', p, '|G') when k = 9 then concat('c|DEL|', p, '_', q, '|') when k = 11 then concat('p|DUP|', p, '|2|') else concat('c|DEL|CODON', p, '|4') end ident
+ from (select doc_id, text, n % 14 k, cast(n % 900 + 10 as string) p, cast(n % 900 + 13 as string) q, {named(0, "n % 7")} w, {named(1, "n % 7")} wc, {named(2, "n % 7")} wn,
+  {named(0, "(n + 3) % 7")} m, {named(1, "(n + 3) % 7")} mc, {named(2, "(n + 3) % 7")} mn from (select doc_id, text, cast(doc_id as bigint) n from fx_docs) x) y) z
+""",
     "fx_docs": f"""
 select cast(doc_id as string) doc_id,
  concat(replace(replace(coalesce(text, ''), chr(10), ' '), chr(9), ' '), ' Mutation ',
@@ -118,7 +141,7 @@ select case when o_orderpriority < '3' then 'a' else 'b' end kind, concat('file'
 """,
 }
 #: Fixtures that a fixture reads.
-USES = {"fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"], "fx_layouts": ["fx_docs"], "fx_layout_ann": ["fx_docs", "fx_layouts"]}
+USES = {"fx_phrases": ["fx_docs"], "fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"], "fx_layouts": ["fx_docs"], "fx_layout_ann": ["fx_docs", "fx_layouts"]}
 
 
 def needs(sql: str) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, text, variants
 from helixtext.functions.shared import shared_path
-from helixtext.operators import associate, canon, documents, layouts, normalize, report, spans
+from helixtext.operators import associate, canon, chart, documents, layouts, normalize, report, spans
 from helixtext.sources import bioc, knowledge, pubtator
 from helixtext.streaming import ingest
 
@@ -225,6 +225,18 @@ def parse_components(spark, sf_dir):
     return canon.canonicalise(m).select("mention", F.col("c.w").alias("w"), F.col("c.p").alias("p"), F.col("c.m").alias("m"), "ident", "etype")
 
 
+@query("select distinct phrase mention, ident from fx_phrases")
+def parse_phrases(spark, sf_dir):
+    mentions = Inputs(spark, sf_dir).fx_phrases.select(F.col("phrase").alias("mention")).distinct().withColumn("etype", F.lit(""))
+    return canon.canonicalise(mentions).select("mention", "ident")
+
+
+@query("select doc_id, cast(start_off as int) start_off, cast(start_off + length(phrase) as int) end_off, phrase mention, ident from fx_phrases")
+def tag_phrases(spark, sf_dir):
+    found = chart.tag_phrases(Inputs(spark, sf_dir).fx_phrases.select("doc_id", "text"))
+    return canon.canonicalise(found).select("doc_id", "start_off", "end_off", "mention", "ident")
+
+
 @query("select distinct mention, concat('p|SUB|', w, '|', p, '|', u) ident, 'ProteinMutation' etype from fx_ann")
 def mention_list_to_form(spark, sf_dir):
     return canon.mention_list_to_form(Inputs(spark, sf_dir).fx_ann)
