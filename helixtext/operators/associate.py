@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,54 +54,136 @@ def major_gene(genes: DataFrame) -> DataFrame:
     return best.select("doc_id", "b.gene", "b.n", ((F.col("often") == 1) & (F.col("b.n") >= 3)).alias("fallback"))
 
 
+def last_before(things: DataFrame, asks: DataFrame, keys: list[str], touching: bool) -> DataFrame:
+    """asks with hit: struct of the greatest pos of things up to at, and its value, by one sort of both; null if there is none (as-of join).
+
+    things: keys, pos, value, one for each pos; asks: keys, at. touching: also
+    value_from, the least value of things at pos or behind it.
+    """
+    rows = things.select(*keys, F.col("pos").alias("_at"), F.struct("pos", "value").alias("_thing")).unionByName(asks.withColumnRenamed("at", "_at").withColumn("_ask", F.lit(True)), allowMissingColumns=True)
+    order = Window.partitionBy(*keys)
+    found = rows.withColumn("hit", F.last("_thing", ignorenulls=True).over(order.orderBy("_at", F.col("_ask").asc_nulls_first())))
+    if touching:
+        found = found.withColumn("value_from", F.min("_thing.value").over(order.orderBy(F.desc("_at"), F.col("_ask").asc_nulls_first())))
+    return found.where("_ask").withColumnRenamed("_at", "at").drop("_thing", "_ask")
+
+
+def first_after(things: DataFrame, asks: DataFrame, keys: list[str], touching: bool) -> DataFrame:
+    """As last_before, seen from the other end: the least pos from at on; value_from is of things at pos or before it."""
+    turned = last_before(things.withColumn("pos", -F.col("pos")), asks.withColumn("at", -F.col("at")), keys, touching)
+    hit = F.when(F.col("hit").isNotNull(), F.struct((-F.col("hit.pos")).alias("pos"), F.col("hit.value").alias("value")))
+    return turned.withColumn("at", -F.col("at")).withColumn("hit", hit)
+
+
+def touching_pairs(asks: DataFrame, things: DataFrame, keys: list[str], first: str, last: str) -> DataFrame:
+    """ann_id, value: the least value of things (pos_start, pos_end, value) that touch first..last of an ask; they meet in fixed blocks, so only neighbours do."""
+    a = asks.withColumn("block", blocks(F.col(first), F.col(last)))
+    t = things.withColumn("block", blocks(F.col("pos_start"), F.col("pos_end") + 1))
+    both = a.join(t, [*keys, "block"]).where((F.col("pos_start") < F.col(last)) & (F.col("pos_end") >= F.col(first)))
+    return both.groupBy("ann_id").agg(F.min("value").alias("value"))
+
+
 def nearest_gene_sentence(ann: DataFrame, genes: DataFrame) -> DataFrame:
     """ann_id, gene, distance, tier: the first tier with a gene, there the nearest.
 
-    ann and genes carry a sentence number. Tiers: same sentence (genes on the
-    mention don't count), the one before, the one after, the title (sentence 0),
-    any earlier one, there the gene that ends last. The first four are joins on the
-    sentence; the last is the running best of the sentences up to the last but one.
+    ann and genes carry a sentence number; sentences follow one another in the text. Tiers: same
+    sentence (genes on the mention don't count), the one before, the one after, the title
+    (sentence 0), any earlier one, there the gene that ends last. The last gene
+    before a mention and the first one after it come from as-of joins: genes and
+    mentions in one sort for each tier, so no pair of both is made. Two
+    genes that reach a mention of another sentence are equally near: the least counts.
     """
-    g = genes.select("doc_id", F.col("sentence").alias("gs"), "gene", F.col("start_off").alias("g_start"), F.col("end_off").alias("g_end")).distinct()
-    a = ann.select("ann_id", "doc_id", "sentence", "start_off", "end_off")
-    overlap = (F.col("g_start") < F.col("end_off")) & (F.col("start_off") < F.col("g_end"))
-    s, t = F.col("sentence"), F.col("gs")
-    tier = F.when((s == t) & ~overlap, 0).when(t == s - 1, 1).when(t == s + 1, 2).when(t == 0, 3)
-    gap = F.greatest(F.col("g_start") - F.col("end_off"), F.col("start_off") - F.col("g_end"), F.lit(0))
-    near = a.withColumn("gs", F.explode(F.array_distinct(F.array(s, s - 1, s + 1, F.lit(0).cast(ann.schema["sentence"].dataType))))).join(g, ["doc_id", "gs"]).withColumn("tier", tier)
+    keys = ["doc_id", "tier", "gs"]
+    sentence = ann.schema["sentence"].dataType
+    g = genes.select("doc_id", F.col("sentence").alias("t"), F.col("gene").alias("value"), F.col("start_off").alias("g_start"), F.col("end_off").alias("g_end"))
+    a = ann.select("ann_id", "doc_id", F.col("sentence").alias("s"), "start_off", "end_off")
+
+    def in_tiers(rows: DataFrame, *tiers: tuple[int, Column, Column]) -> DataFrame:
+        """A row for each (tier, sentence) whose condition holds."""
+        each = F.filter(F.array(*[F.struct(F.lit(k).alias("tier"), at.cast(sentence).alias("gs"), on.alias("on")) for k, at, on in tiers]), lambda x: x["on"])
+        return rows.withColumn("_t", F.explode(each)).select("*", "_t.tier", "_t.gs").drop("_t")
+
+    t, s, yes = F.col("t"), F.col("s"), F.lit(True)
+    ends = in_tiers(g.groupBy("doc_id", "t", F.col("g_end").alias("pos")).agg(F.min("value").alias("value")), (0, t, yes), (1, t + 1, yes), (3, F.lit(0), t == 0)).drop("t")
+    starts = in_tiers(g.groupBy("doc_id", "t", F.col("g_start").alias("pos")).agg(F.min("value").alias("value")), (0, t, yes), (2, t - 1, yes)).drop("t")
+    # (several sentences' genes at one place of a tier: none, a tier's sentence holds one sentence's genes)
+    asked = a.drop("end_off").withColumnRenamed("start_off", "at")
+    back = last_before(ends, in_tiers(asked, (0, s, yes), (1, s, yes), (3, F.lit(0), s >= 2)).drop("s"), keys, True)
+    asked = a.drop("start_off").withColumnRenamed("end_off", "at")
+    ahead = first_after(starts, in_tiers(asked, (0, s, yes), (2, s, yes)).drop("s"), keys, True)
+    gap = F.abs(F.col("hit.pos") - F.col("at"))
+    near = back.unionByName(ahead)
+    reached = (F.col("tier") > 0) & F.col("value_from").isNotNull()
+    near = near.where(reached | F.col("hit").isNotNull()).select("ann_id", "tier", F.when(reached, 0).otherwise(gap).alias("gap"), F.when(reached, F.col("value_from")).otherwise(F.col("hit.value")).alias("gene"))
+    # in the title itself, genes on the mention come as the title's
+    on = touching_pairs(a.where("s = 0"), g.where("t = 0").select("doc_id", F.col("g_start").alias("pos_start"), (F.col("g_end") - 1).alias("pos_end"), "value"), ["doc_id"], "start_off", "end_off")
+    near = near.unionByName(on.select("ann_id", F.lit(3).alias("tier"), F.lit(0).alias("gap"), F.col("value").alias("gene")))
     # (ends are counted down, so that the least is the last end, then the first gene)
-    last = g.groupBy("doc_id", "gs").agg(F.min(F.struct((-F.col("g_end")).alias("back"), "gene", "g_start", "g_end")).alias("best"))
-    keys = a.select("doc_id", "sentence").distinct().select("doc_id", F.col("sentence").alias("gs"))
+    last = g.groupBy("doc_id", F.col("t").alias("gs")).agg(F.min(F.struct((-F.col("g_end")).alias("back"), F.col("value").alias("gene"))).alias("best"))
+    asks = a.select("doc_id", F.col("s").alias("gs")).distinct()
     before = Window.partitionBy("doc_id").orderBy("gs").rangeBetween(Window.unboundedPreceding, -2)
-    running = last.unionByName(keys.withColumn("best", F.lit(None).cast(last.schema["best"].dataType))).withColumn("best", F.min("best").over(before))
-    running = running.where("best is not null").groupBy("doc_id", "gs").agg(F.min("best").alias("best")).select("doc_id", F.col("gs").alias("sentence"), "best.gene", "best.g_start", "best.g_end")
-    early = a.join(running, ["doc_id", "sentence"]).withColumn("tier", F.lit(4))
-    some = ["ann_id", "gene", "tier", "g_start", "g_end", "start_off", "end_off"]
-    j = near.where("tier is not null").select(*some).unionByName(early.select(*some)).withColumn("distance", gap + 1000 * F.col("tier"))
-    return j.groupBy("ann_id").agg(F.min(F.struct("tier", "distance", "gene")).alias("b")).select("ann_id", "b.gene", "b.distance", "b.tier")
+    running = last.unionByName(asks.withColumn("best", F.lit(None).cast(last.schema["best"].dataType))).withColumn("best", F.min("best").over(before))
+    running = running.where("best is not null").groupBy("doc_id", "gs").agg(F.min("best").alias("best")).select("doc_id", F.col("gs").alias("s"), "best.gene", (-F.col("best.back")).alias("g_end"))
+    early = a.join(running, ["doc_id", "s"]).select("ann_id", F.lit(4).alias("tier"), F.greatest(F.col("start_off") - F.col("g_end"), F.lit(0)).alias("gap"), "gene")
+    every = near.unionByName(early).withColumn("distance", F.col("gap") + 1000 * F.col("tier"))
+    return every.groupBy("ann_id").agg(F.min(F.struct("tier", "distance", "gene")).alias("b")).select("ann_id", "b.gene", "b.distance", "b.tier")
+
+
+@functools.cache
+def mark_finder() -> Callable[..., Column]:
+    """A function of a text and spans in it: for each span the bracket that is open at its start, and the first sentence end behind it; -1 for none."""
+
+    def found(texts, starts, ends):
+        import re
+        from bisect import bisect_left
+
+        import pyarrow as pa
+
+        out = []
+        for text, a, b in zip(*(x.to_pylist() for x in (texts, starts, ends)), strict=True):
+            brackets = [m.start() for m in re.finditer("[()]", text or "")]
+            stops = [m.start() for m in re.finditer(r"[.!?]\s", text or "", re.ASCII)]
+            marks = []
+            for start, end in zip(a or (), b or (), strict=True):
+                k, n = bisect_left(brackets, start) - 1, bisect_left(stops, end)
+                is_open = k >= 0 and text[brackets[k]] == "("
+                marks.append({"bracket": brackets[k] if is_open else -1, "stop": stops[n] if n < len(stops) else -1})
+            out.append(marks)
+        return pa.array(out, pa.list_(pa.struct([pa.field("bracket", pa.int32()), pa.field("stop", pa.int32())])))
+
+    import pyarrow
+
+    found.__annotations__ = dict.fromkeys(("texts", "starts", "ends", "return"), pyarrow.Array)
+    return F.arrow_udf(found, "array<struct<bracket:int,stop:int>>")
 
 
 def nearest_in_passage(ann: DataFrame, other: DataFrame, value: str, passages: DataFrame, limit: int = 10_000) -> DataFrame:
     """ann_id, value, distance: the nearest in the same passage.
 
     One before the variant is always allowed; one after it only outside tables
-    and without a sentence end between. passages: doc_id, passage_no, ptype, text, offset.
+    and without a sentence end between. A variant inside brackets starts at the
+    bracket. passages: doc_id, passage_no, ptype, text, offset. Each text is
+    looked through once for all its variants; the nearest come from as-of
+    joins, and only what touches a variant meets it.
     """
-    # what the text says is looked up once for each variant; pairs compare numbers only
-    v = ann.select("ann_id", "doc_id", "passage_no", "start_off", "end_off").join(passages.select("doc_id", "passage_no", "ptype", "text", "offset"), ["doc_id", "passage_no"])
-    before = F.substring("text", F.lit(1), F.col("start_off") - F.col("offset"))
-    bracket = F.when(before.rlike(r"\([^()]*$"), F.col("start_off") - F.length(F.regexp_extract(before, r"(\([^()]*)$", 1))).otherwise(F.col("start_off"))
+    keys = ["doc_id", "passage_no"]
+    spans = ann.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("start_off", "end_off", "ann_id"))).alias("spans"))
+    at = lambda f: F.transform("spans", lambda x: (x[f] - F.col("offset")).cast("int"))
+    marked = spans.join(passages.select(*keys, "ptype", "text", "offset"), keys).select(*keys, "ptype", "offset", "spans", mark_finder()(F.col("text"), at("start_off"), at("end_off")).alias("marks"))
+    v = marked.select(*keys, "ptype", "offset", F.explode(F.arrays_zip("spans", "marks")).alias("x"))
+    bracket = F.when(F.col("x.marks.bracket") >= 0, F.col("x.marks.bracket") + F.col("offset")).otherwise(F.col("x.spans.start_off"))
     # one that starts up to here has no sentence end before it
-    rest = F.expr("substring(text, end_off - offset + 1)")
-    stop = F.regexp_instr(rest, F.lit(r"[.!?]\s"))
-    reach = F.when(F.lower("ptype") == "table", -1).when(stop > 0, F.col("end_off") + stop).otherwise(F.lit(2**31 - 1))
-    v = v.select("ann_id", "doc_id", "passage_no", "end_off", bracket.alias("bracket"), reach.cast("int").alias("reach"))
-    o = other.select("doc_id", "passage_no", F.col("start_off").alias("o_start"), F.col("end_off").alias("o_end"), value).distinct()
-    j = v.join(o, ["doc_id", "passage_no"])
-    after = F.col("o_start") >= F.col("end_off")
-    gap = F.when(after, F.col("o_start") - F.col("end_off")).otherwise(F.greatest(F.col("bracket") - F.col("o_end"), F.lit(0)))
-    near = j.where(~after | (F.col("o_start") <= F.col("reach"))).withColumn("distance", gap).where(F.col("distance") <= limit)
-    return near.groupBy("ann_id").agg(F.min(F.struct("distance", value)).alias("b")).select("ann_id", f"b.{value}", "b.distance")
+    reach = F.when(F.lower("ptype") == "table", -1).when(F.col("x.marks.stop") >= 0, F.col("x.marks.stop") + F.col("offset") + 1).otherwise(F.lit(2**31 - 1))
+    v = v.select(*keys, "x.spans.ann_id", F.col("x.spans.end_off").alias("end_off"), bracket.cast("int").alias("bracket"), reach.cast("int").alias("reach"))
+    o = other.select(*keys, F.col("start_off").alias("pos_start"), F.col("end_off").alias("pos_end"), F.col(value).alias("value"))
+    ends = o.groupBy(*keys, F.col("pos_end").alias("pos")).agg(F.min("value").alias("value"))
+    starts = o.groupBy(*keys, F.col("pos_start").alias("pos")).agg(F.min("value").alias("value"))
+    back = last_before(ends, v.select(*keys, "ann_id", "reach", F.col("bracket").alias("at")), keys, False)
+    ahead = first_after(starts, v.select(*keys, "ann_id", "reach", F.col("end_off").alias("at")), keys, False).where(F.col("hit.pos") <= F.col("reach"))
+    near = back.unionByName(ahead).where("hit is not null").select("ann_id", F.abs(F.col("hit.pos") - F.col("at")).alias("distance"), F.col("hit.value").alias("value"))
+    on = touching_pairs(v.select(*keys, "ann_id", "bracket", "end_off"), o, keys, "bracket", "end_off")
+    near = near.unionByName(on.select("ann_id", F.lit(0).alias("distance"), "value")).where(F.col("distance") <= limit)
+    return near.groupBy("ann_id").agg(F.min(F.struct("distance", "value")).alias("b")).select("ann_id", F.col("b.value").alias(value), "b.distance")
 
 
 def nearest_species(ann: DataFrame, species: DataFrame, passages: DataFrame, blacklist: tuple[int, ...] = (), limit: int = 50) -> DataFrame:
