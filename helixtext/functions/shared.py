@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession) -> str:
@@ -13,3 +13,11 @@ def shared_path(spark: SparkSession) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder: lineage is cut, and what reads them twice sees the same."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_path(spark))
+    return df.checkpoint()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, variants
-from helixtext.functions.shared import shared_path
+from helixtext.functions.shared import checkpointed
 
 BLOCK = 512
 #: Taxa never given as a variant's species: a parameter's default.
@@ -243,18 +243,16 @@ def variant_groups(ann: DataFrame, edges: DataFrame) -> DataFrame:
     identifier gathers more than its own edges. Lineage is cut by checkpoints in
     the shared folder.
     """
-    spark = ann.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_path(spark))
     nodes = ann.groupBy("doc_id", "ident").agg(F.min("start_off").alias("first"))
-    now = edges.where("a <> b").select("doc_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    now = edges.where("a <> b").select("doc_id", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = checkpointed(now)
     while True:
         both = now.unionByName(now.select("doc_id", F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("doc_id", "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, ["doc_id", "a"]).where("b > a").select("doc_id", F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("doc_id", "a").agg(F.min("b").alias("m"))
         small = large.join(low, ["doc_id", "a"]).where("b <> m").select("doc_id", F.col("b").alias("a"), F.col("m").alias("b"))
-        new = small.unionByName(low.select("doc_id", "a", F.col("m").alias("b"))).distinct().checkpoint()
+        new = checkpointed(small.unionByName(low.select("doc_id", "a", F.col("m").alias("b"))).distinct())
         changed = new.join(now, ["doc_id", "a", "b"], "left_anti").limit(1).count() or now.join(new, ["doc_id", "a", "b"], "left_anti").limit(1).count()
         now = new
         if not changed:

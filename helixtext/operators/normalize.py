@@ -213,6 +213,51 @@ def intersect_var_gene(var2rs: DataFrame, gene2rs: DataFrame, form: Column, gene
     return var2rs.where(hit).select("rs").distinct().join(gene2rs.where(F.col("gene") == gene).select("rs").distinct(), "rs")
 
 
+#: Longest grams of the index, and how many of a search's grams are looked up.
+GRAM, LOOKED_UP = 3, 2
+#: Parts of a stored index.
+PARTS = 256
+
+
+def part_of(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(PARTS)).cast("int")
+
+
+def gram_index(forms: DataFrame) -> DataFrame:
+    """part, gram, form: postings of all grams of one to three characters of each form. Stored ``partitionBy("part")``, a search reads the parts of its own grams."""
+
+    def grams(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length("form") - (n - 1))
+        return F.when(F.length("form") >= n, F.transform(starts, lambda i: F.substring(F.col("form"), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+    return forms.select("form").where("form <> ''").distinct().select(F.explode(F.array_distinct(F.concat(*[grams(n) for n in range(1, GRAM + 1)]))).alias("gram"), "form").select(part_of(F.col("gram")).alias("part"), "gram", "form")
+
+
+def containing(index: DataFrame, asked: DataFrame) -> DataFrame:
+    """needle, form: the forms that contain each needle of asked.
+
+    A needle of up to three characters is a gram itself. Of a longer one the
+    rarest grams are looked up; forms in the postings of all of them are then
+    compared with the needle. Empty and null needles are in no form.
+    """
+    needle = F.col("needle")
+    n = F.length("needle")
+    grams = F.when(n <= GRAM, F.array("needle")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), n - (GRAM - 1)), lambda i: F.substring(needle, i, F.lit(GRAM)))))
+    parts = asked.select("needle").where("needle <> ''").distinct().select("needle", F.explode(grams).alias("gram")).withColumn("part", part_of(F.col("gram")))
+    wanted = parts.select("part", "gram").distinct()
+    often = index.join(wanted, ["part", "gram"]).groupBy("gram").agg(F.count("*").alias("n"))
+    rare = Window.partitionBy("needle").orderBy(F.coalesce("n", F.lit(0)), "gram")
+    some = parts.join(often, "gram", "left").withColumn("k", F.row_number().over(rare)).where(F.col("k") <= LOOKED_UP).select("needle", "part", "gram", F.count("*").over(Window.partitionBy("needle")).alias("grams"))
+    hits = some.join(index, ["part", "gram"]).groupBy("needle", "form").agg(F.count("*").alias("met"), F.first("grams").alias("grams"))
+    return hits.where((F.col("met") == F.col("grams")) & F.col("form").contains(F.col("needle"))).select("needle", "form")
+
+
+def rs_containing(index: DataFrame, asked: DataFrame, var2rs: DataFrame, gene2rs: DataFrame) -> DataFrame:
+    """needle, gene, rs: rs numbers of forms that contain the needle and of the gene asked for with it (E18). asked: needle, gene."""
+    by_form = containing(index, asked).join(var2rs.select("form", "rs").distinct(), "form").select("needle", "rs").distinct()
+    return asked.select("needle", "gene").distinct().join(by_form, "needle").join(gene2rs.select("gene", "rs").distinct(), ["gene", "rs"]).select("needle", "gene", "rs")
+
+
 def genes_of_rs(ann: DataFrame, rs2gene: DataFrame) -> DataFrame:
     """Each rs of each annotation beside its gene, null if it has none (E19). ann: ann_id, rs (array)."""
     return ann.select("ann_id", F.explode("rs").alias("rs")).join(rs2gene.select("rs", "gene").distinct(), "rs", "left").select("ann_id", "rs", "gene")

@@ -117,6 +117,13 @@ select cast(doc_id as string) doc_id, k passage_no,
  case when k = 0 then substr(t, 1, cast(length(t) % 60 as int)) when k = 1 then t else concat('a > b ', t) end text
 from (select doc_id, replace(replace(replace(coalesce(text, ''), chr(10), ' '), chr(9), ' '), '|', '/') t from {documents}) d, (select 0 k union all select 1 k union all select 2 k) ks
 """,
+    # words of a gene and one or two variants, or of neither, behind each text
+    "fx_fused": """
+select doc_id, n % 6 k, gene, m1, length(text) + 1 start_off, word, concat(text, ' ', word, ' end') text from (
+ select doc_id, text, n, gene, m1, case n % 6 when 0 then concat(gene, m1) when 1 then concat(m1, gene) when 2 then concat(gene, m1, gene, m1) when 3 then concat('QQ', m1) when 4 then gene else concat(gene, 'x', m1) end word
+ from (select doc_id, text, m1, cast(doc_id as bigint) n, case cast(doc_id as bigint) % 5 when 0 then 'PTEN' when 1 then 'BRAF' when 2 then 'KRAS' when 3 then 'TP53' else 'EGFR' end gene from fx_docs) a) b
+""",
+    "fx_asked": "select substr(form, cast(p_partkey % 4 + 3 as int), cast(p_partkey % 7 + 1 as int)) needle, cast(p_partkey % 50 as string) gene from (select p_partkey, form, rs from {part} join fx_var2rs on rs = 100000 + p_partkey) x where p_partkey % 5 = 0",
     # a layout behind each text, by the document's number; # and a letter stand for its mentions
     "fx_layouts": """
 select doc_id, k, m1, m2, m3, length(text) base, concat(text, ' ', tail, ' end') text, tail from (
@@ -141,7 +148,7 @@ select case when o_orderpriority < '3' then 'a' else 'b' end kind, concat('file'
 """,
 }
 #: Fixtures that a fixture reads.
-USES = {"fx_phrases": ["fx_docs"], "fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"], "fx_layouts": ["fx_docs"], "fx_layout_ann": ["fx_docs", "fx_layouts"]}
+USES = {"fx_phrases": ["fx_docs"], "fx_fused": ["fx_docs"], "fx_asked": ["fx_var2rs"], "fx_drop": ["fx_components"], "fx_history": ["fx_var2rs"], "fx_layouts": ["fx_docs"], "fx_layout_ann": ["fx_docs", "fx_layouts"]}
 
 
 def needs(sql: str) -> list[str]:

@@ -562,6 +562,12 @@ def intersect_var_gene(spark, sf_dir):
     return normalize.intersect_var_gene(x.fx_var2rs, x.fx_gene2rs, F.lit("|A|"), F.lit("7"), True)
 
 
+@query("select distinct a.needle, a.gene, v.rs from fx_asked a join fx_var2rs v on contains(v.form, a.needle) join fx_gene2rs g on g.rs = v.rs and g.gene = a.gene")
+def rs_containing(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    return normalize.rs_containing(normalize.gram_index(x.fx_var2rs), x.fx_asked, x.fx_var2rs, x.fx_gene2rs)
+
+
 @query("select r.id ann_id, r.rs, g.gene from fx_rs_rows r left join (select distinct rs, gene from fx_gene2rs) g using (rs)")
 def genes_of_rs(spark, sf_dir):
     x = Inputs(spark, sf_dir)
@@ -658,6 +664,19 @@ def tokenize(spark, sf_dir):
     return t.groupBy("doc_id").agg(F.count("*").alias("tokens"), F.sum(F.length("token")).alias("chars"), F.max("end_off").cast("long").alias("last_end"), F.sum(F.col("start_off") * (i % 7)).alias("starts"), F.sum(F.ascii("token") * (i % 5)).alias("firsts"))
 
 
+GENE_NAMES = ("PTEN", "BRAF", "KRAS", "TP53", "EGFR")
+
+
+@query("""
+select doc_id, cast(start_off + o as int) start_off, gene token from fx_fused join (values (0, 0), (2, 0), (2, 1)) t(k, second) using (k), lateral (select case when second = 1 then length(gene) + length(m1) else 0 end o)
+union all select doc_id, cast(start_off + length(m1) as int), gene from fx_fused where k = 1
+""")
+def tokenize_fused(spark, sf_dir):
+    d = Inputs(spark, sf_dir).fx_fused
+    genes = spark.createDataFrame([(g,) for g in GENE_NAMES], "name string")
+    return documents.tokenize_fused(d.select("doc_id", "text"), genes).where(F.col("token").isin(*GENE_NAMES)).select("doc_id", "start_off", "token")
+
+
 @query()
 def token_features(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
