@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from helixtext.functions import variants
 
-from .chart import phrase_components
-from .spans import parse_components
+from .chart import phrase_components, tag_phrases
+from .spans import component_drop_reason, keep_apart, parse_components, tag_hgvs
 
 
 def settle(components: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def settle(components: DataFrame) -> DataFrame:
 
 
 def canonicalise(spans: DataFrame) -> DataFrame:
-    """Spans with level, etype, ident, hgvs and drop_reason.
+    """Spans with level, etype, ident, hgvs and drop_reason.
 
     Forms of the grammar are read by patterns, all others as plain language by the chart.
     """
@@ -35,13 +35,25 @@ def canonicalise(spans: DataFrame) -> DataFrame:
     by_grammar = distinct.select("mention", parse_components(F.col("mention")).alias("g"))
     known = F.exists(F.array(*[F.col(f"g.{x}") for x in "atpwmfsdr"]), lambda x: x != "")
     read = by_grammar.select("mention", "g", known.alias("known"), phrase_components(F.when(~known, F.col("mention"))).alias("l"))
-    parsed = read.select("mention", F.when(F.col("known"), F.col("g")).otherwise(F.col("l")).alias("c"))
+    parsed = read.select("mention", F.when(F.col("known"), F.col("g")).otherwise(F.col("l")).alias("c")).withColumn("raw", F.col("c"))
     done = settle(parsed)
-    reason = variants.identifier_drop_reason(F.col("c"), F.col("etype"), F.col("ident"))
-    forms = done.select("mention", "level", "etype", "ident", variants.render_hgvs(F.col("ident")).alias("hgvs"), reason.alias("drop_reason"), "c")
+    raw = [F.col(f"raw.{x}") for x in "wpmtfd"]
+    # the parts as they are written, then the identifier that they make
+    reason = F.coalesce(component_drop_reason(*raw, F.col("etype"), F.col("mention"), F.lit("")), variants.identifier_drop_reason(F.col("c"), F.col("etype"), F.col("ident")))
+    forms = done.select("mention", F.struct("level", "etype", "ident", variants.render_hgvs(F.col("ident")).alias("hgvs"), reason.alias("drop_reason"), "c").alias("f"))
+    # (mentions are distinct and dealt by themselves already; a filter on what comes out would otherwise be unfolded into all rules)
+    forms = forms.groupBy("mention").agg(F.first("f").alias("f")).select("mention", "f.*")
     return spans.drop("etype").join(forms, "mention")
 
 
+def variants_of(docs: DataFrame) -> DataFrame:
+    """From texts (doc_id, text) to variants: names and phrases are tagged, the named go first where both overlap, read, and kept without a reason against them."""
+    named = tag_hgvs(docs).withColumn("priority", F.lit(0))
+    said = tag_phrases(docs).withColumn("priority", F.lit(1))
+    found = canonicalise(keep_apart(named.unionByName(said)).drop("priority"))
+    return found.where("drop_reason is null").drop("drop_reason")
+
+
 def mention_list_to_form(mentions: DataFrame) -> DataFrame:
     """mention, ident, etype of bare mention strings."""
     return canonicalise(mentions.select("mention").distinct()).select("mention", "ident", "etype")

@@ -6,11 +6,15 @@ return ann_id, rs, source, rank; ``cascade`` keeps the first that succeeds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtext.functions import variants
+from helixtext.functions.shared import checkpointed
 
 #: Provenance in order of trust.
 SOURCES = ("Pattern", "Recognized", "Foundbefore", "Mapping", "SNPinText", "RefSeq", "GeneNormalized", "Extended")
@@ -143,6 +147,38 @@ def cascade(*found: DataFrame) -> DataFrame:
     return by_source.groupBy("ann_id").agg(F.min_by(F.struct("source", "rs"), "r").alias("b")).select("ann_id", "b.source", "b.rs")
 
 
+def resolve_in_stages(ann: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], links: DataFrame | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """(ann_id, source, rs (sorted list); number found by source): each source in turn for what those before left open.
+
+    stages: (source, function of the open annotations that gives ann_id, rs). What a
+    stage finds and what stays open are written down, so no stage is computed again
+    by the next ones; a stage that finds nothing costs no further pass. links (ann_a, ann_b): at the end
+    the rs of one linked mention goes to a partner without any, as source Extended.
+    """
+    open_, found, counts = checkpointed(ann), [], {}
+
+    def keep(source: str, hits: DataFrame) -> DataFrame | None:
+        seen = Observation()
+        rows = hits.where("rs is not null").groupBy("ann_id").agg(F.sort_array(F.collect_set(F.col("rs").cast("bigint"))).alias("rs")).select("ann_id", F.lit(source).alias("source"), "rs")
+        kept = checkpointed(rows.observe(seen, F.count("*").alias("n")))
+        counts[source] = counts.get(source, 0) + seen.get["n"]
+        return kept if seen.get["n"] else None
+
+    for source, find in stages:
+        kept = keep(source, find(open_).join(open_.select("ann_id"), "ann_id", "left_semi").select("ann_id", "rs"))
+        if kept is not None:
+            found.append(kept)
+            open_ = checkpointed(open_.join(kept.select("ann_id"), "ann_id", "left_anti"))
+    every = functools.reduce(DataFrame.unionByName, found) if found else None
+    if links is not None and every is not None:
+        given = extend_to_partner(every.select("ann_id", F.explode("rs").alias("rs")), links)
+        kept = keep("Extended", given.join(open_.select("ann_id"), "ann_id", "left_semi"))
+        every = every if kept is None else every.unionByName(kept)
+    if every is None:
+        every = ann.sparkSession.createDataFrame([], "ann_id long, source string, rs array<bigint>")
+    return every, counts
+
+
 def order_rs(lists: DataFrame, rank: DataFrame) -> DataFrame:
     """id, rs lists in descending corpus rank, ties by number (E11). lists: id, rs (array); rank: rs, freq."""
     rows = lists.select("id", F.explode("rs").alias("rs")).join(rank.select("rs", "freq"), "rs", "left")

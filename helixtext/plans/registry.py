@@ -463,6 +463,42 @@ def normalize_cascade(spark, sf_dir):
     return out.select("ann_id", "source", F.array_join(F.col("rs").cast("array<string>"), ",").alias("rs"))
 
 
+# Eight sources: three known tables, four joins, and partners; the first that finds anything wins.
+STAGED = """
+known as (select ann_id, 500000 + ann_id % 97 * 1000 + ann_id % 1000 rs, case ann_id % 97 when 0 then 'Pattern' when 1 then 'Recognized' else 'Foundbefore' end source, ann_id % 97 + 1 r from fx_ann where etype = 'ProteinMutation' and ann_id % 97 < 3),
+every as (select * from known
+ union all select distinct a.ann_id, h.rs, 'Mapping' source, 4 r from fx_ann a join fx_history h on a.ident = h.form join fx_ann g on g.doc_id = a.doc_id and g.etype = 'Gene' and g.ident = h.gene where a.etype = 'ProteinMutation'
+ union all select distinct ann_id, h.rs, 'SNPinText', 5 from h join fx_rs_rows s on s.line = 1 and s.doc_id = h.doc_id and s.rs = h.rs
+ union all select distinct ann_id, h.rs, 'RefSeq', 6 from h where rs % 7 = 0 and exists (select 1 from fx_ann d where d.etype = 'Gene' and d.doc_id = h.doc_id and cast(d.ident as int) % 5 = h.rs % 5)
+ union all select ann_id, rs, source, 7 from bg),
+best as (select ann_id, min(r) r from every group by ann_id),
+direct as (select distinct ann_id, rs, source from every join best using (ann_id, r)),
+pairs as (select * from (select min(ann_id) over (partition by doc_id) a, ann_id b from fx_ann where etype = 'ProteinMutation') x where b % 5 = 3 and a <> b),
+links as (select a, b from pairs union select b, a from pairs),
+whole as (select * from direct union all select distinct l.b, d.rs, 'Extended' from links l join direct d on d.ann_id = l.a where l.b not in (select ann_id from direct))
+"""
+
+
+@query(f"with {BY_GENE}, {STAGED} select ann_id, min(source) source, string_agg(cast(rs as string), ',' order by rs) rs from whole group by ann_id")
+def normalize_staged(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    a, g = _variants(x), _genes(x)
+    known = a.where("ann_id % 97 < 3").select("ann_id", (500000 + F.col("ann_id") % 97 * 1000 + F.col("ann_id") % 1000).alias("rs"))
+    refs = x.fx_gene2rs.where("rs % 7 = 0").select("rs", F.concat(F.lit("NM_"), (F.col("rs") % 5).cast("string")).alias("refseq"))
+    mentioned = g.select("doc_id", F.concat(F.lit("NM_"), (F.col("gene").cast("int") % 5).cast("string")).alias("refseq"))
+    links = a.select(F.min("ann_id").over(Window.partitionBy("doc_id")).alias("ann_a"), F.col("ann_id").alias("ann_b")).where("ann_b % 5 = 3 and ann_a <> ann_b")
+    hits = lambda open_: normalize.match_var2rs(open_, x.fx_var2rs)
+    stages = [(source, lambda open_, k=k: known.where(F.col("ann_id") % 97 == k)) for k, source in enumerate(("Pattern", "Recognized", "Foundbefore"))]
+    stages += [
+        ("Mapping", lambda open_: normalize.match_history(open_, g, x.fx_history)),
+        ("SNPinText", lambda open_: normalize.match_rs_in_text(hits(open_), _snps(x))),
+        ("RefSeq", lambda open_: normalize.match_refseq(hits(open_), refs, mentioned)),
+        ("GeneNormalized", lambda open_: normalize.match_by_gene(open_, g, hits(open_), x.fx_gene2rs)),
+    ]
+    out, _ = normalize.resolve_in_stages(a, stages, links)
+    return out.select("ann_id", "source", F.array_join(F.col("rs").cast("array<string>"), ",").alias("rs"))
+
+
 _DROP = [
     ("(regexp_full_match(m, '[ISQMNPKDFHLRWVEYX]') or regexp_full_match(w, '[ISQMNPKDFHLRWVEYX]')) and regexp_full_match(p, '[6-9][0-9]{3,}')", "position too large"),
     ("m = '' and t = '' and f = '' and p = ''", "no position"),
@@ -973,6 +1009,17 @@ def strip_provenance(spark, sf_dir):
 # --- reports ---------------------------------------------------------------
 
 
+@query("""
+with v as (select doc_id, m1 mention, case when regexp_full_match(substr(m1, 1, 1) || right(m1, 1), '[ACGT]{2}') then 'DNAMutation' else 'ProteinMutation' end etype from fx_docs
+ union all select doc_id, m2, 'DNAMutation' from fx_docs union all select doc_id, m3, 'SNP' from fx_docs)
+select mention, etype, case when mention like 'c.%' then mention when etype = 'SNP' then '' when etype = 'DNAMutation' then concat('c.', substr(mention, 2, length(mention) - 2), left(mention, 1), '>', right(mention, 1)) else concat('p.', mention) end hgvs,
+ '' gene, count(*) n, count(distinct doc_id) n_docs, array_to_string(list_sort(list(distinct doc_id)), ',') docs from v group by all
+""")
+def variant_summary_of_documents(spark, sf_dir):
+    found = canon.variants_of(Inputs(spark, sf_dir).fx_docs.select("doc_id", "text"))
+    return report.variant_summary(found.withColumn("gene", F.lit("")))
+
+
 @query("""
 select mention, etype, concat('p.', mention) hgvs, '' gene, count(*) n, count(distinct doc_id) n_docs, array_to_string(list_sort(list(distinct doc_id)), ',') docs from fx_ann where etype = 'ProteinMutation' group by mention, etype
 """)
