@@ -48,8 +48,6 @@ BURST = 1 << 17
 MOST_SEQUENCES = 2_500_000
 #: Bytes of text that are split at once.
 WINDOW = 1 << 20
-#: Parts that one prefix is dealt to.
-SPREAD = 1024
 #: Bits of the table for each frequent sequence, and the fewest and most in all (16 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 27
 RUNS = "lang string, head string, tail string, f long"
@@ -351,9 +349,9 @@ def runs(docs: DataFrame, n: int, frequent: BitTable | None = None) -> DataFrame
 
 
 def merged(found: DataFrame, least: int) -> DataFrame:
-    """The runs added up by prefix partition; what is at least so frequent, and the totals."""
-    dealt = found.withColumn("part", F.pmod(F.xxhash64("tail"), F.lit(SPREAD)).cast("int")).repartition("lang", "head", "part")
-    total = dealt.groupBy("lang", "head", "part", "tail").agg(F.sum("f").alias("f"))
+    """The runs added up by partition of prefix and tail; what is at least so frequent, and the totals."""
+    dealt = found.repartition("lang", "head", "tail")
+    total = dealt.groupBy("lang", "head", "tail").agg(F.sum("f").alias("f"))
     return total.where(F.col("tail").isNull() | (F.col("f") >= least)).select("lang", "head", "tail", "f")
 
 
