@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from helixtext.functions import variants
 from helixtext.functions.shared import checkpointed
+from helixtext.sources.store import Store
 
 #: Provenance in order of trust.
 SOURCES = ("Pattern", "Recognized", "Foundbefore", "Mapping", "SNPinText", "RefSeq", "GeneNormalized", "Extended")
@@ -41,6 +42,18 @@ def candidate_forms(ann: DataFrame, kinds: tuple[str, ...] = ("direct", "reverse
     return ann.select("ann_id", "doc_id", "ident").join(forms.where(F.col("kind").isin(*kinds)), "ident")
 
 
+def forms_asked(ann: DataFrame) -> DataFrame:
+    """ident, kind, form_rank, form: all forms of each distinct identifier but those beside it."""
+    forms = ann.select("ident").distinct().select("ident", F.explode(variants.lookup_forms(F.col("ident"))).alias("f"))
+    return forms.select("ident", F.col("f.kind").alias("kind"), F.col("f.rank").alias("form_rank"), F.col("f.key").alias("form")).where("kind <> 'beside'")
+
+
+def best_forms(ann: DataFrame, met: DataFrame) -> DataFrame:
+    """ann_id, doc_id, rs and the best kind of form that led to it. met: ident, kind, form_rank, rs."""
+    hits = met.groupBy("ident", "rs").agg(F.min("form_rank").alias("form_rank"), F.min_by("kind", "form_rank").alias("kind"))
+    return ann.select("ann_id", "doc_id", "ident").join(hits, "ident").select("ann_id", "doc_id", "rs", "kind", "form_rank")
+
+
 def match_var2rs(ann: DataFrame, var2rs: DataFrame, protein_change: DataFrame | None = None) -> DataFrame:
     """Dictionary hits of all forms with the kind of form they came by (E3). var2rs and protein_change: form, rs.
 
@@ -48,14 +61,34 @@ def match_var2rs(ann: DataFrame, var2rs: DataFrame, protein_change: DataFrame |
     With a dictionary of protein changes its direct and reversed hits rank 3 and 4,
     before the protein form of a coding change, which then is 5.
     """
-    forms = ann.select("ident").distinct().select("ident", F.explode(variants.lookup_forms(F.col("ident"))).alias("f")).select("ident", F.col("f.kind").alias("kind"), F.col("f.rank").alias("form_rank"), F.col("f.key").alias("form")).where("kind <> 'beside'")
+    forms = forms_asked(ann)
     met = forms.join(var2rs.select("form", "rs"), "form")
     if protein_change is not None:
         changes = forms.where(F.col("kind").isin("direct", "reversed")).join(protein_change.select("form", "rs"), "form")
         changes = changes.withColumns({"kind": F.when(F.col("kind") == "direct", "protein change").otherwise("reversed protein change"), "form_rank": F.col("form_rank") + 3})
         met = met.withColumn("form_rank", F.when(F.col("kind") == "protein", 5).otherwise(F.col("form_rank"))).unionByName(changes)
-    hits = met.groupBy("ident", "rs").agg(F.min("form_rank").alias("form_rank"), F.min_by("kind", "form_rank").alias("kind"))
-    return ann.select("ann_id", "doc_id", "ident").join(hits, "ident").select("ann_id", "doc_id", "rs", "kind", "form_rank")
+    return best_forms(ann, met)
+
+
+def match_stored(ann: DataFrame, store: Store) -> DataFrame:
+    """``match_var2rs`` on a stored dictionary: only asked forms move, only the parts they can be in are read."""
+    return best_forms(ann, store.forms(checkpointed(forms_asked(ann))))
+
+
+def describe_rs(rs: DataFrame, store: Store) -> DataFrame:
+    """rs, resolved, status, gene, human_gene, tax, chromosome of each distinct rs, from the stored tables.
+
+    Gene and chromosome are those of the resolved rs, the species is that of its own gene, not of
+    the human one. Null where nothing is known; of several the least counts. A null rs is left out.
+    """
+    status = resolve_rs_status(rs.select("rs").where("rs is not null").distinct(), store.read("merged").withColumnRenamed("rs", "origin"), store.read("expired"))
+    of = {t: store.read(t).groupBy("rs").agg(F.min(c).alias(c)).withColumnRenamed("rs", "resolved") for t, c in (("rs2gene", "gene"), ("chromosome", "chromosome"))}
+    facts = status.join(of["rs2gene"], "resolved", "left").join(of["chromosome"], "resolved", "left")
+    # genes once each, so that one with many rs is not sent to one bucket with all of them
+    genes = facts.select("gene").where("gene is not null").distinct()
+    human = to_human_gene(genes, store.read("homolog"), store.read("ortholog")).select(F.coalesce("original_gene", "gene").alias("gene"), F.col("gene").alias("human_gene"))
+    tax = store.read("taxon").groupBy("gene").agg(F.min("tax").alias("tax"))
+    return facts.join(human.join(tax, "gene", "left"), "gene", "left").select("rs", "resolved", "status", "gene", "human_gene", "tax", "chromosome")
 
 
 def match_rs_in_text(hits: DataFrame, snps: DataFrame) -> DataFrame:

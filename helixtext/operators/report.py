@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixtext.functions import lexicon, text
+from helixtext.functions.shared import checkpointed
 
 ENTITY_KEYS = ["doc_id", "start_off", "end_off", "mention", "etype"]
 
@@ -46,20 +47,30 @@ def organism_summary(ann: DataFrame, per_document: bool = False) -> DataFrame:
     return summary(rows, ["mention", "etype", "ident"], per_document)
 
 
+def numbered(rows: DataFrame, group: str, order: list[str], name: str, parts: int | None = None) -> DataFrame:
+    """The rows with their number in each group, from 1, in an order; no task holds a group.
+
+    Rows are sorted over ranges and written once, then counted: one row for each range and
+    group in it tells how many come before. group is never null and has few values (a
+    kind, not an id): ranges and groups bound what is broadcast. Of equal rows each has a number.
+    """
+    width = [parts] if parts else []
+    dealt = rows.repartitionByRange(*width, group, *order).sortWithinPartitions(group, *order)
+    placed = checkpointed(dealt.withColumn("_at", F.monotonically_increasing_id())).withColumn("_range", F.shiftright("_at", 33))
+    counts = placed.groupBy(group, "_range").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(group, "_range", (F.coalesce(before, F.lit(0)) + 1 - F.col("first")).alias("_move"))
+    return placed.join(F.broadcast(starts), [group, "_range"]).select(*rows.columns, (F.col("_at") + F.col("_move")).alias(name))
+
+
 def document_index(docs: DataFrame, ann: DataFrame) -> DataFrame:
     """Keys m1… and s1…, label, category, number of annotations (G6). docs: doc_id, rel (path)."""
     category = text.path_category(F.col("rel"))
-    main = category == "Main Publication"
+    kind = F.when(category == "Main Publication", "m").otherwise("s")
     n = ann.groupBy("doc_id").agg(F.count("*").alias("annotations"))
-    # positions by ranges of the sorted table, so that no single task holds all documents
-    placed = docs.select("doc_id", "rel", category.alias("category"), F.when(main, "m").otherwise("s").alias("kind"), text.path_label(F.col("rel")).alias("label"))
-    bucket = F.substring(F.col("rel"), 1, 12)
-    counts = placed.groupBy("kind", bucket.alias("bucket")).agg(F.count("*").alias("c"))
-    before = Window.partitionBy("kind").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("kind", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("start"))
-    own = Window.partitionBy("kind", "bucket").orderBy("rel", "doc_id")
-    keyed = placed.withColumn("bucket", bucket).withColumn("r", F.row_number().over(own)).join(starts, ["kind", "bucket"])
-    return keyed.join(n, "doc_id", "left").select("doc_id", F.concat("kind", (F.col("start") + F.col("r")).cast("string")).alias("doc_key"), "label", "category", F.coalesce("annotations", F.lit(0)).alias("annotations"))
+    placed = docs.select("doc_id", "rel", category.alias("category"), kind.alias("kind"), text.path_label(F.col("rel")).alias("label"))
+    keyed = numbered(placed, "kind", ["rel", "doc_id"], "number")
+    return keyed.join(n, "doc_id", "left").select("doc_id", F.concat("kind", F.col("number").cast("string")).alias("doc_key"), "label", "category", F.coalesce("annotations", F.lit(0)).alias("annotations"))
 
 
 def display_names(rows: DataFrame, key: str, names: DataFrame) -> DataFrame:

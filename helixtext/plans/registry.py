@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from helixtext.functions import lexicon, text, variants
 from helixtext.functions.shared import shared_path
 from helixtext.operators import associate, canon, chart, documents, layouts, normalize, report, spans
-from helixtext.sources import bioc, knowledge, pubtator
+from helixtext.sources import bioc, knowledge, pubtator, store
 from helixtext.streaming import ingest
 
 from . import fixtures
@@ -1178,6 +1178,48 @@ def load_var2rs(spark, sf_dir):
     return knowledge.explode_var2rs(raw, "test").select("form", "rs", F.array_join("refseqs", "/").alias("refseqs"))
 
 
+# A knowledge base built from lines as they are delivered, stored, and asked.
+STORED = f"""
+{HITS},
+asked as (select distinct rs from h),
+st as (select r.rs, case when e.rs is not null then r.rs else coalesce(m.merged, r.rs) end resolved, case when e.rs is not null then 'expired' when m.merged is not null then 'merged' else 'current' end status
+ from asked r left join (select distinct rs from fx_expired) e on e.rs = r.rs left join (select origin, min(merged) merged from fx_merged group by origin) m on m.origin = r.rs),
+lg as (select rs, min(gene) gene from fx_gene2rs group by rs),
+facts as (select s.rs, resolved, status, g.gene, cast(case when s.resolved % 10 < 9 then s.resolved % 23 + 1 end as string) chromosome from st s left join lg g on g.rs = s.resolved)
+select ann_id, h.rs, form_rank, resolved, status, gene, case when cast(gene as int) % 4 = 1 then concat('h', gene) when cast(gene as int) % 4 = 3 then concat('o', gene) else gene end human_gene,
+ case when cast(gene as int) % 7 > 0 then cast(9600 + cast(gene as int) % 5 as string) end tax, case when gene is null then null else chromosome end chromosome
+from h join facts f on f.rs = h.rs
+"""
+
+
+def _stored(x: Inputs, buckets: int = 8) -> store.Store:
+    """All tables of a knowledge base, from lines made of the fixtures."""
+    spark, lines = x.spark, lambda d, *c: d.select(F.concat_ws("\t", *[F.expr(e).cast("string") for e in c]).alias("value"))
+    path = shared_path(spark)
+    kb = store.Store(spark, "kb_" + path.rsplit("-", 1)[1], path, buckets)
+    forms = x.fx_var2rs.groupBy(F.col("form").alias("var")).agg(F.array_join(F.collect_list(F.concat(F.col("rs").cast("string"), F.lit("-NM_1/NP_2"))), "|").alias("rs"))
+    genes = x.fx_gene2rs.select("gene").distinct()
+    known = knowledge.explode_gene2rs(x.fx_gene2rs.withColumn("rs", F.col("rs").cast("string")))
+    kb.write("var2rs", knowledge.explode_var2rs(forms, "test"))
+    kb.write("gene2rs", known)
+    kb.write("rs2gene", knowledge.rs2gene(known))
+    kb.write("merged", store.merged_rows(lines(x.fx_merged, "concat('rs', origin)", "merged")))
+    kb.write("expired", store.expired_rows(lines(x.fx_expired, "rs")))
+    kb.write("chromosome", store.chromosome_rows(lines(x.fx_gene2rs, "rs", "case when rs % 10 < 9 then rs % 23 + 1 end")))
+    kb.write("taxon", store.taxon_rows(lines(genes.where("cast(gene as int) % 7 > 0"), "9600 + cast(gene as int) % 5", "gene")))
+    kb.write("ortholog", store.ortholog_rows(lines(genes.where("cast(gene as int) % 2 = 1"), "'9606'", "concat('o', gene)", "'Ortholog'", "'10090'", "gene")))
+    kb.write("homolog", store.homolog_rows(lines(genes, "gene", "concat('g', gene)"), lines(genes, "concat('g', gene)", "case when cast(gene as int) % 4 = 1 then concat('h', gene) else gene end")))
+    return kb
+
+
+@query(f"with {STORED}")
+def stored_knowledge(spark, sf_dir):
+    x = Inputs(spark, sf_dir)
+    kb = _stored(x)
+    hits = normalize.match_stored(_variants(x), kb)
+    return hits.join(normalize.describe_rs(hits, kb), "rs").select("ann_id", "rs", "form_rank", "resolved", "status", "gene", "human_gene", "tax", "chromosome")
+
+
 @query("select distinct rs, gene from fx_gene2rs")
 def load_gene2rs(spark, sf_dir):
     raw = Inputs(spark, sf_dir).fx_gene2rs.groupBy("gene").agg(F.array_join(F.collect_list(F.col("rs").cast("string")), "|").alias("rs"))
