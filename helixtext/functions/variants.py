@@ -187,11 +187,20 @@ def render_hgvs(ident: Column, style: str = "normaliser") -> Column:
     return F.when((v["vtype"] == "SUB") & (v["pos"] == ""), "").otherwise(F.coalesce(out, F.lit("")))
 
 
-def render_hgvs_item(item: Column) -> Column:
-    """One item of a normalised list: rs ids as they are, a last ``,X`` removed, a frame shift without place shortened."""
-    bare = F.regexp_replace(item, ",X$", "")
-    name = render_hgvs(bare, "converter")
-    return F.when(F.lower(item).rlike("^rs[0-9]+$"), item).otherwise(F.regexp_replace(name, "fsX$", "fs"))
+def without_alternative(x: Column) -> Column:
+    """An identifier without a single capital behind a comma at its end."""
+    return F.regexp_replace(x, ",[A-Z]$", "")
+
+
+def render_hgvs_item(item: Column, original: Column) -> Column:
+    """The name of one normalised identifier (D11): rs ids stay, a frame shift with its place and both residues ends in fsX and the distance, one with less is the original mention.
+
+    Empty where an identifier has no name; null stays null. Give columns, not long expressions: item is read many times.
+    """
+    v = parse_identifier(item)
+    level = F.when(v["seq"] == "", "p").otherwise(v["seq"])
+    shift = F.when(F.size(F.split(item, r"\|")) >= 5, F.concat(level, F.lit("."), v["wild"], v["pos"], v["mut"], F.lit("fsX"), v["fs_pos"])).otherwise(original)
+    return F.when(item.rlike("^rs[0-9]+$"), item).when((v["vtype"] == "FS") & level.isin("p", "c", "g"), shift).otherwise(render_hgvs(item, "converter"))
 
 
 def lookup_forms(ident: Column) -> Column:

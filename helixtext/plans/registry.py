@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -719,10 +720,15 @@ def token_features(spark, sf_dir):
     return documents.token_features(documents.tokenize(d), spans.tag_hgvs(d))
 
 
-@query("select mention, 3 tokens, true continues from (select distinct mention from fx_ann) x")
+@query("""
+with m as (select distinct mention, w, p, u from fx_ann),
+t as (select mention, 1 k, w token, '' before, p after from m union all select mention, 2, p, w, u from m union all select mention, 3, u, p, '' from m)
+select mention, k, token, 'O' level, case when token = 'D' then 'type' else 'O' end type_word, case when k = 2 then 'O' when token in ('A', 'C', 'G', 'T') then 'base' else 'residue' end symbol,
+ 'O' region, 'O' shift, case when k = 2 then 'number' else 'O' end place, 'O' place_word, 'O' rs, before, after from t
+""")
 def mention_token_features(spark, sf_dir):
     f = documents.mention_token_features(Inputs(spark, sf_dir).fx_ann.select("mention"))
-    return f.groupBy("mention").agg(F.count("*").cast("int").alias("tokens"), F.max(F.col("place") == "number").alias("continues"))
+    return f.withColumn("k", F.row_number().over(Window.partitionBy("mention").orderBy("tok_no"))).drop("tok_no")
 
 
 @query("""
@@ -791,11 +797,21 @@ def cap_rows_per_sheet(spark, sf_dir):
     return documents.cap_rows_per_sheet(rows, F.col("o"), 100).select("file", "sheet_no", "row_no", F.substring("tab", 5, 2).alias("tab"), "id")
 
 
-@query()
+# Of each second mention one component is written otherwise than in the text.
+@query("""
+with x as (select doc_id, cast(m_start as int) o, m1, length(m1) n, cast(doc_id as bigint) % 2 k from fx_docs)
+select doc_id, substr(m1, 1, 1) token, o start_off, o + 1 end_off, 'W' label from x
+union all select doc_id, substr(m1, 2, n - 2), o + 1, o + n - 1, case when k = 0 then 'P' else 'I' end from x
+union all select doc_id, substr(m1, n, 1), o + n - 1, o + n, 'M' from x
+union all select doc_id, concat('missing ', substr(m1, 2, n - 2), '?'), o, null, 'P' from x where k = 1
+""")
 def project_component_labels(spark, sf_dir):
     d = Inputs(spark, sf_dir).fx_docs
-    gold = d.select("doc_id", F.col("m_start").cast("int").alias("start_off"), (F.col("m_start") + F.length("m1")).cast("int").alias("end_off"), F.col("m1").alias("mention"), F.substring("m1", 1, 1).alias("w"), F.expr("substr(m1, 2, length(m1) - 2)").alias("p"), F.expr("right(m1, 1)").alias("m"), *[F.lit("").alias(x) for x in "atfsdr"])
-    return spans.project_component_labels(gold, documents.tokenize(d)).where("label <> 'O'")
+    place = F.expr("concat(substr(m1, 2, length(m1) - 2), if(cast(doc_id as bigint) % 2 = 1, '?', ''))")
+    gold = d.select("doc_id", F.col("m_start").cast("int").alias("start_off"), (F.col("m_start") + F.length("m1")).cast("int").alias("end_off"), F.col("m1").alias("mention"), F.substring("m1", 1, 1).alias("w"), place.alias("p"), F.expr("right(m1, 1)").alias("m"), *[F.lit("").alias(x) for x in "atfsdr"])
+    labelled = spans.project_component_labels(gold, documents.tokenize(d)).where("label <> 'O'").select("doc_id", "token", "start_off", "end_off", "label")
+    missing = spans.missing_components(gold).select("doc_id", F.concat(F.lit("missing "), "value").alias("token"), "start_off", F.lit(None).cast("int").alias("end_off"), "label")
+    return labelled.unionByName(missing)
 
 
 @query("select doc_id, substr(m1, length(m1), 1) w, substr(m1, 1, 1) m from fx_docs")
@@ -1243,6 +1259,102 @@ def build_lexicon(spark, sf_dir):
     return knowledge.build_lexicon(rows, part.where("p_partkey % 9 = 0").select(F.col("p_name").alias("name")))
 
 
+# Rows of identifiers of each kind, of rs numbers, and lines that are no rows.
+HGVS_LINES = """
+select n, k, pmid, pmcid, mention, w, p, u, case k when 0 then concat('p|SUB|', w, '|', p, '|', u) when 1 then concat('rs', p) when 2 then concat('c|SUB|', w, '|', p, '|', u, ',A') when 3 then concat('g|INS|', p, '|', u)
+  when 4 then concat('p|DEL|', p, '|', u) when 5 then concat('p|FS|', w, '|', p, '|', u, '|3') when 6 then concat('c|FS|', w, '|', p, '|', u) when 7 then concat('|FS|', w) when 8 then concat('c|DUP|', p, '||')
+  when 9 then concat('|SUB|', w, '|', p, '|', u) when 10 then concat('|INDEL|', p, '_', p, '|', u) when 11 then concat('|Allele|', w, '|', p) else '' end norm
+from (select ann_id n, ann_id % 13 k, doc_id pmid, concat('PMC', cast(ann_id as string)) pmcid, mention, w, p, u from fx_ann where etype = 'ProteinMutation') x
+"""
+
+
+@query(f"""
+with l as ({HGVS_LINES})
+select case when k = 12 then concat('a line of ', mention) else concat(pmid, chr(9), pmcid, chr(9), case k when 0 then concat('p.', w, p, u) when 1 then concat('rs', p) when 2 then concat('c.', p, w, '>', u)
+ when 3 then concat('g.', p, 'ins', u) when 4 then concat('p.', p, 'del', u) when 5 then concat('p.', w, p, u, 'fsX3') when 6 then concat('c.', w, p, u, 'fsX') when 7 then concat(mention, '|', p) when 8 then concat('c.', p, 'dup')
+ when 9 then concat('c.', p, w, '>', u) when 10 then concat('c.', p, '_', p, 'delins', u) else '' end, chr(9), mention, '|', p) end "value" from l
+""")
+def convert_hgvs_rows(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    rows = spark.sql(HGVS_LINES.replace("fx_ann", "{fx_ann}"), fx_ann=x.fx_ann)
+    tab = F.lit("\t")
+    line = F.concat("pmid", tab, "pmcid", tab, "norm", tab, "mention", F.lit(",B|"), "p", F.lit(",C"), tab, F.lit("more"))
+    rows.select(F.when(F.col("k") == 12, F.concat(F.lit("a line of "), "mention")).otherwise(line).alias("value")).write.text(f"{path}/in")
+    knowledge.convert_hgvs_rows(spark, f"{path}/in", f"{path}/out")
+    return spark.read.text(f"{path}/out")
+
+
+# Word lists as files, made of the parts' table.
+@query("""
+with a as (select p_partkey k, p_name, p_size, p_type from part)
+select distinct 'stop' list, p_name a, '' b, '' c from a
+union all select 'pairs', x, y, '' from (select substr('ACDEFGHIKL', cast(k % 10 + 1 as int), 1) x, substr('MNPQRSTVWY', cast(p_size % 10 + 1 as int), 1) y from a) z group by x, y
+union all select 'pairs', y, x, '' from (select substr('ACDEFGHIKL', cast(k % 10 + 1 as int), 1) x, substr('MNPQRSTVWY', cast(p_size % 10 + 1 as int), 1) y from a) z group by x, y
+union all select distinct 'codon', substr('ACDEFGHIKL', cast(k % 10 + 1 as int), 1), 'Y', concat(substr('ACGT', cast(k % 4 + 1 as int), 1), 'T') from a
+union all select distinct 'types', concat('WORD', cast(p_size as string)), 'DEL', '' from a
+union all select 'fused', concat('gene', cast(k as string), cast(p_size as string), 'x'), 'DNAMutation', concat('c|SUB|C|', cast(p_size as string), '|T') from a
+""")
+def load_lexicons(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    part = x.part.select(F.col("p_partkey").alias("k"), "p_name", F.col("p_size").cast("string").alias("size"))
+    one, other = F.expr("substr('ACDEFGHIKL', cast(k % 10 + 1 as int), 1)"), F.expr("substr('MNPQRSTVWY', cast(size % 10 + 1 as int), 1)")
+
+    def put(name, *values):
+        part.select(F.explode(F.array(*[F.concat(*v) for v in values])).alias("value")).write.text(f"{path}/{name}")
+        return f"{path}/{name}"
+
+    node, tab = F.col("k").cast("string"), F.lit("\t")
+    files = [
+        put("stop", [F.col("p_name")], [F.lit("")]),
+        put("pairs", [one, F.lit(" "), other, F.lit("  -7")], [F.lit("lone")]),
+        put("codon", [F.lit("aa_w\taa_m\tnu_w\tnu_m")], [one, F.lit("\tY\t"), F.expr("substr('ACGT', cast(k % 4 + 1 as int), 1)"), F.lit("\tT")]),
+        put("types", [F.lit("word"), F.col("size"), F.lit("\tDEL\tM")]),
+        put("fused", [node, tab, F.lit("gene"), node], [node, F.lit("-1\t"), F.col("size")], [node, F.lit("-1-1\tx\tDNAMutation\tc|SUB|C|"), F.col("size"), F.lit("|T")]),
+    ]
+    lists, none = knowledge.load_lexicons(spark, *files), F.lit("")
+    shown = {"stop": ["mention", none, none], "pairs": ["a", "b", none], "codon": ["aa_w", "aa_m", F.concat("nu_w", "nu_m")], "types": ["word", "vtype", none], "fused": ["key", "etype", "ident"]}
+    frames = [lists[n].select(F.lit(n).alias("list"), *[(F.col(c) if isinstance(c, str) else c).alias(a) for a, c in zip("abc", cs, strict=True)]) for n, cs in shown.items()]
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+@query("select n_nationkey nation, octet_length(encode(n_name)) + 1 size from nation")
+def file_inventory(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    x.nation.select(F.col("n_nationkey").alias("nation"), "n_name").repartition("nation").write.partitionBy("nation").text(path)
+    found = knowledge.file_inventory(spark, path, "*.txt")
+    return found.select(F.regexp_extract("path", "nation=([0-9]+)", 1).cast("bigint").alias("nation"), F.col("size").cast("bigint").alias("size"))
+
+
+@query("""
+select 'gene' kind, cast(p_partkey as string) id, p_name "name" from part where p_partkey % 7 > 1
+union all select 'taxon', cast(s_suppkey as string), s_name from supplier
+""")
+def read_names(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    shown = F.when(F.col("p_partkey") % 7 == 0, "NEWENTRY").when(F.col("p_partkey") % 7 == 1, "-").otherwise(F.col("p_name"))
+    x.part.select(F.explode(F.array(F.lit("#tax\tid\tsymbol"), F.concat_ws("\t", F.lit("9606"), F.col("p_partkey").cast("string"), shown, F.lit("more")))).alias("value")).write.option("compression", "gzip").text(f"{path}/genes")
+    x.supplier.select(F.concat_ws("\t", F.col("s_suppkey").cast("string"), "s_name").alias("value")).write.text(f"{path}/taxa")
+    genes, taxa = knowledge.read_gene_info(spark, f"{path}/genes"), knowledge.read_taxon_names(spark, f"{path}/taxa")
+    return genes.select(F.lit("gene").alias("kind"), "id", "name").unionByName(taxa.select(F.lit("taxon").alias("kind"), "id", "name"))
+
+
+# Articles as XML: a title, two paragraphs that are the text, a figure whose caption repeats its head or not, a table.
+@query("""
+with d as (select cast(doc_id as string) id, doc_id % 2 k, trim(regexp_replace(coalesce(text, ''), '[^A-Za-z]+', ' ', 'g')) t from documents),
+p as (select id, 'title' ptype, concat('Article ', id) text from d union all select id, 'body', concat('Begin ', t, ' end Next ', id) from d
+ union all select id, 'fig_caption', case when k = 0 then 'Fig shows' else 'Fig A plot' end from d union all select id, 'table', concat('a b c ', id) from d)
+select ptype, text, count(*) n from p group by ptype, text
+""")
+def tei_to_passages(spark, sf_dir):
+    x, path = Inputs(spark, sf_dir), shared_path(spark)
+    clean = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]+", " "))
+    d = x.documents.select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("doc_id") % 2 == 0, "Fig shows").otherwise("A plot").alias("caption"), clean.alias("t"))
+    xml = "<TEI><teiHeader><fileDesc><titleStmt><title>Article %s</title></titleStmt></fileDesc></teiHeader><text><body><div><head>H</head><p>Begin %s end</p><p>Next %s</p></div><figure><head>Fig</head><figDesc>%s</figDesc><table><row><cell>a</cell><cell>b</cell></row><row><cell>c</cell><cell>%s</cell></row></table></figure></body></text></TEI>"
+    articles = d.select(F.from_xml(F.format_string(xml, "id", "t", "id", "caption", "id"), bioc.TEI_SCHEMA, {"rowTag": "TEI"}).alias("x")).select("x.*")
+    articles.write.format("xml").option("rootTag", "teiCorpus").option("rowTag", "TEI").save(path)
+    return bioc.tei_to_passages(spark, path).groupBy("ptype", "text").agg(F.count("*").alias("n"))
+
+
 @query("select label, step_name, cast(chars as string) chars, '' runtime from fx_stats")
 def step_stats_roundtrip(spark, sf_dir):
     path = shared_path(spark)
