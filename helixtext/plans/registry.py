@@ -1208,7 +1208,7 @@ from h join facts f on f.rs = h.rs
 """
 
 
-def _stored(x: Inputs, buckets: int = 8) -> store.Store:
+def _stored(x: Inputs, buckets: int = 4) -> store.Store:
     """All tables of a knowledge base, from lines made of the fixtures."""
     spark, lines = x.spark, lambda d, *c: d.select(F.concat_ws("\t", *[F.expr(e).cast("string") for e in c]).alias("value"))
     path = shared_path(spark)
