@@ -76,9 +76,13 @@ MIXED = re.compile(rf"(?<![^\W_])\+?{_TOKEN}(?:{_SEP}\+?{_TOKEN})++", re.IGNOREC
 SPELLED_WORD = re.compile(rf"(?<![^\W_])(?:{_DIGIT}|{'|'.join(PLUS_WORDS)})(?![^\W_])", re.IGNORECASE)
 _OPEN, _CLOSE = r"[ ]{0,2}[\[({<][ ]?", r"[ ]?[\])}>][ ]{0,2}"
 AT_MARK = rf"(?:{_OPEN}(?:{_AT}|@){_CLOSE}|[ ]+(?:{_AT}|@)[ ]+|[ ]+@|@[ ]+|@)"
+_HIDDEN_DOT = rf"(?:{_OPEN}(?:{_DOT}){_CLOSE}|[ ]+(?:{_DOT})[ ]+)"
 DOT_MARK = rf"(?:{_OPEN}(?:{_DOT}|\.){_CLOSE}|[ ]+(?:{_DOT})[ ]+|\.)"
-# a disguised dot at least, or a disguised "at"; local part and labels are tried from their starts
-ADDRESS = re.compile(rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++(?:(?:{_OPEN}(?:{_DOT}){_CLOSE}|[ ]+(?:{_DOT})[ ]+)[A-Za-z0-9._%+-]++)*)({AT_MARK})([A-Za-z0-9-]++)((?:{DOT_MARK}[A-Za-z0-9-]++)+)", re.IGNORECASE)
+_LOCAL = "[A-Za-z0-9._%+-]"
+# an "at" after a local part, with the domain behind it; what links two words of a local part. Local parts are found
+# backwards from the "at", since tried forwards a row of dots would be walked again from each of its words
+FROM_AT = re.compile(rf"(?<={_LOCAL})({AT_MARK})([A-Za-z0-9-]++)((?:{DOT_MARK}[A-Za-z0-9-]++)+)", re.IGNORECASE | re.ASCII)
+LINK = re.compile(rf"(?<={_LOCAL})(?=({_HIDDEN_DOT}){_LOCAL})", re.IGNORECASE | re.ASCII)
 NUMBER_DOTS = re.compile(rf"(?<![0-9])[0-9]++(?:{DOT_MARK}[0-9]++){{3}}", re.IGNORECASE)
 PART = re.compile(DOT_MARK, re.IGNORECASE)
 # a full stop with a blank behind it alone ends a sentence
@@ -311,31 +315,61 @@ def spelled_edits(text: str) -> list[Edit]:
     return [e for _, edits in sorted(found) for e in edits]
 
 
+def addresses(text: str) -> Iterator[tuple[int, re.Match]]:
+    """The start of each local part and the match of the rest, by their "at" from left to right, none overlapping.
+
+    A word of a local part has one "at" it can lead to, so all walks together are linear in the text.
+    """
+    before: dict[int, int] | None = None
+    done, found = 0, FROM_AT.search(text)
+    while found:
+        if before is None:
+            before = {m.end(1): m.start() for m in LINK.finditer(text)}
+        start = end = found.start()
+        while end is not None:
+            word = end
+            while word > done and text[word - 1] in LOCAL:
+                word -= 1
+            # a word that the last address has a part of is none
+            if word == end or word == done and word and text[word - 1] in LOCAL:
+                break
+            start = word
+            end = before.get(word)
+            if end is not None and end <= done:
+                break
+        if start < found.start():
+            yield start, found
+            done = found.end()
+            found = FROM_AT.search(text, done)
+        else:
+            found = FROM_AT.search(text, found.start() + 1)
+
+
 def mark_edits(text: str) -> list[Edit]:
     out: list[Edit] = []
-    done = 0
-    for m in ADDRESS.finditer(text):
-        disguised = m[2] != "@" or any(p[0] != "." for p in PART.finditer(m[4])) or any(p[0] != "." for p in PART.finditer(m[1]))
-        plain_at = m[2].strip().lower() in AT_WORDS
+    for start, m in addresses(text):
+        local = text[start : m.start()]
+        inner = [p for p in PART.finditer(local) if p[0] != "."]
+        parts = list(PART.finditer(m[3]))
+        plain_at = m[1].strip().lower() in AT_WORDS
         # a bare word "at" is only read so before a disguised dot or a usual ending, a bare "dot" only before a usual ending
-        dots = [p[0].strip().lower() for p in PART.finditer(m[4])]
-        ending = m[4].rpartition(".")[2].lower()
-        if not disguised or plain_at and set(dots) == {"."} and (ending not in ENDINGS or m[1].lower() in NO_LOCAL):
+        dots = [p[0].strip().lower() for p in parts]
+        ending = m[3].rpartition(".")[2].lower()
+        disguised = m[1] != "@" or inner or any(p[0] != "." for p in parts)
+        if not disguised or plain_at and set(dots) == {"."} and (ending not in ENDINGS or local.lower() in NO_LOCAL):
             continue
-        if plain_at and any(d in DOT_WORDS for d in dots) and m[4].rpartition(" ")[2].rpartition(".")[2].lower() not in ENDINGS:
+        if plain_at and any(d in DOT_WORDS for d in dots) and m[3].rpartition(" ")[2].rpartition(".")[2].lower() not in ENDINGS:
             continue
-        for p in PART.finditer(m[1]):
-            if p[0] != ".":
-                out.append((m.start(1) + p.start(), m.start(1) + p.end(), "."))
-        out.append((m.start(2), m.end(2), "@"))
-        for p in PART.finditer(m[4]):
-            if p[0] != ".":
-                out.append((m.start(4) + p.start(), m.start(4) + p.end(), "."))
-        done = m.end()
+        out += [(start + p.start(), start + p.end(), ".") for p in inner]
+        out.append((m.start(1), m.end(1), "@"))
+        out += [(m.start(3) + p.start(), m.start(3) + p.end(), ".") for p in parts if p[0] != "."]
+    numbers, at = [], 0
     for m in NUMBER_DOTS.finditer(text):
-        if m.start() >= done or not any(a < m.end() and b > m.start() for a, b, _ in out):
-            out += [(m.start() + p.start(), m.start() + p.end(), ".") for p in PART.finditer(m[0]) if p[0] != "."]
-    return sorted(out)
+        while at < len(out) and out[at][1] <= m.start():
+            at += 1
+        if at == len(out) or out[at][0] >= m.end():
+            numbers += [(m.start() + p.start(), m.start() + p.end(), ".") for p in PART.finditer(m[0]) if p[0] != "."]
+    return sorted(out + numbers)
 
 
 def hidden_spans(text: str) -> list[tuple[str, int, int]]:
@@ -363,11 +397,29 @@ def hidden_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def added_spans(base: list[tuple[str, int, int]], hidden: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The hidden spans that meet no plain one of their kind but such as lie in them; each kind is one merge of two sorted lists."""
+    out = []
+    for kind in KINDS:
+        plain = [(a, b) for k, a, b in base if k == kind]
+        at = 0
+        for a, b in sorted({(a, b) for k, a, b in hidden if k == kind}):
+            while at < len(plain) and plain[at][1] <= a:
+                at += 1
+            last = at
+            while last < len(plain) and plain[last][0] < b:
+                last += 1
+            met = plain[at:last]
+            if not met or a <= met[0][0] and met[-1][1] <= b and met != [(a, b)]:
+                out.append((kind, a, b))
+    return out
+
+
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The plain spans, and those with the disguised ones added."""
     base = plain_spans(text)
-    more = [s for s in hidden_spans(text) if not any(s[0] == k and s[1] < b and a < s[2] and not (s[1] <= a and b <= s[2] and s[1:] != (a, b)) for k, a, b in base)]
-    return base, in_order(base + list(dict.fromkeys(more))) if more else base
+    more = added_spans(base, hidden_spans(text))
+    return base, in_order(base + more) if more else base
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
