@@ -1,7 +1,9 @@
 """What only shows on larger tables than the given ones."""
 
 import duckdb
+from pyspark.sql import functions as F
 
+from helixtext.operators import normalize
 from helixtext.plans import registry
 
 from .test_registry import rows
@@ -13,3 +15,60 @@ def test_patterns_find_numbers_of_any_size(spark, tmp_path):
     con.execute(f"copy documents to '{tmp_path}/documents.parquet'")
     got = registry.queries()["tag_pattern_table"](spark, str(tmp_path)).toPandas()
     assert len(got) == 6 and rows(got) == rows(con.sql(registry.oracle_sql()["tag_pattern_table"]).df())
+
+
+def shuffled(spark, rows):
+    """Records written to shuffles while rows are counted, and the count."""
+    sc = spark.sparkContext
+    new = spark._jvm.java.util.ArrayList
+
+    def total():
+        stages = sc._jsc.sc().statusStore().stageList(new(), False, False, sc._gateway.new_array(spark._jvm.double, 0), new())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = total()
+    spy = rows.groupBy().count().collect()[0][0]
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before, spy
+
+
+ANN = "ann_id long, doc_id string, ident string, mention string, start_off int, end_off int, sentence int"
+
+
+def strategies(spark, ann, forms):
+    """All joins to the knowledge base over forms (ident, rs); every document has every gene, number and RefSeq of rs % 3 < 2."""
+    docs = ann.select("doc_id").distinct()
+    gene = F.concat(F.lit("g"), F.col("rs") % 3)
+    some = forms.where("rs % 3 < 2")
+    genes = docs.crossJoin(some.select(gene.alias("gene")).distinct()).select("doc_id", F.lit(500).alias("start_off"), F.lit(505).alias("end_off"), "gene", F.lit(0).alias("sentence"))
+    reached = forms.withColumn("form_rank", (F.col("rs") % 2).cast("int"))
+    kb = forms.select(F.col("ident").alias("key"), gene.alias("gene"), "rs", F.array(gene).alias("gene_tokens"), F.array().cast("array<string>").alias("species_tokens"))
+    return {
+        "history": normalize.match_history(ann, genes, forms.select(F.col("ident").alias("form"), gene.alias("gene"), "rs")),
+        "text": normalize.match_rs_in_text(ann, reached, docs.crossJoin(some.where("rs % 50 = 0").select("rs").distinct())),
+        "refseq": normalize.match_refseq(ann, reached, forms.select("rs", gene.alias("refseq")), genes.select("doc_id", F.col("gene").alias("refseq"))),
+        "var2gene": normalize.match_var2gene(ann, kb, genes.select("doc_id", F.upper("gene").alias("token"))),
+        "by_gene": normalize.match_by_gene(ann, genes, reached, forms.select(gene.alias("gene"), "rs")),
+    }
+
+
+def test_lists_are_unfolded_behind_the_last_shuffle(spark):
+    ann = spark.range(1200).select("id", F.concat(F.lit("d"), F.col("id") % 4), F.lit("i"), F.lit("M"), F.lit(1), F.lit(3), F.lit(0)).toDF("ann_id", "doc_id", "ident", "mention", "start_off", "end_off", "sentence")
+    forms = spark.range(300).select(F.lit("i").alias("ident"), F.col("id").alias("rs"))
+    for name, rows in strategies(spark, ann, forms).items():
+        moved, n = shuffled(spark, rows)
+        # (100 for the nearest gene are 50 of the best kind; 4 numbers are written in the documents)
+        assert n == 1200 * {"text": 4, "by_gene": 50}.get(name, 200), name
+        assert moved < 15_000, (name, moved)
+
+
+def test_ids_of_several_annotations(spark):
+    rows = [(1, "a", "x", "M", 1, 3, 0), (1, "b", "y", "M", 600, 603, 1), (1, "b", "y", "M", 600, 603, 1), (2, "a", "x", None, 1, 3, 0), (3, "c", None, "Y", 1, 3, 0), (4, "c", "z", "y", 9, 9, 0)]
+    forms = [("x", 50), ("x", 51), ("x", 52), ("y", 50), ("y", 100), ("y", 53), (None, 7), ("q", 8)]
+    found = strategies(spark, spark.createDataFrame(rows, ANN), spark.createDataFrame(forms, "ident string, rs long"))
+    got = {k: sorted(tuple(r) for r in v.drop("source").collect()) for k, v in found.items()}
+    # rs 51 is of gene 0, 52 and 100 of gene 1, 50 and 53 of gene 2, which no document has
+    assert got["history"] == got["refseq"] == [(1, 51), (1, 52), (1, 100), (2, 51), (2, 52)]
+    assert got["text"] == [(1, 100)]
+    assert got["var2gene"] == [(1, "g0", 51), (1, "g1", 52), (1, "g1", 100), (2, "g0", 51), (2, "g1", 52), (3, "g1", 100), (4, "g1", 100)]
+    assert got["by_gene"] == [(1, "g0", 51, 497), (2, "g0", 51, 497)]
