@@ -210,18 +210,23 @@ def variant_edges(ann: DataFrame, found: DataFrame, links: DataFrame, inclusive:
     n - 1 of them: same rs, same (level, type, position); bracket links; and
     protein and coding changes that one base of the codon can turn into one
     another, with ``3(P-1) < pos < 3P`` (up to 3P if inclusive).
+    found: rs by ann_id, or by ident where that alone decides; identifiers that share
+    several rs then meet once, not once for each.
     """
-    v = ann.select("doc_id", "ann_id", "ident").distinct()
     p = variants.parse_identifier(F.col("ident"))
-    nodes = v.select("doc_id", "ident").distinct().select("doc_id", "ident", p["seq"].alias("seq"), p["vtype"].alias("vtype"), p["pos"].alias("pos"), p["wild"].alias("w"), p["mut"].alias("m"))
+    nodes = ann.select("doc_id", "ident").distinct().select("doc_id", "ident", p["seq"].alias("seq"), p["vtype"].alias("vtype"), p["pos"].alias("pos"), p["wild"].alias("w"), p["mut"].alias("m"))
 
     def star(rows: DataFrame, keys: list[str], reason: str) -> DataFrame:
         low = rows.groupBy(*keys).agg(F.min("ident").alias("a"))
         return rows.join(low, keys).where(F.col("ident") != F.col("a")).select("doc_id", "a", F.col("ident").alias("b"), F.lit(reason).alias("reason"))
 
-    by_rs = star(v.join(found.select("ann_id", "rs"), "ann_id").select("doc_id", "ident", "rs").distinct(), ["doc_id", "rs"], "rs")
+    if "ann_id" in found.columns:
+        by_rs = star(ann.select("doc_id", "ann_id", "ident").join(found.select("ann_id", "rs"), "ann_id").select("doc_id", "ident", "rs").distinct(), ["doc_id", "rs"], "rs")
+    else:
+        together = found.where("rs is not null").groupBy("rs").agg(F.sort_array(F.collect_set("ident")).alias("all")).where(F.size("all") > 1).select("all").distinct()
+        by_rs = star(nodes.select("doc_id", "ident").join(together.select("all", F.explode("all").alias("ident")), "ident"), ["doc_id", "all"], "rs")
     place = star(nodes.where("pos <> ''").withColumn("family", F.when(F.col("vtype") == "Allele", "SUB").otherwise(F.col("vtype"))), ["doc_id", "seq", "family", "pos"], "place")
-    name = v.select("ann_id", "doc_id", "ident")
+    name = ann.select("ann_id", "doc_id", "ident").distinct()
     linked = links.join(name.select(F.col("ann_id").alias("ann_a"), F.col("ident").alias("x"), F.col("doc_id").alias("d")), "ann_a").join(name.select(F.col("ann_id").alias("ann_b"), F.col("ident").alias("y")), "ann_b")
     linked = linked.where("x <> y").select(F.col("d").alias("doc_id"), F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.lit("bracket").alias("reason"))
     spark = ann.sparkSession
