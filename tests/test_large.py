@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from helixtext.operators import normalize
+from helixtext.operators import associate, normalize
 from helixtext.plans import registry
 
 from .test_registry import rows
@@ -72,3 +72,36 @@ def test_ids_of_several_annotations(spark):
     assert got["text"] == [(1, 100)]
     assert got["var2gene"] == [(1, "g0", 51), (1, "g1", 52), (1, "g1", 100), (2, "g0", 51), (2, "g1", 52), (3, "g1", 100), (4, "g1", 100)]
     assert got["by_gene"] == [(1, "g0", 51, 497), (2, "g0", 51, 497)]
+
+
+def test_edges_by_identifier(spark):
+    ann = spark.range(1200).select("id", F.concat(F.lit("d"), F.col("id") % 4), F.concat(F.lit("p|SUB|A|"), F.col("id") % 8, F.lit("|C"))).toDF("ann_id", "doc_id", "ident")
+    found = spark.range(300).select(F.explode(F.array(F.lit("p|SUB|A|0|C"), F.lit("p|SUB|A|4|C"), F.lit("other"))).alias("ident"), F.col("id").alias("rs"))
+    none = ann.select(F.col("ann_id").alias("ann_a"), F.col("ann_id").alias("ann_b")).where("false")
+    moved, n = shuffled(spark, associate.variant_edges(ann, found, none))
+    by_ann = associate.variant_edges(ann, ann.join(found, "ident").select("ann_id", "rs"), none)
+    rows = associate.variant_edges(ann, found, none).collect()
+    assert sorted(rows) == sorted(by_ann.collect()) and n == 1 and tuple(rows[0]) == ("d0", "p|SUB|A|0|C", "p|SUB|A|4|C", "rs")
+    assert moved < 15_000, moved
+
+
+def test_stored_facts_are_joined_by_identifier(spark, sf_dir):
+    x = registry.Inputs(spark, sf_dir)
+    ann = spark.range(3000).select(F.col("id").alias("ann_id"), F.lit("d").alias("doc_id"), F.lit("p|SUB|A|1|C").alias("ident"))
+    kb = registry._stored(x, 2)
+    forms = spark.range(100).select(F.lit("p|SUB|A|1|C").alias("form"), F.col("id").alias("rs"), F.array().cast("array<string>").alias("refseqs"))
+    kb.write("var2rs", forms)
+    moved, n = shuffled(spark, normalize.describe_stored(ann, kb))
+    kb.drop()
+    assert n == 300_000 and moved < 20_000, (n, moved)
+
+
+def test_sequences_and_registry_rows_are_asked_once(spark):
+    ann = spark.range(2000).select("id", F.lit("g"), F.concat(F.lit("p|SUB|A|2|"), F.element_at(F.array(F.lit("C"), F.lit("D")), (F.col("id") % 2 + 1).cast("int"))), F.lit(7)).toDF("ann_id", "gene", "ident", "rs")
+    refseq = spark.range(500).select(F.lit("g").alias("gene"), F.format_string("NP_%03d", "id").alias("seqid"), F.lit("p").alias("level"), F.when(F.col("id") % 5 == 0, "MAK").otherwise("MKD").alias("seq"))
+    moved, n = shuffled(spark, normalize.check_sequence(ann, refseq))
+    got = {r[0]: (r[1], r[2]) for r in normalize.check_sequence(ann, refseq).collect()}
+    assert n == 2000 and got[0] == ("NP_495", "Matched-W") and got[1] == ("NP_499", "PlusMatched-M") and moved < 15_000
+    ca = spark.range(100).select(F.lit(7).alias("rs"), F.format_string("CA%03d", "id").alias("ca"), F.lit("c|SUB|G|9|T").alias("dna_form"), F.lit("p|SUB|A|2|C").alias("protein_form"))
+    asked = normalize.assign_registry(ann, ca)
+    assert {r[0]: tuple(r)[1:] for r in asked.collect()} == {i: ("CA000", 2) for i in range(0, 2000, 2)}
