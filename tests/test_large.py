@@ -105,3 +105,34 @@ def test_sequences_and_registry_rows_are_asked_once(spark):
     ca = spark.range(100).select(F.lit(7).alias("rs"), F.format_string("CA%03d", "id").alias("ca"), F.lit("c|SUB|G|9|T").alias("dna_form"), F.lit("p|SUB|A|2|C").alias("protein_form"))
     asked = normalize.assign_registry(ann, ca)
     assert {r[0]: tuple(r)[1:] for r in asked.collect()} == {i: ("CA000", 2) for i in range(0, 2000, 2)}
+
+
+def test_cascades_carry_keys_of_lists(spark):
+    ann = spark.range(1200).select("id", F.concat(F.lit("d"), F.col("id") % 4), F.lit("i"), F.lit("M"), F.lit(1), F.lit(3), F.lit(0)).toDF("ann_id", "doc_id", "ident", "mention", "start_off", "end_off", "sentence")
+    forms = spark.range(300).select(F.lit("i").alias("ident"), F.col("id").alias("rs"))
+    reached = forms.withColumn("form_rank", F.lit(0))
+    genes = ann.select("doc_id").distinct().select("doc_id", F.lit(500).alias("start_off"), F.lit(505).alias("end_off"), F.lit("g").alias("gene"), F.lit(0).alias("sentence"))
+    history = forms.where("rs < 200").select(F.col("ident").alias("form"), F.lit("g").alias("gene"), "rs")
+    by_gene = normalize.by_gene_lists(ann, genes, reached, forms.select(F.lit("g").alias("gene"), "rs"))
+    known = normalize.history_lists(ann.where("ann_id < 600"), genes, history)
+    moved, n = shuffled(spark, normalize.cascade_lists([("Mapping", known), ("GeneNormalized", by_gene)]))
+    assert n == 1200 and moved < 25_000, moved
+    staged, counts = normalize.resolve_in_stages(ann, [("Mapping", lambda o: normalize.history_lists(o.where("ann_id < 600"), genes, history)), ("GeneNormalized", lambda o: by_gene)])
+    moved, n = shuffled(spark, staged)
+    assert n == 1200 and counts == {"Mapping": 600, "GeneNormalized": 600} and moved < 5_000, moved
+    assert {(r.source, len(r.rs)) for r in staged.collect()} == {("Mapping", 200), ("GeneNormalized", 300)}
+
+
+def test_cascade_of_lists_is_that_of_rows(spark):
+    rows = [(1, "a", "x", "M", 1, 3, 0), (1, "b", "y", "M", 600, 603, 1), (1, "b", "y", "M", 600, 603, 1), (2, "a", "x", None, 1, 3, 0), (3, "c", None, "Y", 1, 3, 0), (4, "c", "z", "y", 9, 9, 0), (5, "b", "z", "M", 1, 3, 0)]
+    ann = spark.createDataFrame(rows, ANN)
+    forms = spark.createDataFrame([("x", 50), ("x", 51), ("x", 52), ("y", 50), ("y", 100), ("y", 53), ("z", 60), ("z", None)], "ident string, rs long")
+    reached = forms.where("rs is not null").withColumn("form_rank", (F.col("rs") % 2).cast("int"))
+    genes = spark.createDataFrame([("a", 500, 505, "g0", 0), ("b", 500, 505, "g1", 0), ("c", 1, 2, "g0", 0)], "doc_id string, start_off int, end_off int, gene string, sentence int")
+    history = forms.select(F.col("ident").alias("form"), F.concat(F.lit("g"), F.coalesce(F.col("rs"), F.lit(0)) % 3).alias("gene"), "rs")
+    gene2rs = reached.select(F.concat(F.lit("g"), F.col("rs") % 3).alias("gene"), "rs").distinct()
+    snps = spark.createDataFrame([("b", 60), ("c", 60), ("b", 100)], "doc_id string, rs long")
+    by_rows = normalize.cascade(normalize.match_history(ann, genes, history), normalize.match_rs_in_text(ann, reached, snps), normalize.match_by_gene(ann, genes, reached, gene2rs))
+    found = [("Mapping", normalize.history_lists(ann, genes, history)), ("SNPinText", normalize.in_text_lists(ann, reached, snps)), ("GeneNormalized", normalize.by_gene_lists(ann, genes, reached, gene2rs))]
+    assert sorted(map(tuple, normalize.cascade_lists(found).collect())) == sorted(map(tuple, by_rows.collect())) != []
+    assert sorted(map(tuple, normalize.cascade_lists(found[1:]).collect())) == sorted(map(tuple, normalize.cascade(normalize.match_rs_in_text(ann, reached, snps), normalize.match_by_gene(ann, genes, reached, gene2rs)).collect()))
