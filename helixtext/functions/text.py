@@ -79,7 +79,10 @@ def display_seconds(s: Column) -> Column:
 def parse_details(c: Column) -> Column:
     """``k:v;k:v`` as a map: the first colon splits, parts without one are left out, the last of a key wins."""
     parts = F.filter(F.split(c, ";"), lambda x: x.contains(":"))
-    entries = F.transform(parts, lambda x: F.struct(F.substring_index(x, ":", 1).alias("key"), F.expr("null").cast("string").alias("value")))
     entries = F.transform(parts, lambda x: F.struct(F.substring_index(x, ":", 1).alias("key"), F.substring(x, F.length(F.substring_index(x, ":", 1)) + 2, F.length(x)).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(last)
+
+    def last(all_: Column) -> Column:
+        return F.filter(all_, lambda e, i: ~F.exists(F.slice(all_, i + 2, F.greatest(F.size(all_), F.lit(1))), lambda o: o["key"] == e["key"]))
+
+    # a text is split once, not anew for each of its entries
+    return F.map_from_entries(F.transform(F.array(entries), last)[0])
