@@ -133,27 +133,34 @@ def nearest_gene_sentence(ann: DataFrame, genes: DataFrame) -> DataFrame:
 def mark_finder() -> Callable[..., Column]:
     """A function of a text and spans in it: for each span the bracket that is open at its start, and the first sentence end behind it; -1 for none."""
 
-    def found(texts, starts, ends):
+    def found(batches):
         import re
+        from array import array
         from bisect import bisect_left
 
         import pyarrow as pa
 
-        out = []
-        for text, a, b in zip(*(x.to_pylist() for x in (texts, starts, ends)), strict=True):
-            brackets = [m.start() for m in re.finditer("[()]", text or "")]
-            stops = [m.start() for m in re.finditer(r"[.!?]\s", text or "", re.ASCII)]
-            marks = []
-            for start, end in zip(a or (), b or (), strict=True):
-                k, n = bisect_left(brackets, start) - 1, bisect_left(stops, end)
-                is_open = k >= 0 and text[brackets[k]] == "("
-                marks.append({"bracket": brackets[k] if is_open else -1, "stop": stops[n] if n < len(stops) else -1})
-            out.append(marks)
-        return pa.array(out, pa.list_(pa.struct([pa.field("bracket", pa.int32()), pa.field("stop", pa.int32())])))
+        fields = [pa.field("bracket", pa.int32()), pa.field("stop", pa.int32())]
+        for texts, starts, ends in batches:
+            for text, a, b in zip(texts, starts, ends, strict=True):
+                # one row at a time: its spans may be many, a batch's are not held together
+                text, a, b = text.as_py(), a.as_py(), b.as_py()
+                brackets = [m.start() for m in re.finditer("[()]", text or "")]
+                stops = [m.start() for m in re.finditer(r"[.!?]\s", text or "", re.ASCII)]
+                opened, ended = array("i"), array("i")
+                for start, end in zip(a or (), b or (), strict=True):
+                    k, n = bisect_left(brackets, start) - 1, bisect_left(stops, end)
+                    is_open = k >= 0 and text[brackets[k]] == "("
+                    opened.append(brackets[k] if is_open else -1)
+                    ended.append(stops[n] if n < len(stops) else -1)
+                marks = pa.StructArray.from_arrays([pa.array(opened, pa.int32()), pa.array(ended, pa.int32())], fields=fields)
+                yield pa.ListArray.from_arrays(pa.array([0, len(marks)], pa.int32()), marks)
+
+    from collections.abc import Iterator
 
     import pyarrow
 
-    found.__annotations__ = dict.fromkeys(("texts", "starts", "ends", "return"), pyarrow.Array)
+    found.__annotations__ = {"batches": Iterator[tuple[pyarrow.Array, pyarrow.Array, pyarrow.Array]], "return": Iterator[pyarrow.Array]}
     return F.arrow_udf(found, "array<struct<bracket:int,stop:int>>")
 
 
