@@ -1,9 +1,13 @@
 """What only shows on larger tables than the given ones."""
 
+import re
+
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from helixtext.operators import associate, normalize
+from helixtext.functions import text
+from helixtext.operators import associate, documents, normalize, spans
 from helixtext.plans import registry
 
 from .test_registry import rows
@@ -136,3 +140,74 @@ def test_cascade_of_lists_is_that_of_rows(spark):
     found = [("Mapping", normalize.history_lists(ann, genes, history)), ("SNPinText", normalize.in_text_lists(ann, reached, snps)), ("GeneNormalized", normalize.by_gene_lists(ann, genes, reached, gene2rs))]
     assert sorted(map(tuple, normalize.cascade_lists(found).collect())) == sorted(map(tuple, by_rows.collect())) != []
     assert sorted(map(tuple, normalize.cascade_lists(found[1:]).collect())) == sorted(map(tuple, normalize.cascade(normalize.match_rs_in_text(ann, reached, snps), normalize.match_by_gene(ann, genes, reached, gene2rs)).collect()))
+
+
+def test_features_of_tokens_are_not_shuffled(spark, sf_dir):
+    moved, n = shuffled(spark, registry.queries()["token_features"](spark, sf_dir))
+    assert n > 10_000 and moved < n / 5, (moved, n)
+    docs = spark.createDataFrame([("a", "See p.A12G or rs123. x"), ("b", None), ("b", "No 7"), ("c", "")], "doc_id string, text string")
+    tags = spark.createDataFrame([("a", 4, 10, "P"), ("a", 4, 6, "Q"), ("b", 3, 4, "N"), ("z", 0, 9, "Z")], "doc_id string, start_off int, end_off int, etype string")
+    beside = documents.token_features(documents.tagged_tokens(docs, tags))
+    joined = documents.token_features(documents.tokenize(docs), tags)
+    assert beside.columns == joined.columns and sorted(map(tuple, beside.collect())) == sorted(map(tuple, joined.collect()))
+    assert [r.tag for r in beside.where("doc_id = 'a'").orderBy("start_off", "tag").collect()][:5] == ["O", "P", "Q", "P", "Q"]
+
+
+def test_runs_start_where_an_entry_may(spark):
+    texts = ["alphaTEN1 galphammaX2 xalpha", "xalphaB7 alp haQ9 GENE12A3C del taZ1 bcat", "gaX2 a1 ALPHA1 Alpha Ten1 betalphaK", "betaK é1 12 ge ne"]
+    keys = ["aten1", "gx2", "xab7", "aq9", "gene12a3c", "dz1", "bcat", "a1", "a", "bk", "12", "ne", "gene"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokens = documents.tokenize(docs)
+    lex = spark.createDataFrame([(k, "T", "id " + k) for k in keys], "key string, etype string, ident string")
+    by_doc, want = {}, set()
+    for r in tokens.orderBy("doc_id", "tok_no").collect():
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for d, row in by_doc.items():
+        for i in range(len(row)):
+            best = None
+            for n in range(1, 6):
+                joined = "".join(t.token for t in row[i : i + n])
+                low = joined.lower()
+                for name in ("alpha", "beta", "gamma", "delta"):
+                    low = low.replace(name, name[0])
+                key = "".join(c for c in low if c in "0123456789abcdefghijklmnopqrstuvwxyz")
+                if i + n <= len(row) and key in keys and re.match("^[0-9A-Za-z].*[0-9A-Za-z]$", joined):
+                    best = (d, row[i].start_off, row[i + n - 1].end_off, joined)
+            want |= {best} - {None}
+    found = spans.tag_fused_lexicon(tokens, lex, 5)
+    assert {(r.doc_id, r.start_off, r.end_off, r.mention) for r in found.collect()} == want and len(want) > 8
+    begun = spark.createDataFrame([(t,) for t in ("GENE", "alpha", "xal", "ge", "gab", "12", "galph")], "t string").select(spans.sure_beginning(F.col("t"))).collect()
+    assert [r[0] for r in begun] == ["gen", "a", "xa", "ge", "gab", "12", "g"]
+
+
+def test_needles_meet_lists_of_form_and_gene(spark):
+    forms = spark.range(400).select(F.concat(F.lit("p|"), F.col("id") % 4).alias("form"), F.col("id").alias("rs"))
+    genes = forms.select((F.col("rs") % 40).cast("string").alias("gene"), "rs")
+    asked = spark.range(30).select(F.element_at(F.array(*map(F.lit, ("p", "|", "p|"))), (F.col("id") % 3 + 1).cast("int")).alias("needle"), F.lit("7").alias("gene"))
+    moved, n = shuffled(spark, normalize.rs_containing(normalize.gram_index(forms), asked, forms, genes))
+    assert n == 3 * 10 and moved < 1900, moved
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_details_are_split_once(spark):
+    details = spark.createDataFrame([("a:1;b:2;a:3;x",), (None,), ("",)], "d string").select(text.parse_details(F.col("d")).alias("m"))
+    assert [r.m for r in details.collect()] == [{"b": "2", "a": "3"}, None, {}] and plan_of(spark.range(1).select(text.parse_details(F.col("id").cast("string")).alias("m"))).count("split(") == 1
+
+
+def test_runs_are_numbered_in_one_order(spark):
+    rows = [("d", k, t, 10 * k, 10 * k + 5, label) for k, (t, label) in enumerate([("a", "W"), ("b", "W"), ("1", "P"), ("c", "W"), (";", "W"), ("d", "M"), ("x", "O"), ("e", "M"), ("f", "P")])]
+    runs = spans.label_runs(spark.createDataFrame(rows, "doc_id string, tok_no int, token string, start_off int, end_off int, label string"))
+    assert sorted((r.start_off, r.end_off, r.w, r.p, r.m) for r in runs.collect()) == [(0, 35, "ab,c", "1", ""), (50, 55, "", "", "d"), (70, 85, "", "f", "e")]
+    assert all("run" not in line for line in plan_of(runs).splitlines() if "windowspecdefinition" in line and "sum" not in line)
+    assert plan_of(runs).count("Window [") <= 2
+
+
+def test_spans_are_given_back_in_portions():
+    texts, patterns = pa.array(["ab " * 300_000, None, "ab", "", "ab " * 300_000, None]), pa.array(["ab"] * 4 + [None, "ab"])
+    got = list(spans.span_finder().func(iter([(texts, patterns)])))
+    assert len(got) == 2 and [len(x) if x is not None else None for a in got for x in a.to_pylist()] == [300_000, None, 1, 0, None, None]
+    marks = list(associate.mark_finder().func(iter([(pa.array(["(a. b) c", None, ""]), pa.array([[1, 7], [], [0]]), pa.array([[2, 8], [], [0]]))])))
+    assert [a.to_pylist() for a in marks] == [[[{"bracket": 0, "stop": 2}, {"bracket": -1, "stop": -1}]], [[]], [[{"bracket": -1, "stop": -1}]]]
