@@ -7,6 +7,13 @@ rare in one class falls back to what both share. Differences are normalised by
 length over each word and over the document; a logistic curve, fitted on
 labelled documents that no count came from, turns them into a probability.
 
+Beginnings of words that are seen twice or more have counts of their own; what
+was seen once falls back. Tasks hold the most frequent beginnings. All others
+stay in a stored table: words that may lead to one of them are found in the pass
+over the texts, meet the table once each, by their first characters, and their
+values are joined back to the documents. What a word gets doesn't depend on where
+its beginnings are held.
+
 Defined cases: a null or empty text gets the score of a document without words;
 documents without a label row are scored like the rest; repeated rows get equal
 scores; without labels of both classes every score is the share of toxic labels
@@ -16,12 +23,13 @@ scores; without labels of both classes every score is the share of toxic labels
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -34,8 +42,14 @@ ORDER = 4
 #: Characters of a word's beginning that the top order looks back on.
 LONGEST = 12
 DISCOUNT = 0.75
-#: Beginnings that a model has a row for, at most: the most frequent. What the others held falls back to shorter contexts.
+#: Beginnings of more than START characters that each task holds, at most: the most frequent. The others are stored and joined.
 BEGINNINGS = 400_000
+#: Characters that a stored beginning shares with the words that ask for it; shorter beginnings are always held, and are (CHARS + 2) ** START at most.
+START = 3
+#: Stored beginnings that a task looks words up in at a time, on average.
+BUCKET = 50_000
+#: Values of words are multiples of this, so that sums over documents don't depend on their order.
+GRAIN = 2.0**-16
 #: Words whose normalised differences count one by one, and the length below which a word is as noisy as that.
 TOP = 3
 USUAL = 6.0
@@ -56,10 +70,15 @@ class Model:
     beginnings: np.ndarray
     seen: np.ndarray
     follow: np.ndarray
-    #: How often in either class characters follow whose own beginning is not kept: all of it falls back.
+    #: How often in either class characters follow whose own beginning was seen once: all of it falls back.
     lost: np.ndarray
     curve: np.ndarray
     prior: float
+    #: Whether a beginning is followed by stored ones.
+    open: np.ndarray | None = None
+    #: The folder of the stored beginnings and how many there are.
+    stored: str = ""
+    stored_rows: int = 0
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -124,17 +143,23 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
 
 
 def word_ratios(words: list[str], model: Model) -> np.ndarray:
-    """For each word the toxic less the ordinary log-likelihood, and the characters it counts for.
+    """For each word the toxic less the ordinary log-likelihood, and the characters it counts for."""
+    return word_values(words, model)[:, :2]
+
+
+def word_values(words: list[str], model: Model) -> np.ndarray:
+    """For each word its ratio, the characters it counts for, and 1 if stored beginnings are needed for the ratio.
 
     The top order conditions each character on all of the word before it (up to
     LONGEST characters); it falls back to the ORDER-gram of the class.
     """
     if not words:
-        return np.empty((0, 2))
+        return np.empty((0, 3))
     code, starts, lengths = codes(words, model.chars)
     number, at = grams(code, starts, lengths, len(model.chars) + 2)
     low = model.tables[:, number]
     ratio = (low[1] - low[0]).astype(float)
+    asks = np.zeros(len(words), bool)
     live = np.arange(len(words))
     h = np.zeros(len(words), np.uint64)
     slot = np.searchsorted(model.beginnings, h[:1])[:1].repeat(len(words))
@@ -155,19 +180,31 @@ def word_ratios(words: list[str], model: Model) -> np.ndarray:
             p = np.where(total > 0, np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1) + np.where(total > 0, (DISCOUNT * model.follow[c, slot] + model.lost[c, slot]) / np.maximum(total, 1), 1) * back, back)
             logs.append(np.log(p))
         ratio[place] = logs[1] - logs[0]
+        if model.open is not None:
+            asks[live[~hit & model.open[slot]]] = True
         live, h, slot = live[hit], h[hit], found[hit]
-    return np.stack([np.add.reduceat(ratio, at), lengths], 1)
+    return np.stack([np.round(np.add.reduceat(ratio, at) / GRAIN) * GRAIN, lengths, asks], 1)
+
+
+def starts_of(words: list[str], chars: str) -> np.ndarray:
+    """Hashes of the words' first START characters, their closing edge included; the words have so many."""
+    code, starts, lengths = codes(words, chars)
+    h = np.zeros(len(words), np.uint64)
+    for k in range(1, START + 1):
+        h = beginnings(code, starts, lengths, k, h)
+    return h.view(np.int64)
 
 
 def partial_counts(words: list[str], toxic: np.ndarray, n: np.ndarray, chars: str) -> Iterator[tuple[np.ndarray | None, ...]]:
-    """Counts of some distinct rows word, toxic, n: columns hash, parent, gram, late, n0, n1.
+    """Counts of some distinct rows word, toxic, n: columns hash, parent, gram, late, start, n0, n1.
 
-    A beginning has its hash, that of one character less, its last ORDER-gram and
-    how often it occurs in either class. Beyond the longest beginning there is
+    A beginning has its hash, that of one character less, its last ORDER-gram, the
+    hash of its first START characters if it has more, and how often it occurs in either class. Beyond the longest beginning there is
     only the ORDER-gram (late) and in how many words it occurs.
     """
     code, starts, lengths = codes(words, chars)
     h = np.zeros(len(words), np.uint64)
+    begin = np.zeros(len(words), np.uint64)
     live = np.arange(len(words))
     number, at = grams(code, starts, lengths, len(chars) + 2)
     for k in range(1, LONGEST + 1):
@@ -177,17 +214,19 @@ def partial_counts(words: list[str], toxic: np.ndarray, n: np.ndarray, chars: st
             break
         before = h
         h = beginnings(code, starts[live], lengths[live], k, h)
+        if k <= START:
+            begin[live] = h
         unique, first, back = np.unique(h, return_index=True, return_inverse=True)
         got = [np.bincount(back, np.where(toxic[live] == c, n[live], 0), len(unique)).astype(np.int64) for c in (0, 1)]
-        yield unique.view(np.int64), before[first].view(np.int64), number[at[live] + k - 1][first], None, *got
+        yield unique.view(np.int64), before[first].view(np.int64), number[at[live] + k - 1][first], None, begin[live][first].view(np.int64) if k > START else None, *got
     late = np.arange(len(number)) - np.repeat(at, lengths) >= LONGEST
     if late.any():
         unique, back = np.unique(number[late], return_inverse=True)
         of = np.repeat(toxic, lengths)[late]
-        yield None, None, None, unique, *(np.bincount(back, of == c, len(unique)).astype(np.int64) for c in (0, 1))
+        yield None, None, None, unique, None, *(np.bincount(back, of == c, len(unique)).astype(np.int64) for c in (0, 1))
 
 
-def least_count(begun: DataFrame, most: int = BEGINNINGS) -> int:
+def least_count(begun: DataFrame, most: int) -> int:
     """The least count, 2 or more, that at most so many beginnings reach; counts are told apart in eighths of a doubling."""
     step = F.floor(F.log2(F.col("n0") + F.col("n1")) * 8).cast("int")
     sizes = begun.where("n0 + n1 >= 2").groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min(F.col("n0") + F.col("n1")).alias("least")).orderBy(F.desc("step")).collect()
@@ -205,10 +244,11 @@ def count(words: DataFrame, chars: str, totals: list[int], scratch: common.Scrat
 
     Tasks count, Spark adds up, over all words. The driver sees the most frequent
     beginnings, up to a fixed number of them, and a table of ORDER-grams whose size is
-    fixed. Any other beginning has its whole count as discount: what it held falls back
-    to the ORDER-gram, so probabilities still sum to one.
+    fixed. Other beginnings seen twice or more are stored with the same columns. One that
+    was seen once has its whole count as discount: it falls back to the ORDER-gram, so
+    probabilities still sum to one.
     """
-    names = ["hash", "parent", "gram", "late", "n0", "n1"]
+    names = ["hash", "parent", "gram", "late", "start", "n0", "n1"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,15 +258,20 @@ def count(words: DataFrame, chars: str, totals: list[int], scratch: common.Scrat
                 yield pa.RecordBatch.from_arrays([pa.nulls(rows, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], names)
 
     parts = words.select("toxic", "word", "n").mapInArrow(run, ", ".join(f"{c} long" for c in names))
-    found = scratch.table(parts.groupBy("hash", "late").agg(*(F.min(c).alias(c) for c in ("parent", "gram")), *(F.sum(c).alias(c) for c in ("n0", "n1"))))
+    found = scratch.table(parts.groupBy("hash", "late").agg(*(F.min(c).alias(c) for c in ("parent", "gram", "start")), *(F.sum(c).alias(c) for c in ("n0", "n1"))))
     has = [F.sum((F.col(c) > 0).cast("long")).alias(f) for c, f in (("n0", "f0"), ("n1", "f1"))]
     begun = found.where("hash is not null")
-    often = F.col("n0") + F.col("n1") >= least_count(begun)
-    children = [x for c, f, l in (("n0", "f0", "l0"), ("n1", "f1", "l1")) for x in (F.sum((often & (F.col(c) > 0)).cast("long")).alias(f), F.sum(F.when(often, 0).otherwise(F.col(c))).alias(l))]
-    follow = begun.groupBy(F.col("parent").alias("hash")).agg(*children)
+    least = least_count(begun.where("start is not null"), BEGINNINGS)
+    counts = F.col("n0") + F.col("n1") >= 2
+    held = F.col("start").isNull() | (F.col("n0") + F.col("n1") >= least)
+    children = [x for c, f, l in (("n0", "f0", "l0"), ("n1", "f1", "l1")) for x in (F.sum((counts & (F.col(c) > 0)).cast("long")).alias(f), F.sum(F.when(counts, 0).otherwise(F.col(c))).alias(l))]
+    follow = begun.groupBy(F.col("parent").alias("hash")).agg(*children, F.max(counts & ~held).alias("open"))
     # the empty beginning is no child of any, so it is only found as a parent
-    kept = begun.where(often).select("hash", "n0", "n1").unionByName(words.sparkSession.createDataFrame([(0, *totals)], "hash long, n0 long, n1 long"))
-    table = kept.join(follow, "hash", "left").select("hash", "n0", "n1", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("f0", "f1", "l0", "l1"))).toArrow()
+    root = words.sparkSession.createDataFrame([(0, None, *totals)], "hash long, start long, n0 long, n1 long")
+    kept = begun.where(counts).select("hash", "start", "n0", "n1").unionByName(root).withColumn("held", held)
+    joined = kept.join(follow, "hash", "left").select(*kept.columns, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("f0", "f1", "l0", "l1")), F.coalesce("open", F.lit(False)).alias("open"))
+    stored = scratch.table(joined) if least > 2 else None
+    table = (stored if least > 2 else joined).where("held").drop("start", "held").toArrow()
     # what lies beyond the longest beginning counts as it occurs
     late = found.where("late is not null").select(F.col("late").alias("gram"), F.col("n0").alias("f0"), F.col("n1").alias("f1"))
     low = begun.groupBy("gram").agg(*has).unionByName(late).groupBy("gram").agg(F.sum("f0").alias("f0"), F.sum("f1").alias("f1")).toArrow()
@@ -239,32 +284,88 @@ def count(words: DataFrame, chars: str, totals: list[int], scratch: common.Scrat
     following = np.stack([table[c].to_numpy()[order].astype(np.int16) for c in ("f0", "f1")])
     lost = np.stack([table[c].to_numpy()[order].astype(np.float32) for c in ("l0", "l1")])
     scratch.drop(found)
-    return Model(chars, kneser_ney(top), keys[order], seen, following, lost, np.zeros(TOP + 3), 0.0)
+    model = Model(chars, kneser_ney(top), keys[order], seen, following, lost, np.zeros(TOP + 3), 0.0)
+    if stored is not None:
+        model.open, model.stored, model.stored_rows = table["open"].to_numpy()[order].astype(bool), stored.scratch_path, stored.where("not held").count()
+    return model
+
+
+def with_stored(model: Model, batches: list[pa.RecordBatch]) -> Model:
+    """The model with these stored beginnings beside those it holds: it asks for none more."""
+    table = pa.Table.from_batches(batches)
+    keys = np.concatenate([model.beginnings, table["hash"].to_numpy().view(np.uint64)])
+    order = np.argsort(keys)
+    both = lambda held, names: np.concatenate([held, np.stack([table[c].to_numpy().astype(held.dtype) for c in names])], 1)[:, order]
+    return replace(model, beginnings=keys[order], seen=both(model.seen, ("n0", "n1")), follow=both(model.follow, ("f0", "f1")), lost=both(model.lost, ("l0", "l1")), open=None)
+
+
+def means(values: np.ndarray) -> np.ndarray:
+    """Ratios by length: a short word counts as if it had the usual length, as chance weighs more on it."""
+    return (values[:, 0].astype(np.float32) / np.maximum(values[:, 1], USUAL).astype(np.float32)).astype(float)
 
 
-def features(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Of each document: bias, mean per character, the TOP highest means of different words, log of the words.
+def asked_values(words: DataFrame, model: Model, broadcast) -> DataFrame:
+    """word, ratio, mean of distinct words (word, start) that need stored beginnings.
 
-    values: a row for each word; counts: words of each document.
+    Both sides are dealt by the first START characters. A task holds the stored
+    beginnings of one bucket; words stream through.
     """
-    out = np.zeros((len(counts), TOP + 3))
-    out[:, 0] = 1
+    spark = words.sparkSession
+    table = spark.read.schema("hash long, start long, n0 long, n1 long, held boolean, f0 long, f1 long, l0 long, l1 long").parquet(model.stored).where("not held").drop("held")
+    bucket = F.pmod(F.xxhash64("start"), F.lit(-(-model.stored_rows // BUCKET))).alias("bucket")
+    rows = table.select(bucket, F.lit(0).alias("kind"), "hash", "n0", "n1", "f0", "f1", "l0", "l1").unionByName(words.select(bucket, F.lit(1).alias("kind"), "word"), allowMissingColumns=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, own = None, [], None
+        for batch in batches:
+            buckets, kinds = (batch.column(c).to_numpy() for c in ("bucket", "kind"))
+            ends = [0, *(np.flatnonzero((np.diff(buckets) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(buckets)]
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                part = batch.slice(a, b - a)
+                if buckets[a] != now:
+                    now, held, own = buckets[a], [], None
+                if not kinds[a]:
+                    held.append(part)
+                    continue
+                if own is None:
+                    own, held = with_stored(broadcast.value, held) if held else replace(broadcast.value, open=None), []
+                values = word_values(part.column("word").to_pylist(), own)[:, :2]
+                yield pa.RecordBatch.from_arrays([part.column("word"), pa.array(values[:, 0].astype(np.float32).astype(float)), pa.array(means(values))], ["word", "ratio", "mean"])
+
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, "word string, ratio double, mean double")
+
+
+def partial(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list[float]]]:
+    """Of each document: the sum of ratios, the characters, and the TOP highest means of different words, but for words that ask.
+
+    values: a row for each word; counts: words of each document. Characters are those of all words.
+    """
+    sums, chars, tops = np.zeros(len(counts)), np.zeros(len(counts)), [[] for _ in counts]
     starts = np.cumsum(counts) - counts
     has = np.flatnonzero(counts)
     if not len(has):
-        return out
-    sums = np.add.reduceat(values, starts[has], axis=0)
-    out[has, 1] = sums[:, 0] / sums[:, 1]
-    # a short word counts as if it had the usual length: chance weighs more on it
-    mean = values[:, 0] / np.maximum(values[:, 1], USUAL)
-    best = np.zeros(len(has))
-    for k in range(TOP):
+        return sums, chars, tops
+    sure = values[:, 2] == 0
+    sums[has] = np.add.reduceat(np.where(sure, values[:, 0], 0).astype(float), starts[has])
+    chars[has] = np.add.reduceat(values[:, 1].astype(float), starts[has])
+    mean = np.where(sure, means(values), -np.inf)
+    for _ in range(TOP):
         top = np.maximum.reduceat(mean, starts[has])
-        best = np.where(np.isfinite(top), top, np.minimum(best, 0))
-        out[has, 2 + k] = best
+        for i, x in zip(has.tolist(), top.tolist(), strict=True):
+            if x > -np.inf:
+                tops[i].append(x)
         mean = np.where(mean == np.repeat(top, counts[has]), -np.inf, mean)
-    out[has, TOP + 2] = np.log(counts[has])
-    return out
+    return sums, chars, tops
+
+
+def features() -> Column:
+    """Bias, mean per character, the TOP highest means of different words, log of the words; columns ratio, chars, tops, words."""
+    out = [F.lit(1.0), F.when(F.col("toxicity_words") > 0, F.col("toxicity_ratio") / F.col("toxicity_chars")).otherwise(0.0)]
+    best = F.lit(0.0)
+    for k in range(TOP):
+        best = F.when(F.col("toxicity_words") > 0, F.coalesce(F.get("toxicity_tops", F.lit(k)), F.least(best, F.lit(0.0)))).otherwise(0.0)
+        out.append(best)
+    return F.array(*out, F.when(F.col("toxicity_words") > 0, F.log("toxicity_words")).otherwise(0.0))
 
 
 def split_words(text: str | None) -> list[str]:
@@ -274,25 +375,52 @@ def split_words(text: str | None) -> list[str]:
 
 def _scores(key: str, broadcast) -> common.WordScores:
     model = broadcast.value
-    return common.kept(f"toxicity {key}", lambda: common.WordScores(lambda words: word_ratios(words, model), 2))
+    return common.kept(f"toxicity {key}", lambda: common.WordScores(lambda words: word_values(words, model), 3))
+
 
+PARTIAL = {"toxicity_ratio": pa.float64(), "toxicity_chars": pa.float64(), "toxicity_tops": pa.list_(pa.float64()), "toxicity_words": pa.int64(), "toxicity_asked": pa.list_(pa.struct([("word", pa.string()), ("start", pa.int64()), ("n", pa.int64())]))}
+ASKED = "array<struct<word:string,start:bigint,n:bigint>>"
 
-def document_features(docs: DataFrame, broadcast, key: str, keep_text: bool = False) -> DataFrame:
+
+def document_features(docs: DataFrame, model: Model, broadcast, key: str, keep_text: bool = False) -> DataFrame:
     """The features of each document beside its other columns."""
     kept = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = _scores(key, broadcast)
+        scores, chars = _scores(key, broadcast), broadcast.value.chars
         for batch in common.small(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in common.slices(texts):
                 cut = [split_words(t) for t in texts[a:b]]
-                values = scores.of([w for words in cut for w in words])
-                found = pa.array(list(features(values, np.array([len(w) for w in cut]))), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in kept), found], [*kept, FEATURES])
+                words = [w for some in cut for w in some]
+                values, counts = scores.of(words), np.array([len(w) for w in cut])
+                asked = [[] for _ in cut]
+                places = np.flatnonzero(values[:, 2])
+                if len(places):
+                    of = np.searchsorted(np.cumsum(counts), places, side="right").tolist()
+                    found = Counter(zip(of, map(words.__getitem__, places.tolist()), strict=True))
+                    for ((i, w), n), h in zip(found.items(), starts_of([w for _, w in found], chars).tolist(), strict=True):
+                        asked[i].append({"word": w, "start": h, "n": n})
+                sums, lengths, tops = partial(values, counts)
+                columns = [pa.array(c, t) for c, t in zip((sums, lengths, tops, counts, asked), PARTIAL.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in kept), *columns], [*kept, *PARTIAL])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-    return docs.mapInArrow(run, f"{schema}, {FEATURES} array<double>")
+    out = docs.mapInArrow(run, f"{schema}, toxicity_ratio double, toxicity_chars double, toxicity_tops array<double>, toxicity_words long, toxicity_asked {ASKED}")
+    if model.stored:
+        out = with_asked(out, model, broadcast)
+    return out.select(*kept, features().alias(FEATURES))
+
+
+def with_asked(docs: DataFrame, model: Model, broadcast) -> DataFrame:
+    """docs with the values of the words that they ask for added in; rows are told apart by a number of their own."""
+    rows = common.Scratch(docs.sparkSession).table(docs.withColumn("toxicity_row", F.monotonically_increasing_id()))
+    asked = rows.select("toxicity_row", F.explode("toxicity_asked").alias("a")).select("toxicity_row", "a.*")
+    values = asked_values(asked.select("word", "start").distinct(), model, broadcast)
+    more = asked.select("toxicity_row", "word", "n").join(values.hint("merge"), "word").groupBy("toxicity_row").agg(F.sum(F.col("ratio") * F.col("n")).alias("toxicity_more"), F.collect_set("mean").alias("toxicity_means"))
+    both = rows.drop("toxicity_asked").join(more.select("toxicity_row", "toxicity_more", F.slice(F.sort_array("toxicity_means", False), 1, TOP).alias("toxicity_means")).hint("merge"), "toxicity_row", "left")
+    tops = F.slice(F.sort_array(F.array_distinct(F.concat("toxicity_tops", F.coalesce("toxicity_means", F.array().cast("array<double>")))), False), 1, TOP)
+    return both.withColumns({"toxicity_ratio": F.col("toxicity_ratio") + F.coalesce("toxicity_more", F.lit(0.0)), "toxicity_tops": tops})
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -342,7 +470,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = M
     model = count(words, chars, [totals[0], totals[1]], scratch)
     model.prior = prior
     broadcast = spark.sparkContext.broadcast(model)
-    fit = document_features(sample, broadcast, f"{model.key}-fit").select("toxic", FEATURES, "doc_id").toPandas().sort_values(["doc_id", "toxic"])
+    fit = document_features(sample, model, broadcast, f"{model.key}-fit").select("toxic", FEATURES, "doc_id").toPandas().sort_values(["doc_id", "toxic"])
     y = fit["toxic"].to_numpy(float)
     if 0 < y.sum() < len(y):
         weight = np.where(y == 1, prior * len(y) / y.sum(), (1 - prior) * len(y) / (len(y) - y.sum()))
@@ -359,7 +487,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_text
     if not model.chars:
         out = docs if keep_text else docs.drop("text")
         return out.select("*", F.lit(model.prior).cast("double").alias("score"), F.lit(int(model.prior >= threshold)).alias("predicted"))
-    out = document_features(docs, spark.sparkContext.broadcast(model), model.key, keep_text)
+    out = document_features(docs, model, spark.sparkContext.broadcast(model), model.key, keep_text)
     linear = F.lit(0.0)
     for i, w in enumerate(model.curve):
         linear = linear + F.lit(float(w)) * F.col(FEATURES)[i]

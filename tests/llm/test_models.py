@@ -184,3 +184,19 @@ def test_bounded_sample_is_bounded_and_fixed(spark):
     one = common.bounded_sample(df, "doc_id", "by", 100)
     again = common.bounded_sample(df.repartition(7), "doc_id", "by", 100)
     assert one.count() == 200 and sorted(one.collect()) == sorted(again.collect())
+
+
+def test_stored_beginnings_count_like_held_ones(spark, monkeypatch):
+    """However few beginnings tasks hold, every document gets the same score."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = common.table(spark, sf, "documents").select("doc_id", "text"), common.table(spark, sf, "labels")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "never seen zqxjkv zqxjkv"), (-3, "never seen zqxjkv zqxjkv")], "doc_id long, text string")
+    got, models = [], []
+    for most in (toxicity.BEGINNINGS, 300):
+        monkeypatch.setattr(toxicity, "BEGINNINGS", most)
+        monkeypatch.setattr(toxicity, "BUCKET", 1000)
+        models.append(toxicity.train(spark, docs, labels))
+        got.append(sorted((r.doc_id, r.score) for r in toxicity.score(docs.unionByName(odd), models[-1]).collect()))
+    assert len(models[0].beginnings) > 5000 > len(models[1].beginnings)
+    assert got[0] == got[1] and len(got[0]) == docs.count() + 4
+    assert models[0].curve.tolist() == models[1].curve.tolist()
