@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixtext.functions import variants
+from helixtext.functions.shared import checkpointed
 
 from .chart import phrase_components, tag_phrases
 from .spans import component_drop_reason, keep_apart, parse_components, tag_hgvs
@@ -50,7 +51,8 @@ def variants_of(docs: DataFrame) -> DataFrame:
     """From texts (doc_id, text) to variants: names and phrases are tagged, the named go first where both overlap, read, and kept without a reason against them."""
     named = tag_hgvs(docs).withColumn("priority", F.lit(0))
     said = tag_phrases(docs).withColumn("priority", F.lit(1))
-    found = canonicalise(keep_apart(named.unionByName(said)).drop("priority"))
+    # spans are few beside the texts and asked for twice: texts are read once
+    found = canonicalise(checkpointed(keep_apart(named.unionByName(said)).drop("priority")))
     return found.where("drop_reason is null").drop("drop_reason")
 
 

@@ -58,3 +58,30 @@ def test_work_grows_with_the_words(spark):
     start = time.time()
     assert canon.canonicalise(df).count() == 300
     assert time.time() - start < 20
+
+
+def test_phrases_are_sought_around_numbers_only(spark):
+    import re
+
+    import pyarrow as pa
+
+    from helixtext.operators import spans
+
+    pattern = f"{spans.EDGE_L}(?:{chart.phrase_pattern()}){spans.EDGE_R}"
+    far = "a glycine to arginine change " * 300
+    texts = [*CASES, far, f"{far}codon 12{' ,:' * 2000}glycine to arginine{far}", " ".join(CASES), (far[:240] + "; ").join(CASES), *[f"{'x' * n} {m}{' ' * n}7" for n in (100, 255, 256, 257, 600) for m in CASES], "7" * 5000 + " glycine to arginine at codon " + "1" * 5000, "", None]
+
+    def finder(**more):
+        return [a for b in spans.span_finder(**more).func(iter([(pa.array(texts), pa.array([pattern] * len(texts)))])) for a in b.to_pylist()]
+
+    got = finder(core=chart.PHRASE_CORE, around=chart.PHRASE_AROUND)
+    assert got == finder() and sum(len(x or []) for x in got) > 90
+    # what may be of any length in a phrase are numbers and the separators behind them
+    parts = chart.phrase_pattern().replace("[0-9]+", "0").replace("[ ,:]+", " ")
+    assert not re.search(r"(?<!\\)[+*{]", parts)
+
+
+def test_texts_are_read_once(spark):
+    docs = spark.createDataFrame([(str(i), f"We saw {m}. It ended.") for i, m in enumerate(CASES)], "doc_id string, text string")
+    for rows in (chart.tag_phrases(docs), canon.variants_of(docs)):
+        assert rows.count() >= 12 and "text#" not in rows._jdf.queryExecution().optimizedPlan().toString()
