@@ -211,3 +211,17 @@ def test_spans_are_given_back_in_portions():
     assert len(got) == 2 and [len(x) if x is not None else None for a in got for x in a.to_pylist()] == [300_000, None, 1, 0, None, None]
     marks = list(associate.mark_finder().func(iter([(pa.array(["(a. b) c", None, ""]), pa.array([[1, 7], [], [0]]), pa.array([[2, 8], [], [0]]))])))
     assert [a.to_pylist() for a in marks] == [[[{"bracket": 0, "stop": 2}, {"bracket": -1, "stop": -1}]], [[]], [[{"bracket": -1, "stop": -1}]]]
+
+
+def test_rs_of_an_identifier_are_unfolded_behind_the_join(spark):
+    ann = spark.createDataFrame([(i, f"d{i % 3}", "p|SUB|A|10|C") for i in range(40)] + [(40, "d", "p|SUB|C|10|A"), (41, "d", "p|SUB|C|11|A")], "ann_id long, doc_id string, ident string")
+    kb = spark.createDataFrame([("p|SUB|A|10|C", k) for k in range(30)] + [("p|SUB|A|10|C", None), ("p|SUB|C|10|A", 7), ("p|SUB|C|10|A", 90)], "form string, rs long")
+    hits = normalize.match_var2rs(ann, kb)
+    first = {(k, "direct", 0) for k in [*range(30), None]} | {(90, "reversed", 1)}
+    second = {(k, "reversed", 1) for k in [*range(30), None] if k != 7} | {(7, "direct", 0), (90, "direct", 0)}
+    want = {(i, f"d{i % 3}", *h) for i in range(40) for h in first} | {(40, "d", *h) for h in second}
+    got = [tuple(r) for r in hits.select("ann_id", "doc_id", "rs", "kind", "form_rank").collect()]
+    assert len(got) == len(want) and set(got) == want
+    # the join makes a row for each annotation and kind of form, not for each rs
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate explode(found") < plan.find("Join Inner")
