@@ -48,6 +48,8 @@ MARK = "▁"
 WINDOW = 48
 #: Characters of the texts that share a dictionary of parts.
 CHUNK = 1 << 26
+#: Documents that are compressed together, at most; a batch has fewer where its bytes are bounded.
+PACK = 1024
 #: What a character without a piece costs: more than any piece.
 UNKNOWN_COST = 50.0
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -329,8 +331,9 @@ def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
     edges = found_edges(keyed.where(F.col("size") > WINDOW), model)
     by = edges.groupBy("key", "part", F.floor(F.col("edge.first") / WINDOW).cast("int").alias("block")).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
     long = by.groupBy("key", "part").agg(F.sort_array(F.collect_list(F.struct("block", "edges"))).alias("blocks"))
+    # (no null lists on the way to Python: with each row that Arrow's writer measures, it fills the offsets of all nulls since the last list)
     mask = F.lit(None).cast("long") if model.unigram else let(merges(F.col("edges")), lambda found: merged(found, n))
-    sizes = best_lengths(n, one, model.longest) if model.unigram else F.lit(None).cast("array<int>")
+    sizes = best_lengths(n, one, model.longest) if model.unigram else F.array().cast("array<int>")
     long_sizes = best_lengths(n, F.col("blocks"), model.longest) if model.unigram else lengths(merged_windows(n, F.col("blocks"), model.longest))
     out = short.select("part", mask.alias("mask"), sizes.alias("sizes")).unionByName(long.select("part", F.lit(None).cast("long").alias("mask"), long_sizes.alias("sizes")))
     shared = parts.sparkSession.sparkContext.broadcast(model)
@@ -397,23 +400,23 @@ def parts_of(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """chunk, doc_ids, sizes, raw: some documents of a chunk a row, their texts compressed together; in the chunks of parts_of."""
+    """chunk, data: documents of a chunk that arrive together, as a compressed Arrow stream of doc_id, text; in the chunks of parts_of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         chunks, pack = Chunks(), zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            mine = [chunks.of(p, t) for p, t in zip(batch.column("place").to_pylist(), texts, strict=True)]
-            parts = list(runs(mine, 64))
-            ends = pa.array([0, *(b for _, _, b in parts)], pa.int32())
-            ids, sizes = (pa.ListArray.from_arrays(ends, c) for c in (batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int32())))
-            raw = [pack("".join(texts[a:b]).encode("utf-8", "replace")) for _, a, b in parts]
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _, _ in parts], pa.int64()), ids, sizes, pa.array(raw, pa.binary())], ["chunk", "doc_ids", "sizes", "raw"])
+            mine = [chunks.of(p, t or "") for p, t in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+            rows, parts, data = batch.select(["doc_id", "text"]), list(runs(mine, PACK)), []
+            for _, a, b in parts:
+                out = pa.BufferOutputStream()
+                with pa.ipc.new_stream(out, rows.schema) as stream:
+                    stream.write_batch(rows.slice(a, b - a))
+                data.append(pack(out.getvalue()))
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _, _ in parts], pa.int64()), pa.array(data, pa.binary())], ["chunk", "data"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, f"chunk long, doc_ids array<{kind}>, sizes array<int>, raw binary")
+    return docs.select(F.spark_partition_id().alias("place"), "doc_id", "text").mapInArrow(run, "chunk long, data binary")
 
 
 class Dictionary:
@@ -447,7 +450,7 @@ class Dictionary:
 def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool = False) -> DataFrame:
     """doc_id, ids, whole of every row of docs (doc_id, text); whole: each word was decoded to itself.
 
-    digests: ids_sha256 as well, of the ids as numbers joined by commas.
+    digests: n_ids (long) and ids_sha256, of the ids as numbers joined by commas, in place of ids.
 
     stable: the rows of a partition are the same whenever docs is read, as those of
     files are. Others are written to the shared folder first.
@@ -464,10 +467,10 @@ def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool =
     # the size comes from the aggregate, as a filter by length would move below the exchange and keep it apart)
     distinct = parts.groupBy("part").agg(F.min("chunk").alias("chunk"), F.max(F.length("part")).alias("size"))
     known = encode_parts(distinct.where("chunk is not null").select("part", "size"), model)
-    entries = parts.join(known.hint("merge"), "part").select("chunk", F.lit(0).alias("kind"), "part", "ids")
-    texts = packed_texts(docs).withColumn("kind", F.lit(1))
-    # the parts of a chunk come before its texts
-    rows = entries.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    entries = parts.join(known.hint("merge"), "part").select("chunk", "part", F.col("ids").alias("data"))
+    texts = packed_texts(docs).select("chunk", F.lit(None).cast("string").alias("part"), "data")
+    # the parts of a chunk come before its texts, which have none
+    rows = entries.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", F.col("part").isNull())
 
     def listed(of: list[bytes], kind: str) -> pa.Array:
         numbers = np.frombuffer(b"".join(of), kind).astype(np.int32)
@@ -479,29 +482,33 @@ def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool =
 
         now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
         written = shared.value.written if digests else []
+        width = np.dtype(shared.value.kind).itemsize
+
+        def digest(ids: bytes) -> str:
+            return hashlib.sha256(",".join(map(written.__getitem__, np.frombuffer(ids, shared.value.kind).tolist())).encode()).hexdigest()
+
         for batch in batches:
-            chunks, kinds = (batch.column(c).to_numpy() for c in ("chunk", "kind"))
-            ends = [0, *(np.flatnonzero((np.diff(chunks) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), len(chunks)]
+            chunks, kinds = batch.column("chunk").to_numpy(), batch.column("part").is_null().to_numpy(zero_copy_only=False)
+            ends = [0, *(np.flatnonzero((np.diff(chunks) != 0) | (kinds[1:] != kinds[:-1])) + 1).tolist(), len(chunks)]
             for start, end in itertools.pairwise(ends):
-                part = batch.slice(start, end - start)
+                rows = batch.slice(start, end - start)
                 if chunks[start] != now:
                     now, words = chunks[start], Dictionary(shared.value)
                 if not kinds[start]:
-                    words.add(part.column("part").to_pylist(), part.column("ids").to_pylist())
+                    words.add(rows.column("part").to_pylist(), rows.column("data").to_pylist())
                     continue
-                for k, (raw, sizes) in enumerate(zip(part.column("raw").to_pylist(), part.column("sizes").to_pylist(), strict=True)):
-                    text, at = unpack(raw).decode(), np.cumsum([0, *sizes]).tolist()
-                    cut = [text_words(text[a:b]) for a, b in itertools.pairwise(at)]
-                    words.learn(set().union(*cut))
-                    ids = listed([b"".join(map(words.words.__getitem__, c)) for c in cut], shared.value.kind)
-                    whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
-                    columns = [part.column("doc_ids").slice(k, 1).flatten(), ids, whole]
-                    if digests:
-                        ends, numbers = ids.offsets.to_pylist(), ids.values.to_numpy()
-                        columns.append(pa.array([hashlib.sha256(",".join(map(written.__getitem__, numbers[a:b].tolist())).encode()).hexdigest() for a, b in itertools.pairwise(ends)], pa.string()))
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "whole", "ids_sha256"][: len(columns)])
-
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, whole boolean{', ids_sha256 string' if digests else ''}")
+                for raw in rows.column("data").to_pylist():
+                    for docs in common.small(pa.ipc.open_stream(unpack(raw)), 64):
+                        cut = [text_words(t or "") for t in docs.column("text").to_pylist()]
+                        words.learn(set().union(*cut))
+                        ids = [b"".join(map(words.words.__getitem__, c)) for c in cut]
+                        found = [pa.array([len(b) // width for b in ids], pa.int64()), pa.array(list(map(digest, ids)), pa.string())] if digests else [listed(ids, shared.value.kind)]
+                        whole = pa.array([not words.broken or words.broken.isdisjoint(c) for c in cut], pa.bool_())
+                        yield pa.RecordBatch.from_arrays([docs.column("doc_id"), *found, whole], ["doc_id", *names, "whole"])
+
+    kinds = {"n_ids": "long", "ids_sha256": "string"} if digests else {"ids": "array<int>"}
+    names = list(kinds)
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{n} {k}' for n, k in kinds.items())}, whole boolean")
 
 
 def decode_ids(ids: DataFrame, key: str, model: Model) -> DataFrame:

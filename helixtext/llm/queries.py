@@ -46,7 +46,7 @@ def pieces_best_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, sf_dir: str, model: pieces.Model) -> DataFrame:
     found = pieces.encode(common.table(spark, sf_dir, "documents").select("doc_id", "text"), model, stable=True, digests=True)
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_sha256", F.col("whole").alias("decodes"))
+    return found.select("doc_id", F.col("n_ids").alias("n_pieces"), "ids_sha256", F.col("whole").alias("decodes"))
 
 
 def op6_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
