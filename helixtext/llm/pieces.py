@@ -79,13 +79,26 @@ class Model:
         return "<u2" if self.greatest < 1 << 16 else "<u4"
 
     @functools.cached_property
-    def written(self) -> list[str]:
-        """Each id in decimal digits."""
-        return list(map(str, range(self.greatest + 1)))
+    def written(self) -> np.ndarray:
+        """Each id in decimal digits and a comma, zero bytes behind."""
+        return np.array([f"{i}," for i in range(self.greatest + 1)], "S")
+
+    def digest(self, ids: bytes) -> str:
+        """sha256 of ids (numbers of ``kind``) in decimal digits, joined by commas."""
+        if not ids:
+            return hashlib.sha256(b"").hexdigest()
+        digits = self.written[np.frombuffer(ids, self.kind)].view(np.uint8)
+        return hashlib.sha256(digits[digits != 0][:-1]).hexdigest()
 
     @functools.cached_property
-    def names(self) -> dict[int, bytes]:
-        return {i: p.encode() for p, i, _ in self.pieces}
+    def names(self) -> list[bytes]:
+        """What each id stands for."""
+        out = [b"?"] * (self.greatest + 1)
+        if self.bytes_first >= 0:
+            out[self.bytes_first : self.bytes_first + 256] = [bytes([b]) for b in range(256)]
+        for p, i, _ in self.pieces:
+            out[i] = p.encode()
+        return out
 
     @functools.cached_property
     def neighbours(self) -> tuple[np.ndarray, np.ndarray]:
@@ -130,9 +143,8 @@ class Model:
             at = end
         return out
 
-    def text_of(self, ids: list[int]) -> str:
-        first = self.bytes_first
-        return b"".join(self.names.get(i) or (bytes([i - first]) if 0 <= first <= i < first + 256 else b"?") for i in ids).decode("utf-8", "replace")
+    def raw_of(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.names.__getitem__, ids))
 
 
 @functools.lru_cache(maxsize=2)
@@ -345,7 +357,7 @@ def encode_parts(parts: DataFrame, model: Model) -> DataFrame:
             ids = []
             for part, mask, sizes in rows:
                 found = model.ids_of(part, mask, sizes)
-                ids.append(np.array(found, model.kind).tobytes() + (b"" if model.text_of(found) == part else b"?"))
+                ids.append(np.array(found, model.kind).tobytes() + (b"" if model.raw_of(found) == part.encode("utf-8", "replace") else b"?"))
             yield pa.RecordBatch.from_arrays([batch.column("part"), pa.array(ids, pa.binary())], ["part", "ids"])
 
     return out.mapInArrow(run, "part string, ids binary")
@@ -437,14 +449,15 @@ class Dictionary:
                 self.parts[part] = b[:-1]
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.words.keys())
+        # (a set less the keys of a dictionary is a walk over all keys)
+        known = self.words
+        new = [w for w in words if w not in known]
         parts, counts = self.model.cut(new)
-        at = 0
-        for w, n in zip(new, counts, strict=True):
-            self.words[w] = self.parts[parts[at]] if n == 1 else b"".join([self.parts[p] for p in parts[at : at + n]])
-            if self.broken_parts and not self.broken_parts.isdisjoint(parts[at : at + n]):
+        ids = list(map(self.parts.__getitem__, parts))
+        for w, (a, b) in zip(new, itertools.pairwise(itertools.accumulate(counts, initial=0)), strict=True):
+            known[w] = ids[a] if b - a == 1 else b"".join(ids[a:b])
+            if self.broken_parts and not self.broken_parts.isdisjoint(parts[a:b]):
                 self.broken.add(w)
-            at += n
 
 
 def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool = False) -> DataFrame:
@@ -481,12 +494,7 @@ def encode(docs: DataFrame, model: Model, stable: bool = False, digests: bool =
         import zstandard
 
         now, words, unpack = None, None, zstandard.ZstdDecompressor().decompress
-        written = shared.value.written if digests else []
-        width = np.dtype(shared.value.kind).itemsize
-
-        def digest(ids: bytes) -> str:
-            return hashlib.sha256(",".join(map(written.__getitem__, np.frombuffer(ids, shared.value.kind).tolist())).encode()).hexdigest()
-
+        width, digest = np.dtype(shared.value.kind).itemsize, shared.value.digest
         for batch in batches:
             chunks, kinds = batch.column("chunk").to_numpy(), batch.column("part").is_null().to_numpy(zero_copy_only=False)
             ends = [0, *(np.flatnonzero((np.diff(chunks) != 0) | (kinds[1:] != kinds[:-1])) + 1).tolist(), len(chunks)]

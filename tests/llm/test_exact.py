@@ -475,3 +475,47 @@ def test_unigram_fold_is_the_best_path(spark):
     d = spark.createDataFrame([(1, "ab"), (2, "abb"), (3, "aab")], "doc_id long, text string")
     got = {r.doc_id: r.ids for r in pieces.encode(d, model).collect()}
     assert got == {1: [1, 3], 2: [1, 6], 3: [1, 4]}
+
+
+def test_digests_are_those_of_the_ids(spark):
+    model = pieces.load(queries.tokenizer_path("piece_bpe_32k.model"))
+    d = spark.createDataFrame(list(enumerate(documents(spark).head(60).text.tolist())), "doc_id long, text string").unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, " 日本 " * 50)], "doc_id long, text string"))
+    ids = {r.doc_id: (r.ids, r.whole) for r in pieces.encode(d, model).collect()}
+    got = {r.doc_id: (r.n_ids, r.ids_sha256, r.whole) for r in pieces.encode(d, model, digests=True).collect()}
+    assert got == {k: (len(v), hashlib.sha256(",".join(map(str, v)).encode()).hexdigest(), w) for k, (v, w) in ids.items()}
+
+
+def test_words_of_a_chunk_are_not_walked_for_each_portion():
+    class Words(dict):
+        walked = 0
+
+        def keys(self):
+            Words.walked += 1
+            return super().keys()
+
+    model = pieces.Model((("▁", 0, -1.0), ("▁a", 1, -2.0), ("b", 2, -3.0)), -1, 99, 2, False)
+    d = pieces.Dictionary(model)
+    d.words = Words()
+    d.add(["▁a", "b"], [b"\1\0", b"\2\0"])
+    d.learn({"a", "ab"})
+    d.learn({"ab", "abb"})
+    assert dict(d.words) == {"a": b"\1\0", "ab": b"\1\0\2\0", "abb": b"\1\0\2\0\2\0"} and Words.walked == 0
+
+
+def test_no_null_list_goes_to_python(spark):
+    """Arrow's writer fills the offsets of null lists anew with each row."""
+    model = pieces.load(queries.tokenizer_path("piece_bpe_32k.model"))
+    d = spark.createDataFrame([(1, "hello world"), (2, None)], "doc_id long, text string")
+    kind = type(d)
+    seen, old = [], kind.mapInArrow
+
+    def spy(df, *args, **more):
+        seen.append(df)
+        return old(df, *args, **more)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(kind, "mapInArrow", spy)
+        pieces.encode(d, model).count()
+    for df in seen:
+        for c in [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]:
+            assert df.where(F.col(c).isNull()).count() == 0
