@@ -417,7 +417,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        chunks, pack = Chunks(), zstandard.ZstdCompressor(level=3).compress
+        chunks, pack = Chunks(), zstandard.ZstdCompressor(level=5).compress
         for batch in batches:
             mine = [chunks.of(p, t or "") for p, t in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             rows, parts, data = batch.select(["doc_id", "text"]), list(runs(mine, PACK)), []
