@@ -225,3 +225,15 @@ def test_rs_of_an_identifier_are_unfolded_behind_the_join(spark):
     # the join makes a row for each annotation and kind of form, not for each rs
     plan = hits._jdf.queryExecution().optimizedPlan().toString()
     assert 0 <= plan.find("Generate explode(found") < plan.find("Join Inner")
+
+
+def test_previous_tokens_are_not_shuffled(spark, sf_dir):
+    moved, n = shuffled(spark, registry.queries()["previous_token_of_documents"](spark, sf_dir))
+    # (the count itself shuffles a row for each task)
+    assert n > 10_000 and moved < 100, (moved, n)
+    docs = spark.createDataFrame([("a", "Arg Gly A rg Aly K yy K yyy Kab 12 R ys"), ("b", "Ryy"), ("c", "yy R"), ("d", ""), (None, "E ab"), ("e", None), ("f", "pKrs RrsK.Kfs")], "doc_id string, text string")
+    beside, windowed = documents.tokens_with_previous(docs), documents.previous_token(documents.tokenize(docs))
+    assert sorted(map(str, beside.select(*windowed.columns).collect())) == sorted(map(str, windowed.collect())) and beside.where("continues_residue").count() == 0
+    # (a capital before small letters is one token with them, so a residue is continued in tokens of other makers only)
+    lone = spark.createDataFrame([("a", 0, "K", 0, 1), ("a", 1, "rs", 1, 3)], "doc_id string, tok_no int, token string, start_off int, end_off int")
+    assert [r.continues_residue for r in documents.previous_token(lone).orderBy("tok_no").collect()] == [False, True]
