@@ -6,7 +6,7 @@ import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from helixtext.functions import text
+from helixtext.functions import lexicon, text
 from helixtext.operators import associate, documents, normalize, spans
 from helixtext.plans import registry
 
@@ -237,3 +237,35 @@ def test_previous_tokens_are_not_shuffled(spark, sf_dir):
     # (a capital before small letters is one token with them, so a residue is continued in tokens of other makers only)
     lone = spark.createDataFrame([("a", 0, "K", 0, 1), ("a", 1, "rs", 1, 3)], "doc_id string, tok_no int, token string, start_off int, end_off int")
     assert [r.continues_residue for r in documents.previous_token(lone).orderBy("tok_no").collect()] == [False, True]
+
+
+def test_features_by_sets_are_those_of_patterns(spark):
+    words = "a A 0 7 42 abc ABC Abc aBC é É ß Éa aé a1 1a A1b c.5A>G (( ([ ] } . : ; - + = ? * _ xq chr CHROMOSOME del delins Deletion deletions insert mutation-like mutated repeat frameshifts one ten 10 kb Mb base bases unpaired aminoacid bp b p ivs orf g m U u Gly glycine X B rs SNP relations nation ings things king sed es yes s ss ation 00aAA0 aaBB11 ww nn w1 n1 \u0130 \u212a \u0660".split(" ")
+    rows = spark.createDataFrame([("d", k, w, 0, 1) for k, w in enumerate([*words, "", None])], "doc_id string, tok_no int, token string, start_off int, end_off int")
+    features = documents.token_features(rows)
+    t, low = F.col("token"), F.lower("token")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
+    residues = "|".join(x.lower() for x in (*lexicon.THREE_TO_ONE, *lexicon.NAME_TO_THREE))
+    flag = lambda p, name: F.when(low.rlike(f"^(?:{p})$"), name).otherwise("__nil__")
+    want = {
+        **{c: documents.capped(F.regexp_count(t, F.lit(p))) for c, p in (("digits", "[0-9]"), ("uppers", "[A-Z]"), ("lowers", "[a-z]"))},
+        "mark_class": F.when(t.rlike(r"^[\[\](){}]$"), "bracket").when(t.rlike("^[.,;:]$"), "mark").when(t.rlike(r"^[-+*/<>=?]$"), "sign").otherwise("__nil__"),
+        "mutation_word": flag("delet\\w*|insert\\w*|duplicat\\w*|repeat\\w*|substitut\\w*|mutat\\w*|frameshift\\w*", "word"),
+        "number_word": flag("single|a|one|two|three|four|five|six|seven|eight|nine|ten|[0-9]+", "number"),
+        "pair_word": F.when(low.rlike("base|bases|pair|amino|acid|acids|codon|postion|postions|bp|nucleotide|nucleotides"), "pair").otherwise("__nil__"),
+        "level": F.when(t.rlike("^[cgrmpn]$"), "level").otherwise("__nil__"),
+        "base": F.when(t.rlike("^[ACGTUacgtu]$"), "base").otherwise("__nil__"),
+        "residue": F.when(low.rlike(f"^(?:{residues})$"), "residue").when(t.rlike(f"^{documents.RESIDUES}$"), "letter").otherwise("__nil__"),
+        "chromosome": flag("p|q|qter|pter|xp|xq|x|y|chr|chromosome", "chromosome"),
+        "shape": shape,
+        "short_shape": F.regexp_replace(shape, r"(.)\1+", "$1"),
+        "low_shape": F.regexp_replace(low, "[0-9]", "0"),
+        "class_shape": F.regexp_replace(F.regexp_replace(t, "[A-Za-z]+", "w"), "[0-9]+", "n"),
+        "stem": F.regexp_replace(low, "(ations?|ings?|ed|es|s)$", ""),
+    }
+    patterns = rows.select("tok_no", *[c.alias(k) for k, c in want.items()]).orderBy("tok_no").collect()
+    assert patterns == features.select("tok_no", *want).orderBy("tok_no").collect()
+    # the columns are no single method that is too long to be compiled (8000 bytes)
+    read = rows.repartition(2)
+    stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(documents.token_features(read)._jdf.queryExecution().executedPlan())
+    assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
