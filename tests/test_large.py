@@ -269,3 +269,16 @@ def test_features_by_sets_are_those_of_patterns(spark):
     read = rows.repartition(2)
     stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(documents.token_features(read)._jdf.queryExecution().executedPlan())
     assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+
+
+def test_rows_are_made_in_all_partitions(spark):
+    ann = spark.range(1200).select("id", F.concat(F.lit("d"), F.col("id") % 4), F.concat(F.lit("i"), F.col("id") % 64), F.lit("M"), F.lit(1), F.lit(3), F.lit(0)).toDF("ann_id", "doc_id", "ident", "mention", "start_off", "end_off", "sentence")
+    forms = spark.range(300).select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.concat(F.lit("i"), k))).alias("ident"), F.col("id").alias("rs"))
+    found = strategies(spark, ann, forms)
+    # annotations are few here: without this the planner would send them to all tasks
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        used = {name: found[name].groupBy(F.spark_partition_id()).count().count() for name in ("refseq", "var2gene", "by_gene", "history")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(used.values()) == {4}, used
