@@ -282,3 +282,13 @@ def test_rows_are_made_in_all_partitions(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert set(used.values()) == {4}, used
+
+
+def test_lists_get_their_form_once(spark):
+    keyed = spark.range(500).select(F.col("id").alias("ann_id"), F.lit("Mapping").alias("source"), F.when(F.col("id") < 2, F.array(F.lit("x"), F.lit("y"))).otherwise(F.array(F.lit("x"))).alias("keys"))
+    lists = spark.createDataFrame([("x", [3, 10, 3]), ("y", [4, 3])], "key string, found array<bigint>")
+    rows = normalize.unfold(keyed, lists, normalize.joined)
+    assert {(r.ann_id, r.rs) for r in rows.collect()} == {(i, "3,4,10" if i < 2 else "3,10") for i in range(500)}
+    # the text of a list is made below the join that gives it to annotations
+    first = plan_of(rows).split("Aggregate [ann_id")[0]
+    assert 0 <= first.find("Join Inner") < first.find("array_join(")
