@@ -265,10 +265,11 @@ def test_features_by_sets_are_those_of_patterns(spark):
     }
     patterns = rows.select("tok_no", *[c.alias(k) for k, c in want.items()]).orderBy("tok_no").collect()
     assert patterns == features.select("tok_no", *want).orderBy("tok_no").collect()
-    # the columns are no single method that is too long to be compiled (8000 bytes)
-    read = rows.repartition(2)
+    # the columns are no single long method, which the JVM leaves uncompiled beyond 8000 bytes (patterns made one of some 7000)
+    read = spark.range(9).select(F.lit("d").alias("doc_id"), F.col("id").alias("tok_no"), F.col("id").cast("string").alias("token"), F.col("id").alias("start_off"), F.col("id").alias("end_off"))
     stages = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(documents.token_features(read)._jdf.queryExecution().executedPlan())
-    assert all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 4000, sizes
 
 
 def test_rows_are_made_in_all_partitions(spark):
